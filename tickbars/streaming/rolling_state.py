@@ -1,0 +1,69 @@
+"""Rolling mean on a stream: the last values of a key are its state."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from typing import Any
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+
+from tickbars.schemas import INDICATOR
+
+_VALUES = StructType([StructField("value", DoubleType())])
+_LAST = StructType([StructField("micros", LongType())])
+
+
+class RollingMeanProcessor(StatefulProcessor):
+    """Keeps ``periods - 1`` values per key and the time of the newest row.
+
+    Rows of one batch are put in time order. A row behind the newest time of its key
+    comes too late and is dropped, as behind a watermark.
+    """
+
+    def __init__(self, periods: int):
+        self.periods = periods
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.values = handle.getListState("values", _VALUES)
+        self.last = handle.getValueState("last", _LAST)
+
+    def handleInputRows(
+        self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
+    ) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows)).sort_values("snapshot_time", kind="stable")
+        if self.last.exists():
+            newest = pd.Timestamp(self.last.get()[0], unit="us")
+            batch = batch[batch["snapshot_time"] > newest]
+        if batch.empty:
+            return
+        earlier = [row[0] for row in self.values.get()] if self.values.exists() else []
+        series = pd.Series(earlier + batch["value"].tolist(), dtype="float64")
+        means = series.rolling(self.periods, min_periods=1).mean()
+        kept = series.tail(self.periods - 1)
+        if len(kept):
+            self.values.put([(None if pd.isna(v) else float(v),) for v in kept])
+        # ``value`` is in nanoseconds whatever the unit of the column.
+        self.last.update((batch["snapshot_time"].iloc[-1].value // 1000,))
+        yield pd.DataFrame(
+            {
+                "ticker": key[0],
+                "snapshot_time": batch["snapshot_time"].to_numpy(),
+                "ema_value": means.iloc[len(earlier) :].to_numpy(),
+            }
+        )
+
+    def close(self) -> None:
+        pass
+
+
+def rolling_mean_stream(rows: DataFrame, periods: int) -> DataFrame:
+    """``rows`` holds ticker, snapshot_time and value; needs the RocksDB state store."""
+    return rows.groupBy("ticker").transformWithStateInPandas(
+        statefulProcessor=RollingMeanProcessor(periods),
+        outputStructType=INDICATOR,
+        outputMode="Append",
+        timeMode="None",
+    )
