@@ -5,54 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# 2**27 + 1 splits a double in two halves whose products with 100 are exact.
-_SPLITTER = 134_217_729.0
-# Below this, value * 100 stays under 2**53 and its rounding error can be recovered.
-_EXACT_LIMIT = 4.0e13
-
 SUMMARY_LENGTH = 260
 
 
 def two_decimals(value: Column, grouped: bool = False) -> Column:
     """``value`` with two decimals, rounded from its exact binary value, ties to even.
 
-    ``format_string`` rounds the shortest decimal form instead and turns 0.125 into
-    0.13. Here the hundredths come from ``value * 100`` plus the error of that product.
+    ``format_number`` rounds that way, whereas ``format_string`` rounds the shortest
+    decimal form and turns 0.125 into 0.13. From 1e14 on, where a double has less than
+    two decimals, the digits are those of the shortest form.
     """
-    size = F.abs(value)
-    head = size * _SPLITTER - (size * _SPLITTER - size)
-    tail = size - head
-    product = size * 100.0
-    error = (head * 100.0 - product) + tail * 100.0
-    floor = F.floor(product).cast("double")
-    past_half = (product - floor) - 0.5
-    up = (
-        (past_half > 0)
-        | ((past_half == 0) & (error > 0))
-        | ((past_half == 0) & (error == 0) & (floor % 2 == 1))
-    )
-    hundredths = (floor + F.when(up, 1.0).otherwise(0.0)).cast("bigint")
-    whole = F.call_function("div", hundredths, F.lit(100))
-    whole_text = F.format_number(whole, 0) if grouped else whole.cast("string")
-    exact = F.concat(whole_text, F.lit("."), F.lpad((hundredths % 100).cast("string"), 2, "0"))
-    wide = F.format_string("%,.2f" if grouped else "%.2f", size)
-    negative = (value < 0) | ((value == 0) & F.startswith(value.cast("string"), F.lit("-")))
-    digits = (
-        F.when(size == float("inf"), "inf").when(size < _EXACT_LIMIT, exact).otherwise(wide)
-    )
-    return F.concat(F.when(negative, "-").otherwise(""), digits)
+    digits = F.format_number(value, 2)
+    if not grouped:
+        digits = F.replace(digits, F.lit(","), F.lit(""))
+    infinite = F.when(value > 0, "inf").otherwise("-inf")
+    return F.when(F.abs(value) == float("inf"), infinite).otherwise(digits)
 
 
 def amount_text(amount: Column, suffix: str = "") -> Column:
     """A dollar amount in T, B, M or K; ``N/A`` when missing or zero."""
     size = F.abs(amount)
-    # One formatting of the scaled number keeps the plan small.
+    # The units and where each begins.
     scaled = (
         F.when(size >= 1e12, amount / 1e12)
         .when(size >= 1e9, amount / 1e9)
         .when(size >= 1e6, amount / 1e6)
         .when(size >= 1e3, amount / 1e3)
-        .otherwise(amount)
     )
     unit = (
         F.when(size >= 1e12, "T")
@@ -61,7 +39,7 @@ def amount_text(amount: Column, suffix: str = "") -> Column:
         .when(size >= 1e3, "K")
         .otherwise("")
     )
-    # Only the unscaled form groups thousands: 999.999 becomes 1,000.00.
+    # Only the form without a unit groups thousands: 999.999 becomes 1,000.00.
     digits = F.when(size < 1e3, two_decimals(amount, grouped=True)).otherwise(
         two_decimals(scaled)
     )

@@ -76,6 +76,8 @@ class Ohlc(Metric):
 
     def _prices(self) -> list[Column]:
         order = F.col(self.order[0]) if len(self.order) == 1 else F.struct(*self.order)
+        # A tick without a price neither opens nor closes a bar.
+        order = F.when(F.col("Price").isNotNull(), order)
         return [
             F.min_by("Price", order).alias("open_price"),
             F.max("Price").alias("high_price"),

@@ -7,8 +7,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tickbars.operators.latest import RETENTION, keep_last
-from tickbars.operators.messages import BAR_FIELDS, INDICATOR_FIELDS, serving_entries
+from tickbars.operators.latest import RETENTION, keep_last, latest_n
+from tickbars.operators.messages import (
+    BAR_FIELDS,
+    INDICATOR_FIELDS,
+    as_bars,
+    as_indicators,
+    serving_entries,
+)
+from tickbars.operators.ranges import NEWEST, OLDEST, entry_range, in_time
+
+# The topics read when none is named.
+BAR_TOPIC = "OHLC_5M"
+INDICATOR_TOPIC = "OHLC_5M_EMA_9"
 
 _TEXT_COLUMNS = [*BAR_FIELDS.values(), *INDICATOR_FIELDS.values()]
 
@@ -65,6 +76,34 @@ class ServingTable:
             return self.spark.createDataFrame([], ENTRY)
         return self._bounded(stored)
 
+    def bars(
+        self, ticker: str, count: int | None = None, topic: str = BAR_TOPIC
+    ) -> DataFrame:
+        """The newest ``count`` bars of a ticker, oldest first."""
+        return in_time(as_bars(self._newest(topic, ticker, count)))
+
+    def indicators(
+        self, ticker: str, count: int | None = None, topic: str = INDICATOR_TOPIC
+    ) -> DataFrame:
+        """The newest ``count`` indicator values of a ticker, oldest first."""
+        return in_time(as_indicators(self._newest(topic, ticker, count)))
+
+    def indicator_range(
+        self,
+        ticker: str,
+        min_id: int | str = OLDEST,
+        max_id: int | str = NEWEST,
+        count: int | None = None,
+        topic: str = INDICATOR_TOPIC,
+    ) -> DataFrame:
+        """Indicator values of a ticker with ids in a range, both ends included."""
+        entries = self._newest(topic, ticker, None)
+        return in_time(as_indicators(entry_range(entries, None, min_id, max_id, count)))
+
+    def _newest(self, topic: str, ticker: str, count: int | None) -> DataFrame:
+        key = (F.col("topic") == topic) & (F.col("ticker") == ticker)
+        return latest_n(self.read().filter(key), ["topic", "ticker"], ["entry_id"], count)
+
     def vacuum(self) -> None:
         """Delete the parts the newest snapshot replaces; readers of them must be done."""
         newest = self._newest_snapshot(self._parts())
