@@ -120,6 +120,19 @@ def test_price_change_guards(spark):
     ]
 
 
+def test_price_change_of_split_keys_is_the_same(spark):
+    rng = random.Random(11)
+    bars = bar_frame(
+        spark,
+        [(rng.choice("AAB"), s, float(rng.randrange(4)), 1) for s in range(0, 4000, 7)],
+    )
+    whole = sorted(tuple(r) for r in price_change(bars).collect())
+    assert len(whole) == bars.count()
+    for chunk in (5, 60, 3600):
+        split = price_change(bars, chunk_seconds=chunk)
+        assert sorted(tuple(r) for r in split.collect()) == whole
+
+
 def test_latest_bar_without_indicator(spark):
     bars = bar_frame(spark, [("A", 1, 2.0, 3), ("A", 2, 4.0, None), ("B", 1, 1.0, 5)])
     means = spark.createDataFrame([("B", 1, 1.5), ("B", 0, 9.0)], "ticker string, s bigint, ema_value double")

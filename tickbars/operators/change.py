@@ -3,33 +3,36 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tickbars.operators.lookback import with_lookback
+
 
 def price_change(
     bars: DataFrame,
     key: str = "ticker",
     time: str = "window_end",
     close: str = "close_price",
+    chunk_seconds: int | None = None,
 ) -> DataFrame:
     """Add ``change`` and ``percent_change`` to every bar; both are 0.0 for a first bar.
 
-    A key has one bar per time window, so its group is bounded by the time span.
+    ``chunk_seconds`` splits keys by time, for tables that are not bounded per key.
     """
-    in_time = W.partitionBy(key).orderBy(time)
-    previous = F.lag(close).over(in_time)
-    first = F.row_number().over(in_time) == 1
-    change = F.col(close) - F.col("_previous")
-    return (
-        bars.withColumn("_previous", previous)
-        .withColumn("_first", first)
-        .withColumn("change", F.when(F.col("_first"), 0.0).otherwise(change))
-        .withColumn(
-            "percent_change",
-            F.when(F.col("_first") | (F.col("_previous") == 0), 0.0).otherwise(
-                change / F.col("_previous") * 100
-            ),
-        )
-        .drop("_previous", "_first")
+    # Over the bar and the one before: that one's close, and whether there is one.
+    pairs = with_lookback(
+        bars,
+        key,
+        [time],
+        1,
+        {"_previous": F.first(close), "_rows": F.count(F.lit(1))},
+        chunk_seconds,
+    )
+    first, previous = F.col("_rows") == 1, F.col("_previous")
+    change = F.col(close) - previous
+    percent = F.when(first | (previous == 0), 0.0).otherwise(change / previous * 100)
+    return pairs.select(
+        *bars.columns,
+        F.when(first, 0.0).otherwise(change).alias("change"),
+        percent.alias("percent_change"),
     )

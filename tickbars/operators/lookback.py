@@ -1,4 +1,4 @@
-"""Row windows that reach a few rows back, split so that no key fills one task."""
+"""Row windows that reach a few rows back, whole or split so that no key fills one task."""
 
 from __future__ import annotations
 
@@ -9,49 +9,64 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def chunked_window(
+def with_lookback(
     df: DataFrame,
-    keys: Sequence[str],
-    time: str,
-    ties: Sequence[str],
+    key: str,
+    order: Sequence[str],
     depth: int,
-    chunk_seconds: int,
-    columns: dict[str, tuple[Column, int]],
+    columns: dict[str, Column],
+    chunk_seconds: int | None = None,
 ) -> DataFrame:
-    """Add ``columns``, each a window function over the current and earlier rows.
+    """Add ``columns``, aggregates over the current and up to ``depth`` earlier rows of a key.
 
-    Plain ``partitionBy(key)`` puts all rows of a key in one task. Here a group is one
-    key and one time chunk, and each chunk also gets the ``depth`` rows that precede it,
-    so frames of up to ``depth`` earlier rows are whole. ``columns`` maps a new name to
-    an aggregate and the number of earlier rows in its frame.
-
-    What is carried over is small: the last ``depth`` rows of a chunk, which Spark cuts
-    before the shuffle, and a window over just those per key.
+    ``order`` starts with a timestamp. Without ``chunk_seconds`` all rows of a key meet
+    in one task, which suits tables that are bounded per key, as bars are by the time
+    span. With it a group is one key in one stretch of time, and each group also gets the
+    ``depth`` rows that precede it, so that every frame is whole.
     """
-    order = [F.col(time), *[F.col(c) for c in ties]]
-    latest_first = [c.desc() for c in order]
-    chunk = F.call_function("div", F.unix_seconds(time), F.lit(chunk_seconds))
+    if not chunk_seconds or not depth:
+        return _add(df, [key], order, depth, columns)
+
+    chunk = F.call_function("div", F.unix_seconds(order[0]), F.lit(chunk_seconds))
     rows = df.withColumn("_chunk", chunk)
+    carried = _rows_before_chunks(rows, key, order, depth)
+    both = rows.withColumn("_carried", F.lit(False)).unionByName(
+        carried.withColumn("_carried", F.lit(True))
+    )
+    added = _add(both, [key, "_chunk"], order, depth, columns)
+    return added.filter(~F.col("_carried")).drop("_carried", "_chunk")
+
+
+def _add(
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str],
+    depth: int,
+    columns: dict[str, Column],
+) -> DataFrame:
+    frame = W.partitionBy(*group).orderBy(*order).rowsBetween(-depth, 0)
+    return df.select("*", *[c.over(frame).alias(name) for name, c in columns.items()])
+
 
-    by_chunk = W.partitionBy(*keys, "_chunk")
+def _rows_before_chunks(
+    rows: DataFrame, key: str, order: Sequence[str], depth: int
+) -> DataFrame:
+    """The ``depth`` rows before each chunk, with that chunk as theirs.
+
+    They are among the last ``depth`` rows of some earlier chunk. Spark cuts chunks to
+    those before the shuffle, and only what is left is put together per key.
+    """
+    newest_first = W.partitionBy(key, "_chunk").orderBy(*[F.col(c).desc() for c in order])
     tails = (
-        rows.withColumn("_back", F.row_number().over(by_chunk.orderBy(*latest_first)))
+        rows.withColumn("_back", F.row_number().over(newest_first))
         .filter(F.col("_back") <= depth)
         .drop("_back")
     )
     # A tail row precedes the chunks that start within the next ``depth`` tail rows.
-    ahead = W.partitionBy(*keys).orderBy(*order).rowsBetween(1, depth)
-    carried = (
+    ahead = W.partitionBy(key).orderBy(*order).rowsBetween(1, depth)
+    return (
         tails.withColumn("_near", F.collect_set("_chunk").over(ahead))
         .withColumn("_next", F.explode(F.array_except("_near", F.array("_chunk"))))
         .drop("_near", "_chunk")
         .withColumnRenamed("_next", "_chunk")
     )
-
-    both = rows.withColumn("_carried", F.lit(False)).unionByName(
-        carried.withColumn("_carried", F.lit(True))
-    )
-    ordered = by_chunk.orderBy(*order)
-    for name, (aggregate, back) in columns.items():
-        both = both.withColumn(name, aggregate.over(ordered.rowsBetween(-back, 0)))
-    return both.filter(~F.col("_carried")).drop("_carried", "_chunk")

@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tickbars.operators.lookback import chunked_window
+from tickbars.operators.lookback import with_lookback
 from tickbars.operators.metric import MARKET_TOPIC, Metric
 from tickbars.schemas import INDICATOR
 from tickbars.streaming.rolling_state import rolling_mean_stream
@@ -50,24 +49,16 @@ class RollingMean(Metric):
         return f"{self.source_table}_EMA_{self.periods}"
 
     def batch(self, source: DataFrame) -> DataFrame:
-        back = self.periods - 1
         # Nothing but these columns goes through the shuffle.
         rows = source.select(self.key, self.time, self.value, *self.ties)
-        if self.chunk_seconds and back:
-            means = chunked_window(
-                rows,
-                [self.key],
-                self.time,
-                self.ties,
-                back,
-                self.chunk_seconds,
-                {"ema_value": (F.avg(self.value), back)},
-            )
-        else:
-            frame = W.partitionBy(self.key).orderBy(self.time, *self.ties)
-            means = rows.withColumn(
-                "ema_value", F.avg(self.value).over(frame.rowsBetween(-back, 0))
-            )
+        means = with_lookback(
+            rows,
+            self.key,
+            [self.time, *self.ties],
+            self.periods - 1,
+            {"ema_value": F.avg(self.value)},
+            self.chunk_seconds,
+        )
         return means.select(
             F.col(self.key).alias("ticker"),
             F.col(self.time).alias("snapshot_time"),

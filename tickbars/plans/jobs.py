@@ -68,6 +68,8 @@ def train_job(
                 trained.append(Trained(model, model.predict(rows)))
             except Exception:
                 logger.exception("model %s failed", model.name)
+        # The fits were the repeated passes; predictions are read again from the topic.
+        parsed.unpersist()
     return trained
 
 

@@ -148,5 +148,6 @@ def open_bars(ticks: DataFrame, bars: Ohlc, delay_seconds: int = 2) -> DataFrame
     watermark = F.unix_seconds(F.lit(newest)) - delay_seconds
     width = bars.window_minutes * 60
     # A window ends after the watermark when it starts in or after the watermark's own.
-    oldest_open = watermark - F.pmod(watermark, F.lit(width))
-    return bars.batch(ticks.filter(F.unix_seconds("event_time") >= oldest_open))
+    # Compared as a timestamp, the bound reaches the scan of a stored tick table.
+    oldest_open = F.timestamp_seconds(watermark - F.pmod(watermark, F.lit(width)))
+    return bars.batch(ticks.filter(F.col("event_time") >= oldest_open))

@@ -115,7 +115,7 @@ class ServingTable:
                 continue
             for status in fs.listStatus(folder):
                 name = status.getPath().getName()
-                if name.startswith("upto=") and int(name[5:]) <= stale:
+                if name.startswith("upto=") and 0 <= int(name[5:]) <= stale:
                     fs.delete(status.getPath(), True)
 
     def _write(self, rows: DataFrame, part: str, batch_id: int) -> None:
@@ -125,6 +125,7 @@ class ServingTable:
         return keep_last(rows, ["topic", "ticker"], ["entry_id"], self.keep)
 
     def _parts(self) -> DataFrame:
+        # An empty part makes a new table readable.
         self.spark.createDataFrame([], ENTRY).write.mode("ignore").parquet(
             f"{self.path}/part=batch/upto=-1"
         )
