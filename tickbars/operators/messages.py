@@ -41,8 +41,10 @@ def to_messages(df: DataFrame, topic: str, offset: Column) -> DataFrame:
 
 def decode(messages: DataFrame, schema: T.StructType) -> DataFrame:
     """Message values as flat typed columns; text that is not JSON gives nulls."""
+    # A generator is run once per row. As a plain column the parse would be copied into
+    # every filter that is later put on one of its fields.
     data = F.from_json(F.col("value").cast("string"), schema)
-    return messages.select(data.alias("data")).select("data.*")
+    return messages.select(F.inline(F.array(data)))
 
 
 def message_kind(topic: Column) -> Column:
@@ -65,27 +67,31 @@ def serving_entries(messages: DataFrame) -> DataFrame:
     serving side holds them; ``as_bars`` and ``as_indicators`` read them as numbers.
     The message offset, which grows with arrival, becomes the entry id.
     """
-    names = ["ticker", *BAR_FIELDS, *INDICATOR_FIELDS]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     kind = F.col("kind")
-    data = F.from_json(F.col("value").cast("string"), schema)
+    names = ["ticker", *BAR_FIELDS, *INDICATOR_FIELDS]
     payload = [
-        F.when(kind == "OHLC", F.col(f"data.{field}")).alias(name)
+        F.when(kind == "OHLC", F.col(field)).alias(name)
         for field, name in BAR_FIELDS.items()
     ] + [
-        F.when(kind == "EMA", F.col(f"data.{field}")).alias(name)
+        F.when(kind == "EMA", F.col(field)).alias(name)
         for field, name in INDICATOR_FIELDS.items()
     ]
+    # A generator again, so that one parse serves the filters and the fields.
     entries = (
-        messages.withColumn("kind", message_kind(F.col("topic")))
+        messages.select(
+            "topic",
+            F.col("offset").alias("entry_id"),
+            message_kind(F.col("topic")).alias("kind"),
+            F.col("value").cast("string").alias("value"),
+        )
         .filter(kind.isNotNull())
-        .withColumn("data", data)
-        .filter(F.col("data.ticker") != "")
+        .select("topic", "entry_id", "kind", F.json_tuple("value", *names).alias(*names))
+        .filter(F.col("ticker") != "")
         .select(
             "topic",
-            F.col("data.ticker").alias("ticker"),
-            serving_key(F.col("topic"), F.col("data.ticker")).alias("key"),
-            F.col("offset").alias("entry_id"),
+            "ticker",
+            serving_key(F.col("topic"), F.col("ticker")).alias("key"),
+            "entry_id",
             "kind",
             *payload,
         )

@@ -26,6 +26,22 @@ _STATE_CONF = {
 }
 
 
+_SPARK_DEFAULT_PARTITIONS = "200"
+
+
+def _stream_conf(spark: SparkSession) -> dict[str, str]:
+    """State settings; the partition count is the session's, unless that is the default.
+
+    A stream keeps its count for life and is not coalesced at run time, so Spark's
+    default, too many for one machine and too few for a large cluster, gives way to the
+    number of cores.
+    """
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    if partitions == _SPARK_DEFAULT_PARTITIONS:
+        partitions = str(spark.sparkContext.defaultParallelism)
+    return {**_STATE_CONF, "spark.sql.shuffle.partitions": partitions}
+
+
 def default_metrics() -> list[Metric]:
     """Five-minute bars and their rolling means over 9 and 12 bars."""
     bars = Ohlc(window_minutes=5)
@@ -58,7 +74,7 @@ def start_table(
         .option("checkpointLocation", f"{root}/_checkpoints/{table}")
         .outputMode("append")
     )
-    with session_conf(df.sparkSession, _STATE_CONF):
+    with session_conf(df.sparkSession, _stream_conf(df.sparkSession)):
         if processing_time is None:
             return writer.trigger(availableNow=True).start()
         return writer.trigger(processingTime=processing_time).start()

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from typing import Any
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from tickbars.schemas import INDICATOR
 
+# The processor travels with the query; executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _VALUES = StructType([StructField("value", DoubleType())])
 _LAST = StructType([StructField("micros", LongType())])
 
