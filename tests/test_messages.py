@@ -86,10 +86,24 @@ def test_schema_from_names():
     assert topic_schema("NO_SUCH_TOPIC") is None
 
 
-def test_messages_carry_millisecond_times(spark):
-    frame = spark.sql("SELECT 'A' AS ticker, timestamp'2024-01-01 00:05:00' AS window_end, 1.5D AS close_price")
-    [row] = messages.to_messages(frame, "T", F.lit(7)).collect()
-    assert json.loads(row.value) == {
-        "ticker": "A", "window_end": "2024-01-01 00:05:00.000", "close_price": 1.5
-    }
-    assert (row.topic, row.offset) == ("T", 7)
+def test_schema_from_a_file(tmp_path):
+    (tmp_path / "T.json").write_text('{"ticker": "string", "volume": "long"}')
+    assert topic_schema("T", tmp_path).simpleString() == "struct<ticker:string,volume:bigint>"
+    assert topic_schema("OHLC_5M", tmp_path) is None
+    assert topic_schema("OHLC_5M").simpleString() == (
+        "struct<ticker:string,window_start:string,window_end:string,open_price:double,"
+        "high_price:double,low_price:double,close_price:double,volume:bigint>"
+    )
+
+
+def test_messages_carry_times_as_text(spark):
+    frame = spark.sql(
+        "SELECT 'A' AS ticker, timestamp'2024-01-01 00:05:00' AS window_end, 1.5D AS close_price "
+        "UNION ALL SELECT 'B', timestamp'2024-01-01 00:05:00.25', NULL"
+    )
+    rows = messages.to_messages(frame, "T", F.lit(7)).collect()
+    assert [json.loads(r.value) for r in rows] == [
+        {"ticker": "A", "window_end": "2024-01-01 00:05:00", "close_price": 1.5},
+        {"ticker": "B", "window_end": "2024-01-01 00:05:00.25"},
+    ]
+    assert [(r.topic, r.offset) for r in rows] == [("T", 7)] * 2

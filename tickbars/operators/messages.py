@@ -21,24 +21,30 @@ BAR_FIELDS = {
 }
 INDICATOR_FIELDS = {"ema_value": "ema", "snapshot_time": "time"}
 
-_CLOCK = "yyyy-MM-dd HH:mm:ss.SSS"
-
 
 def to_messages(df: DataFrame, topic: str, offset: Column) -> DataFrame:
-    """Rows as JSON messages of ``topic``; times are written to the millisecond."""
-    fields = [
-        F.date_format(f.name, _CLOCK).alias(f.name)
-        if isinstance(f.dataType, T.TimestampType)
-        else F.col(f.name)
-        for f in df.schema.fields
-    ]
+    """Rows as JSON messages of ``topic``."""
     return df.select(
         F.lit(topic).alias("topic"),
-        F.to_json(F.struct(*fields)).alias("value"),
+        message_value(df).alias("value"),
         offset.cast("bigint").alias("offset"),
     )
 
 
+def message_value(df: DataFrame) -> Column:
+    """A row as JSON; times as ``yyyy-MM-dd HH:mm:ss`` with a fraction only if there is one."""
+    return F.to_json(
+        F.struct(
+            *[
+                F.col(f.name).cast("string").alias(f.name)
+                if isinstance(f.dataType, T.TimestampType)
+                else F.col(f.name)
+                for f in df.schema.fields
+            ]
+        )
+    )
+
+
 def decode(messages: DataFrame, schema: T.StructType) -> DataFrame:
     """Message values as flat typed columns; text that is not JSON gives nulls."""
     # A generator is run once per row. As a plain column the parse would be copied into

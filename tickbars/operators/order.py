@@ -23,16 +23,18 @@ def with_position(
     order: Sequence[str] = PUBLISH_ORDER,
     name: str = "position",
     path: str | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Number rows 1, 2, ... in ``order`` without bringing them into one task.
 
     Rows are range partitioned and sorted, and written with their partition and place,
     so that both later reads see one and the same split even when a task is run again.
     The offsets of the partitions are as many rows as there are partitions. The table is
-    written to ``path``, or under the shared folder, and is the caller's to delete.
+    written to ``path``, or under the shared folder, and is the caller's to delete. Give
+    ``partitions`` where the session's count would make them larger than a task can sort.
     """
     spark = df.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = path or new_run_dir(spark, "positions")
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     (

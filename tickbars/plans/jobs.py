@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from tickbars.models.base import Model
 from tickbars.operators.messages import decode, for_tickers
 from tickbars.operators.order import time_order
-from tickbars.schemas import SCHEMAS_DIR, topic_schema
+from tickbars.schemas import topic_schema
 
 logger = logging.getLogger(__name__)
 
@@ -29,7 +29,7 @@ def train_job(
     read_topic: Callable[[str], DataFrame],
     models: Sequence[Model],
     topics: Sequence[str] | None = None,
-    schemas_dir: Path | str = SCHEMAS_DIR,
+    schemas_dir: Path | str | None = None,
 ) -> list[Trained]:
     """Train each model on its topic and predict for the same rows.
 

@@ -148,8 +148,8 @@ LIMIT 200"""
 
 ORACLES["parse_bars_json"] = f"""
 WITH {_TICKS}, {_bars(5)}
-SELECT * REPLACE (strftime(window_start, '%Y-%m-%d %H:%M:%S.000') AS window_start,
-                  strftime(window_end, '%Y-%m-%d %H:%M:%S.000') AS window_end)
+SELECT * REPLACE (strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start,
+                  strftime(window_end, '%Y-%m-%d %H:%M:%S') AS window_end)
 FROM bars"""
 
 ORACLES["parse_indicators_json"] = f"""
@@ -276,7 +276,7 @@ SELECT ticker, window_end, {_PREDICTION} FROM bars, weights"""
 ORACLES["train_job_predictions"] = f"""
 WITH {_TICKS}, {_bars(5)}, clicks AS (SELECT * FROM bars WHERE ticker = 'click'),
 {_regression('clicks')}
-SELECT ticker, strftime(window_end, '%Y-%m-%d %H:%M:%S.000') AS window_end, {_PREDICTION}
+SELECT ticker, strftime(window_end, '%Y-%m-%d %H:%M:%S') AS window_end, {_PREDICTION}
 FROM clicks, weights"""
 
 ORACLES["prediction_head"] = f"""

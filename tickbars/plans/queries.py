@@ -269,7 +269,7 @@ def served_entry_range(spark, sf_dir):
 
 @query
 def parse_bars_json(spark, sf_dir):
-    """Bars written as JSON messages and decoded by the topic's schema file."""
+    """Bars written as JSON messages and decoded by the topic's schema."""
     encoded = _bar_messages(_bars(spark, sf_dir, 5))
     return messages.decode(encoded, topic_schema("OHLC_5M"))
 

@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.avro.functions import from_avro, to_avro
+from pyspark.sql.streaming import StreamingQuery
 
 from tickbars.functions.times import event_time
+from tickbars.operators.messages import message_value
 from tickbars.operators.metric import MARKET_TOPIC
 from tickbars.schemas import MARKET_EVENT, MARKET_EVENT_AVRO
 
@@ -53,10 +55,7 @@ def decode_events(messages: DataFrame) -> DataFrame:
 
 def encode_events(ticks: DataFrame, schema_id: int) -> DataFrame:
     """Ticks as registry-framed Avro values, keyed by ticker so that its order holds."""
-    event = F.struct(
-        *[F.coalesce(f.name, F.lit("")).alias(f.name) if f.dataType.simpleString() == "string"
-          else F.col(f.name) for f in MARKET_EVENT.fields]
-    )
+    event = F.struct(*MARKET_EVENT.names)
     frame = F.unhex(F.lit(f"00{schema_id:08x}"))
     return ticks.select(
         F.col("Ticker").cast("binary").alias("key"),
@@ -101,3 +100,20 @@ def write_messages(messages: DataFrame, servers: str, topic: str) -> None:
         .option("topic", topic)
         .save()
     )
+
+
+def start_topic(
+    metric: DataFrame, servers: str, topic: str, checkpoint: str
+) -> StreamingQuery:
+    """Append a streamed metric to a topic as JSON, keyed by ticker."""
+    messages = metric.select(
+        F.col("ticker").cast("binary").alias("key"), message_value(metric).alias("value")
+    )
+    return (
+        messages.writeStream.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("topic", topic)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+        .start()
+    )

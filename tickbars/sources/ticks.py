@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from os.path import commonprefix
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -43,7 +44,9 @@ def read_ticks(
     unfit = [name for name in names if not re.fullmatch(r"[\w.^=+-]+", name)]
     if unfit:
         raise ValueError(f"not tickers: {unfit}")
-    glob = files.format(date="*", ticker="{" + ",".join(names) + "}")
+    # Names between two names begin as both do, so that only such dates are listed.
+    dates = commonprefix([start_date, end_date]) + "*"
+    glob = files.format(date=dates, ticker="{" + ",".join(names) + "}")
     try:
         raw = (
             spark.read.schema(_TEXT)
