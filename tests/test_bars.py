@@ -80,11 +80,11 @@ def ticks_with_a_hot_key(spark):
 
 
 @pytest.mark.parametrize("periods", [1, 2, 9, 40])
-@pytest.mark.parametrize("chunk", [None, 7, 600, 10**6])
-def test_rolling_mean_equals_brute_force(spark, periods, chunk):
+@pytest.mark.parametrize("split", [None, 7, 600, 10**6, "range"])
+def test_rolling_mean_equals_brute_force(spark, periods, split):
     rows, frame = ticks_with_a_hot_key(spark)
     metric = RollingMean(
-        periods, key="k", time="t", value="v", ties=["i"], chunk_seconds=chunk
+        periods, key="k", time="t", value="v", ties=["i"], split=split
     )
     got = {r.i: r.ema_value for r in metric.batch(frame).collect()}
     assert len(got) == len(rows)
@@ -128,9 +128,9 @@ def test_price_change_of_split_keys_is_the_same(spark):
     )
     whole = sorted(tuple(r) for r in price_change(bars).collect())
     assert len(whole) == bars.count()
-    for chunk in (5, 60, 3600):
-        split = price_change(bars, chunk_seconds=chunk)
-        assert sorted(tuple(r) for r in split.collect()) == whole
+    for split in (5, 60, 3600, "range"):
+        changes = price_change(bars, split=split)
+        assert sorted(tuple(r) for r in changes.collect()) == whole
 
 
 def test_latest_bar_without_indicator(spark):

@@ -61,7 +61,7 @@ def test_latest_rows_are_cut_before_the_shuffle(spark):
 
 def test_hot_keys_are_split_by_time(ticks):
     metric = RollingMean(
-        9, key="Ticker", time="event_time", value="Price", ties=["Arrival"], chunk_seconds=3600
+        9, key="Ticker", time="event_time", value="Price", ties=["Arrival"], split=3600
     )
     plan = plan_of(metric.batch(ticks))
     # All rows go by ticker and chunk; by ticker alone only what the cut leaves.

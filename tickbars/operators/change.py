@@ -13,11 +13,11 @@ def price_change(
     key: str = "ticker",
     time: str = "window_end",
     close: str = "close_price",
-    chunk_seconds: int | None = None,
+    split: int | str | None = None,
 ) -> DataFrame:
     """Add ``change`` and ``percent_change`` to every bar; both are 0.0 for a first bar.
 
-    ``chunk_seconds`` splits keys by time, for tables that are not bounded per key.
+    ``split`` spreads the rows of a key, for tables that are not bounded per key.
     """
     # Over the bar and the one before: that one's close, and whether there is one.
     pairs = with_lookback(
@@ -26,7 +26,7 @@ def price_change(
         [time],
         1,
         {"_previous": F.first(close), "_rows": F.count(F.lit(1))},
-        chunk_seconds,
+        split,
     )
     first, previous = F.col("_rows") == 1, F.col("_previous")
     change = F.col(close) - previous

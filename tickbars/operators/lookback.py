@@ -8,6 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tickbars.operators.order import sorted_parts
+
+
+# Split groups by balanced ranges instead of stretches of time.
+BY_RANGE = "range"
+
 
 def with_lookback(
     df: DataFrame,
@@ -15,20 +21,30 @@ def with_lookback(
     order: Sequence[str],
     depth: int,
     columns: dict[str, Column],
-    chunk_seconds: int | None = None,
+    split: int | str | None = None,
 ) -> DataFrame:
     """Add ``columns``, aggregates over the current and up to ``depth`` earlier rows of a key.
 
-    ``order`` starts with a timestamp. Without ``chunk_seconds`` all rows of a key meet
-    in one task, which suits tables that are bounded per key, as bars are by the time
-    span. With it a group is one key in one stretch of time, and each group also gets the
-    ``depth`` rows that precede it, so that every frame is whole.
+    ``order`` starts with a timestamp. ``split`` says how the rows of a key are spread:
+
+    - None: not at all. This suits tables that are bounded per key, as bars are by the
+      time span.
+    - A number of seconds: a group is one key in one stretch of time. It should hold many
+      more rows than ``depth`` and still fit a task.
+    - ``"range"``: a group is one key in one of the like-sized parts of the sorted table,
+      which is written first. No key and no burst in time can then fill a task.
+
+    Each group also gets the ``depth`` rows that precede it, so that every frame is whole.
     """
-    if not chunk_seconds or not depth:
+    if split is None or not depth:
         return _add(df, [key], order, depth, columns)
 
-    chunk = F.call_function("div", F.unix_seconds(order[0]), F.lit(chunk_seconds))
-    rows = df.withColumn("_chunk", chunk)
+    if split == BY_RANGE:
+        parts = sorted_parts(df, [key, *order])
+        rows = parts.withColumnRenamed("_part", "_chunk").drop("_place")
+    else:
+        chunk = F.call_function("div", F.unix_seconds(order[0]), F.lit(split))
+        rows = df.withColumn("_chunk", chunk)
     carried = _rows_before_chunks(rows, key, order, depth)
     both = rows.withColumn("_carried", F.lit(False)).unionByName(
         carried.withColumn("_carried", F.lit(True))

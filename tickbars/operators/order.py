@@ -18,24 +18,23 @@ def time_order(ticks: DataFrame, order: Sequence[str] = PUBLISH_ORDER) -> DataFr
     return ticks.orderBy(*order)
 
 
-def with_position(
+def sorted_parts(
     df: DataFrame,
-    order: Sequence[str] = PUBLISH_ORDER,
-    name: str = "position",
+    order: Sequence[str],
     path: str | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Number rows 1, 2, ... in ``order`` without bringing them into one task.
+    """``df`` range partitioned and sorted by ``order``, with each row's part and place.
 
-    Rows are range partitioned and sorted, and written with their partition and place,
-    so that both later reads see one and the same split even when a task is run again.
-    The offsets of the partitions are as many rows as there are partitions. The table is
-    written to ``path``, or under the shared folder, and is the caller's to delete. Give
-    ``partitions`` where the session's count would make them larger than a task can sort.
+    Parts are of like size, whatever value of ``order`` is frequent, as long as whole
+    ``order`` tuples are not. They are written, so that later reads see one and the same
+    split even when a task is run again. The table goes to ``path``, or under the shared
+    folder, and is the caller's to delete. Give ``partitions`` where the session's count
+    would make parts larger than a task can sort.
     """
     spark = df.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = path or new_run_dir(spark, "positions")
+    path = path or new_run_dir(spark, "sorted-parts")
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     (
         df.repartitionByRange(partitions, *order)
@@ -44,7 +43,22 @@ def with_position(
         .withColumn("_place", place)
         .write.parquet(path)
     )
-    placed = spark.read.parquet(path)
+    return spark.read.parquet(path)
+
+
+def with_position(
+    df: DataFrame,
+    order: Sequence[str] = PUBLISH_ORDER,
+    name: str = "position",
+    path: str | None = None,
+    partitions: int | None = None,
+) -> DataFrame:
+    """Number rows 1, 2, ... in ``order`` without bringing them into one task.
+
+    A row's number is its place in its part of ``sorted_parts`` plus the rows of the
+    parts before, which are as many numbers as there are parts.
+    """
+    placed = sorted_parts(df, order, path, partitions)
     # Bounded by the partition count, hence the one-task window and the broadcast.
     before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     offsets = (

@@ -17,9 +17,8 @@ class RollingMean(Metric):
     """Mean of ``value`` over the current and up to ``periods - 1`` earlier rows of a key.
 
     Over bars a plain window will do: a key has one bar per time window, so its size is
-    bounded by the time span. Over ticks or any table where a key can be hot, give
-    ``chunk_seconds``: a group then is one key in one stretch of time, joined by the few
-    rows before it. ``ties`` orders rows of equal time.
+    bounded by the time span. Over ticks or any table where a key can be hot, ``split``
+    spreads its rows, as ``with_lookback`` describes. ``ties`` orders rows of equal time.
     """
 
     schema = INDICATOR
@@ -32,7 +31,7 @@ class RollingMean(Metric):
         time: str = "window_end",
         value: str = "close_price",
         ties: Sequence[str] = (),
-        chunk_seconds: int | None = None,
+        split: int | str | None = None,
         source_table: str = MARKET_TOPIC,
         target_table: str | None = None,
     ):
@@ -41,7 +40,7 @@ class RollingMean(Metric):
         self.time = time
         self.value = value
         self.ties = list(ties)
-        self.chunk_seconds = chunk_seconds
+        self.split = split
         super().__init__(source_table, target_table)
 
     @property
@@ -57,7 +56,7 @@ class RollingMean(Metric):
             [self.time, *self.ties],
             self.periods - 1,
             {"ema_value": F.avg(self.value)},
-            self.chunk_seconds,
+            self.split,
         )
         return means.select(
             F.col(self.key).alias("ticker"),

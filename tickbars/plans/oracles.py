@@ -93,6 +93,8 @@ SELECT event_type AS ticker, date_trunc('second', ts) AS snapshot_time, event_id
            ROWS BETWEEN 8 PRECEDING AND CURRENT ROW), 6) AS ema_value
 FROM events"""
 
+ORACLES["tick_rolling_mean_9_by_range"] = ORACLES["tick_rolling_mean_9"]
+
 _CHANGES = """changes AS (
     SELECT *, lag(close_price) OVER w AS previous, row_number() OVER w AS place
     FROM bars

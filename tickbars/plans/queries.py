@@ -13,6 +13,7 @@ from tickbars.operators import facts, messages
 from tickbars.operators.bars import Ohlc
 from tickbars.operators.change import price_change
 from tickbars.operators.latest import keep_last, latest_bar, latest_n
+from tickbars.operators.lookback import BY_RANGE
 from tickbars.operators.order import with_position
 from tickbars.operators.ranges import entry_range, in_time
 from tickbars.operators.rolling import RollingMean
@@ -201,21 +202,26 @@ def rolling_mean_9_60m(spark, sf_dir):
     return _rounded(RollingMean(9).batch(_bars(spark, sf_dir, 60)), "ema_value")
 
 
-@query
-def tick_rolling_mean_9(spark, sf_dir):
-    """Over the ticks themselves, where a ticker may be hot: groups of ticker and hour."""
+def _tick_means(spark: SparkSession, sf_dir: str, split: int | str) -> DataFrame:
     metric = RollingMean(
-        9,
-        key="Ticker",
-        time="event_time",
-        value="Price",
-        ties=["Arrival"],
-        chunk_seconds=3600,
+        9, key="Ticker", time="event_time", value="Price", ties=["Arrival"], split=split
     )
     means = metric.batch(_ticks(spark, sf_dir)).withColumnRenamed("Arrival", "event_id")
     return _rounded(means, "ema_value")
 
 
+@query
+def tick_rolling_mean_9(spark, sf_dir):
+    """Over the ticks themselves, where a ticker may be hot: groups of ticker and hour."""
+    return _tick_means(spark, sf_dir, 3600)
+
+
+@query
+def tick_rolling_mean_9_by_range(spark, sf_dir):
+    """The same in groups of like size, where even an hour may be hot."""
+    return _tick_means(spark, sf_dir, BY_RANGE)
+
+
 @query
 def bar_price_change(spark, sf_dir):
     return price_change(_bars(spark, sf_dir, 60)).select(
