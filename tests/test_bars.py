@@ -143,14 +143,15 @@ def test_latest_bar_without_indicator(spark):
     assert (rows["B"].ema, rows["B"].change) == (1.5, 0.0)
 
 
+@pytest.mark.parametrize("spread", [False, True])
 @pytest.mark.parametrize("count", [1, 5, 999, 1000, 1001, 1500, None])
-def test_latest_n_of_a_hot_key(spark, count):
+def test_latest_n_of_a_hot_key(spark, count, spread):
     rows = spark.range(6000).select(
         F.when(F.col("id") % 3 < 2, "HOT").otherwise(F.concat(F.lit("K"), F.col("id") % 7)).alias("k"),
         "id",
     )
     got, ids = {}, {}
-    for r in latest_n(rows, ["k"], ["id"], count).collect():
+    for r in latest_n(rows, ["k"], ["id"], count, spread).collect():
         got.setdefault(r.k, []).append(r.id)
     for r in rows.collect():
         ids.setdefault(r.k, []).append(r.id)

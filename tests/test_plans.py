@@ -57,6 +57,8 @@ def test_latest_rows_are_cut_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan_of(keep_last(rows, ["k"], ["id"]))
     salted = plan_of(latest_n(rows, ["k"], ["id"], 5000))
     assert "_salt" in salted and salted.count("Window [row_number()") == 2
+    spread = plan_of(latest_n(rows, ["k"], ["id"], 60, spread=True))
+    assert spread.count("WindowGroupLimit") == 4 and spread.count("Exchange") == 2
 
 
 def test_hot_keys_are_split_by_time(ticks):

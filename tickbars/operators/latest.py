@@ -13,7 +13,7 @@ from tickbars.operators.change import price_change
 RETENTION = 1000
 CANDLES = 60
 
-_SALTS = 64
+_SALTS = 1024
 
 
 def latest_n(
@@ -21,23 +21,25 @@ def latest_n(
     keys: Sequence[str],
     order: Sequence[str],
     count: int | None = CANDLES,
+    spread: bool = False,
 ) -> DataFrame:
     """The ``count`` newest rows of each key by ``order``; None keeps all.
 
     Up to ``spark.sql.optimizer.windowGroupLimitThreshold`` Spark cuts each key to
-    ``count`` rows in every task before the shuffle, so a hot key stays small. Beyond it
-    the rows of a key are first cut per salt, each in its own task.
+    ``count`` rows in every task before the shuffle. What is left of a hot key then is
+    ``count`` rows from each task, together in one. With ``spread``, and always beyond
+    that threshold, groups of tasks are cut first, each group in a task of its own, at
+    the price of one more shuffle.
     """
     if count is None:
         return df
     threshold = int(
         df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
     )
-    if count > threshold:
-        salted = df.withColumn(
-            "_salt", F.pmod(F.xxhash64(*order), F.lit(_SALTS)).cast("int")
-        )
-        df = _newest(salted, [*keys, "_salt"], order, count).drop("_salt")
+    if spread or count > threshold:
+        # By task, not by row, so that the cut within a task stays at ``count`` rows.
+        group = F.pmod(F.spark_partition_id(), F.lit(_SALTS))
+        df = _newest(df.withColumn("_salt", group), [*keys, "_salt"], order, count).drop("_salt")
     return _newest(df, keys, order, count)
 
 

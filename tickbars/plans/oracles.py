@@ -137,6 +137,11 @@ ORACLES["latest_60"] = _newest(60)
 ORACLES["keep_last_1000"] = _newest(1000)
 ORACLES["latest_1200"] = _newest(1200)
 
+ORACLES["latest_60_ticks"] = """
+SELECT event_type AS "Ticker", event_id, value AS "Price"
+FROM events
+QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) <= 60"""
+
 ORACLES["served_entry_range"] = f"""
 WITH {_TICKS}, {_bars(5)}
 SELECT ticker, epoch_ms(window_end) AS entry_id, close_price AS close

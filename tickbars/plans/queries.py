@@ -250,6 +250,15 @@ def latest_60(spark, sf_dir):
     )
 
 
+@query
+def latest_60_ticks(spark, sf_dir):
+    """Over the ticks themselves, where a hot ticker sends rows from every task."""
+    newest = latest_n(
+        _ticks(spark, sf_dir), ["Ticker"], ["Timestamp", "Arrival"], 60, spread=True
+    )
+    return newest.select("Ticker", F.col("Arrival").alias("event_id"), "Price")
+
+
 @query
 def keep_last_1000(spark, sf_dir):
     return keep_last(_bars(spark, sf_dir, 5), ["ticker"], ["window_end"])
@@ -257,7 +266,7 @@ def keep_last_1000(spark, sf_dir):
 
 @query
 def latest_1200(spark, sf_dir):
-    """More rows than Spark cuts by itself, so each ticker is cut per salt first."""
+    """More rows than Spark cuts by itself, so groups of tasks are cut first."""
     return latest_n(_bars(spark, sf_dir, 5), ["ticker"], ["window_end"], 1200)
 
 
