@@ -221,6 +221,24 @@ def test_a_repeated_batch_is_not_counted_twice(spark, tmp_path):
     assert sorted(r.entry_id for r in table.read().collect()) == [0, 1, 2]
 
 
+def test_a_batch_that_fails_after_writing_is_run_again(spark, tmp_path):
+    class FailsOnce(ServingTable):
+        failures = 1
+
+        def append(self, entries, batch_id):
+            super().append(entries, batch_id)
+            if self.failures:
+                self.failures = 0
+                raise OSError("executor lost")
+
+    root = str(tmp_path)
+    table = FailsOnce(spark, f"{root}/table", compact_every=1)
+    with pytest.raises(Exception, match="executor lost"):
+        serve(spark, root, table, bar_messages(spark, range(5)))
+    serve(spark, root, table, bar_messages(spark, range(5, 8)))
+    assert sorted(r.entry_id for r in table.read().collect()) == list(range(8))
+
+
 def test_serving_reads(spark, tmp_path):
     root = str(tmp_path)
     table = ServingTable(spark, f"{root}/table")

@@ -102,7 +102,8 @@ def test_converted_ticks_are_the_same(spark, root, tmp_path):
     part = read_converted_ticks(spark, path, "AAPL", "20240102", "20240102")
     assert part.count() == 2
     plan = part._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "symbol" in plan.split("PartitionFilters")[1]
+    assert "day" in plan.split("PartitionFilters: ")[1].split("]")[0]
+    assert "EqualTo(Ticker,AAPL)" in plan or "In(Ticker, [AAPL])" in plan
 
 
 def test_positions_count_from_one_without_gaps(spark):

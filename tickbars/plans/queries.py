@@ -19,7 +19,7 @@ from tickbars.operators.ranges import entry_range, in_time
 from tickbars.operators.rolling import RollingMean
 from tickbars.plans.jobs import train_job
 from tickbars.schemas import MARKET_EVENT, topic_schema
-from tickbars.session import new_run_dir, use_utc
+from tickbars.session import new_run_dir, store, use_utc
 from tickbars.sources.market import as_ticks, market_tick_stream, market_ticks
 from tickbars.sources.ticks import convert_ticks, read_converted_ticks, read_ticks
 from tickbars.streaming.jobs import (
@@ -136,7 +136,7 @@ def tick_csv_scan(spark, sf_dir):
 
 @query
 def tick_parquet_scan(spark, sf_dir):
-    """The same selection over ticks converted to partitioned Parquet."""
+    """The same selection over ticks converted to Parquet by day."""
     path = new_run_dir(spark, "converted-ticks")
     convert_ticks(_ticks(spark, sf_dir), path)
     return read_converted_ticks(spark, path, _TICKERS, *_DATES).select(MARKET_EVENT.names)
@@ -239,7 +239,8 @@ def candle_direction(spark, sf_dir):
 
 @query
 def latest_bar_snapshot(spark, sf_dir):
-    bars = _bars(spark, sf_dir, 5)
+    # Read twice, so stored: the ticks are many times larger than their bars.
+    bars = store(_bars(spark, sf_dir, 5), "bars")
     return _rounded(latest_bar(bars, RollingMean(9).batch(bars)), "ema")
 
 
@@ -460,7 +461,7 @@ def stream_open_bars(spark, sf_dir):
 def stream_serving(spark, sf_dir):
     """Bar and mean messages through the serving stream; what the table then holds."""
     root = new_run_dir(spark, "serving")
-    bars = _bars(spark, sf_dir, 5)
+    bars = store(_bars(spark, sf_dir, 5), "bars")
     means = RollingMean(9).batch(bars)
     sent = _bar_messages(bars).unionByName(
         messages.to_messages(means, "OHLC_5M_EMA_9", F.unix_millis("snapshot_time"))
@@ -482,7 +483,7 @@ def stream_serving(spark, sf_dir):
 @query
 def linear_model_predictions(spark, sf_dir):
     """Fitted on all five-minute bars and applied to the same rows."""
-    bars = _bars(spark, sf_dir, 5)
+    bars = store(_bars(spark, sf_dir, 5), "bars")
     model = LinearBarModel()
     model.fit(bars)
     return _rounded(
@@ -493,7 +494,7 @@ def linear_model_predictions(spark, sf_dir):
 @query
 def train_job_predictions(spark, sf_dir):
     """The training job over a topic of bar messages, for a model of one ticker."""
-    sent = _bar_messages(_bars(spark, sf_dir, 5))
+    sent = store(_bar_messages(_bars(spark, sf_dir, 5)), "messages")
     [trained] = train_job(lambda topic: sent, [LinearBarModel(["click"])])
     return _rounded(
         trained.predictions.select("ticker", "window_end", "prediction"), "prediction", 4

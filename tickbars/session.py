@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -26,6 +26,8 @@ def build_session(
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # Recording the call site of every column expression takes longer than planning.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **(conf or {}),
     }
     builder = SparkSession.builder.appName(app_name)
@@ -79,3 +81,10 @@ def _local_dir(application_id: str) -> str:
 def new_run_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path under the shared folder for one run's written tables."""
     return f"{shared_dir(spark)}/tickbars/{purpose}-{uuid.uuid4().hex}"
+
+
+def store(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written once under the shared folder, for what would be computed twice."""
+    path = new_run_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
