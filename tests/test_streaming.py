@@ -102,6 +102,27 @@ def test_a_second_run_adds_nothing(spark, tmp_path):
     assert stored.count() == stored.select("ticker", "window_end").distinct().count() > 0
 
 
+def test_a_replay_goes_on_after_a_failure(spark, tmp_path):
+    parts = [random_ticks(i, 100, i * 3000, (i + 1) * 3000) for i in range(3)]
+    frame = ticks(spark, [r for part in parts for r in part])
+    slices = [frame.filter(F.col("Arrival").between(i * 100, i * 100 + 99)) for i in range(3)]
+
+    def failing():
+        yield from slices[:2]
+        raise OSError("executor lost")
+
+    # The rows of a slice lie in several files, in no order of time.
+    slices = [s.repartition(3) for s in slices]
+    with pytest.raises(OSError):
+        replay(spark, failing(), f"{tmp_path}/a", [Ohlc(5)])
+    assert replay(spark, slices, f"{tmp_path}/a", [Ohlc(5)]) == 0
+    replay(spark, slices, f"{tmp_path}/b", [Ohlc(5)])
+    columns = ["ticker", F.unix_seconds("window_end"), "open_price", "close_price", "volume"]
+    again, once = [spark.read.parquet(f"{tmp_path}/{r}/OHLC_5M") for r in "ab"]
+    assert rows_of(again, *columns) == rows_of(once, *columns)
+    assert again.count() > 50
+
+
 def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     root = str(tmp_path)
     first = [("A", 10, 1.0), ("A", 400, 2.0), ("A", 1000, 3.0)]

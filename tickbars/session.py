@@ -88,3 +88,15 @@ def store(df: DataFrame, purpose: str) -> DataFrame:
     path = new_run_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of ``path``, and ``path`` as it takes it."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
+
+
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to ``path`` to the end."""
+    fs, marker = file_system(spark, f"{path}/_SUCCESS")
+    return fs.exists(marker)

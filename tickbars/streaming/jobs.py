@@ -13,7 +13,7 @@ from tickbars.operators.bars import Ohlc
 from tickbars.operators.metric import MARKET_TOPIC, Metric
 from tickbars.operators.rolling import RollingMean
 from tickbars.schemas import TICK
-from tickbars.session import ROCKSDB_PROVIDER, session_conf
+from tickbars.session import ROCKSDB_PROVIDER, is_written, session_conf
 
 # How far event time and bar time wait for late rows.
 EVENT_DELAY = "2 seconds"
@@ -139,13 +139,16 @@ def replay(
 
     ``slices`` are ticks in chronological order, such as one day's files each. A slice is
     landed whole and streamed to the end before the next, so that the watermark never
-    passes rows that are still to come, however the files within it are ordered.
+    passes rows that are still to come, however the files within it are ordered. Run
+    again with the same slices after a failure, it lands none twice and goes on.
     """
     landing = f"{root}/ticks"
     late = 0
-    for ticks in slices:
-        ticks.select(TICK.names).write.mode("append").parquet(landing)
-        source = spark.readStream.schema(TICK).parquet(landing)
+    for number, ticks in enumerate(slices):
+        part = f"{landing}/{number:06d}"
+        if not is_written(spark, part):
+            ticks.select(TICK.names).write.mode("overwrite").parquet(part)
+        source = spark.readStream.schema(TICK).parquet(f"{landing}/*")
         for query in stream_job(spark, source, root, metrics).values():
             late += late_rows(query)
     return late

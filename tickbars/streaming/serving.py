@@ -16,6 +16,7 @@ from tickbars.operators.messages import (
     serving_entries,
 )
 from tickbars.operators.ranges import NEWEST, OLDEST, entry_range, in_time
+from tickbars.session import file_system
 
 # The topics read when none is named.
 BAR_TOPIC = "OHLC_5M"
@@ -107,10 +108,8 @@ class ServingTable:
     def vacuum(self) -> None:
         """Delete the parts the newest snapshot replaces; readers of them must be done."""
         newest = self._newest_snapshot(self._parts())
-        jvm = self.spark._jvm
         for part, stale in (("batch", newest), ("snapshot", newest - 1)):
-            folder = jvm.org.apache.hadoop.fs.Path(f"{self.path}/part={part}")
-            fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            fs, folder = file_system(self.spark, f"{self.path}/part={part}")
             if not fs.exists(folder):
                 continue
             for status in fs.listStatus(folder):
