@@ -241,7 +241,9 @@ def candle_direction(spark, sf_dir):
 def latest_bar_snapshot(spark, sf_dir):
     # Read twice, so stored: the ticks are many times larger than their bars.
     bars = store(_bars(spark, sf_dir, 5), "bars")
-    return _rounded(latest_bar(bars, RollingMean(9).batch(bars)), "ema")
+    # The newest mean needs no more than the nine newest bars.
+    recent = latest_n(bars, ["ticker"], ["window_end"], 9)
+    return _rounded(latest_bar(bars, RollingMean(9).batch(recent)), "ema")
 
 
 @query
