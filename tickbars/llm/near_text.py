@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickbars.llm.bitmaps import bitmap, hits, places
 from tickbars.llm.components import components
 from tickbars.llm.shingles import (
     Bucket,
@@ -33,12 +34,11 @@ from tickbars.llm.shingles import (
     whole_sketch,
 )
 from tickbars.llm.tables import store
-from tickbars.llm.textbytes import U64, mix, slices
+from tickbars.llm.textbytes import U64, slices
 
 #: Members of a band's bucket that one task compares; larger ones are split by further bands.
 BUCKET_LIMIT = 20_000
 SPLITS = 3
-BLOOM_BITS = 1 << 23
 
 
 def near_components(
@@ -171,30 +171,50 @@ def _classes(signed: DataFrame) -> DataFrame:
 def _links(
     documents: DataFrame, classes: DataFrame, settings: SketchSettings, limit: int
 ) -> DataFrame:
-    """(a, b) of linked classes; enough of them to join all that are connected."""
+    """(a, b) of linked classes; enough of them to join all that are connected.
+
+    Every bucket proposes a spanning forest of its pairs that may be linked. Buckets with
+    a pair that proved not linked propose again without it, until nothing new comes.
+    """
     members = _buckets(classes, limit)
-    pairs = store(_candidates(members, classes, settings, sure=True), "near-pairs")
-    judged = store(_confirmed(documents, classes, pairs, settings), "near-judged")
-    wrong = judged.where("not linked and sure")
-    links = judged.where("linked").select("a", "b")
-    if wrong.isEmpty():
-        return links
-    # A pair taken for sure was none: its buckets are compared again, trusting none.
-    affected = members.join(
-        members.join(
-            wrong.select(F.col("b").alias("class")).distinct(), "class", "left_semi"
-        ).select("bucket").distinct(),
-        "bucket",
-        "left_semi",
+    pairs = store(_candidates(members, classes, settings), "near-pairs")
+    # Every class that any later pair has is in the first forests.
+    sets = store(_sets_of(documents, classes, pairs, settings), "near-sets")
+    judged = store(_confirmed(sets, pairs, settings), "near-judged")
+    rounds = [judged]
+    while not (failed := judged.where("not linked")).isEmpty():
+        again = _with_failed(members, failed, rounds)
+        pairs = _candidates(again, classes, settings)
+        for known in rounds:
+            pairs = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
+        judged = store(_confirmed(sets, store(pairs, "near-pairs"), settings), "near-judged")
+        rounds.append(judged)
+    links = rounds[0]
+    for more in rounds[1:]:
+        links = links.unionAll(more)
+    return links.where("linked").select("a", "b")
+
+
+def _with_failed(
+    members: DataFrame, failed: DataFrame, rounds: list[DataFrame]
+) -> DataFrame:
+    """Members of the buckets that hold a failed pair, with what failed for each so far."""
+    one = members.join(failed.select(F.col("a").alias("class"), "b"), "class")
+    buckets = (
+        one.select("bucket", F.col("b").alias("class"))
+        .join(members, ["bucket", "class"], "left_semi")
+        .select("bucket")
+        .distinct()
     )
-    more = store(
-        _candidates(affected, classes, settings, sure=False).join(
-            judged.select("a", "b"), ["a", "b"], "left_anti"
-        ),
-        "near-pairs",
+    ever = rounds[0]
+    for more in rounds[1:]:
+        ever = ever.unionAll(more)
+    ever = ever.where("not linked")
+    both = ever.select("a", "b").unionAll(ever.select(F.col("b"), F.col("a")))
+    partners = both.groupBy(F.col("a").alias("class")).agg(
+        F.collect_set("b").alias("failed")
     )
-    again = _confirmed(documents, classes, more, settings).where("linked").select("a", "b")
-    return links.unionAll(again)
+    return members.join(buckets, "bucket", "left_semi").join(partners, "class", "left")
 
 
 def _buckets(classes: DataFrame, limit: int) -> DataFrame:
@@ -236,8 +256,10 @@ def _buckets(classes: DataFrame, limit: int) -> DataFrame:
 
 
 def _candidates(
-    members: DataFrame, classes: DataFrame, settings: SketchSettings, *, sure: bool
+    members: DataFrame, classes: DataFrame, settings: SketchSettings
 ) -> DataFrame:
+    """(a, b) that the buckets propose; ``members`` may tell what failed."""
+    tells = "failed" in members.columns
     rows = members.join(
         classes.select("class", "n_shingles", "sampled", "whole"), "class"
     )
@@ -254,7 +276,10 @@ def _candidates(
                 group.column("whole").to_pylist(),
                 settings,
             )
-            if pairs := bucket.forest(sure=sure):
+            failed = None
+            if tells:
+                failed = [set(x or ()) for x in group.column("failed").to_pylist()]
+            if pairs := bucket.forest(failed):
                 ends = ids[np.array(pairs)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ends.min(axis=1)), pa.array(ends.max(axis=1))],
@@ -266,7 +291,6 @@ def _candidates(
         .sortWithinPartitions("bucket", "class")
         .mapInArrow(run, "a long, b long")
         .distinct()
-        .withColumn("sure", F.lit(sure))
     )
 
 
@@ -290,76 +314,45 @@ def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(kept)
 
 
-def _confirmed(
+def _sets_of(
     documents: DataFrame, classes: DataFrame, pairs: DataFrame, settings: SketchSettings
 ) -> DataFrame:
-    """``pairs`` with whether their full sets are linked.
+    """(class, n_shingles, members) of every class in ``pairs``.
 
-    Only one document of each class in question is read into a set; a bitmap of fixed
-    size tells the scan which.
+    One document of each class is read into a set; a bitmap of fixed size tells the scan
+    which.
     """
-    wanted = classes.select("class", "row_key", "n_shingles").join(
-        pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(),
-        "class",
-        "left_semi",
-    )
-    wanted = store(wanted, "near-wanted")
-    sets = store(
-        _sets(documents, _bitmap(wanted), settings)
-        .join(wanted, "row_key")
-        .dropDuplicates(["class"])
-        .select("class", "n_shingles", "members"),
-        "near-sets",
-    )
-    left = sets.select(
-        F.col("class").alias("a"), F.col("members").alias("of_a"), F.col("n_shingles").alias("n_a")
-    )
-    right = sets.select(
-        F.col("class").alias("b"), F.col("members").alias("of_b"), F.col("n_shingles").alias("n_b")
+    wanted = store(
+        classes.select("class", "row_key", "n_shingles").join(
+            pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(),
+            "class",
+            "left_semi",
+        ),
+        "near-wanted",
     )
-    shared = F.size(F.array_intersect("of_a", "of_b"))
+    found = _sets(documents, bitmap(wanted, F.col("row_key")), settings)
     return (
-        pairs.join(right, "b")
-        .join(left, "a")
-        .select(
-            "a",
-            "b",
-            "sure",
-            (shared * 100 >= settings.percent * (F.col("n_a") + F.col("n_b") - shared)).alias(
-                "linked"
-            ),
-        )
-    )
-
-
-def _bitmap(wanted: DataFrame) -> np.ndarray:
-    """Bits that the wanted row keys set, gathered as at most ``BLOOM_BITS / 64`` words."""
-    words = (
-        wanted.select(F.explode(F.array(*_places(F.col("row_key")))).alias("at"))
-        .groupBy(F.shiftright("at", 5).alias("word"))
-        .agg(F.expr("bit_or(shiftleft(1L, int(at % 32)))").alias("bits"))
-        .toPandas()
+        found.join(wanted, "row_key")
+        .dropDuplicates(["class"])
+        .select("class", "n_shingles", "members")
     )
-    table = np.zeros(BLOOM_BITS // 32, dtype=np.uint32)
-    table[words["word"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64)
-    return table
 
 
-def _places(key):
-    return [F.pmod(F.xxhash64(F.lit(k), key), F.lit(BLOOM_BITS)) for k in (1, 2)]
+def _confirmed(sets: DataFrame, pairs: DataFrame, settings: SketchSettings) -> DataFrame:
+    """``pairs`` with whether their full sets are linked."""
+    left = sets.toDF("a", "n_a", "of_a")
+    right = sets.toDF("b", "n_b", "of_b")
+    shared = F.size(F.array_intersect("of_a", "of_b"))
+    linked = shared * 100 >= settings.percent * (F.col("n_a") + F.col("n_b") - shared)
+    return pairs.join(right, "b").join(left, "a").select("a", "b", linked.alias("linked"))
 
 
-def _sets(documents: DataFrame, bitmap: np.ndarray, settings: SketchSettings) -> DataFrame:
-    shared = documents.sparkSession.sparkContext.broadcast(bitmap)
+def _sets(documents: DataFrame, wanted: np.ndarray, settings: SketchSettings) -> DataFrame:
+    shared = documents.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
         for batch in batches:
-            hit = np.ones(batch.num_rows, dtype=bool)
-            for name in ("place_0", "place_1"):
-                at = batch.column(name).to_numpy()
-                hit &= (table[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1
-            batch = batch.filter(pa.array(hit))
+            batch = batch.filter(pa.array(hits(shared.value, batch)))
             for low, high, data, offsets in slices(batch.column("text")):
                 values, bounds = shingle_sets(data, offsets, settings.shingle)
                 yield pa.RecordBatch.from_arrays(
@@ -373,7 +366,6 @@ def _sets(documents: DataFrame, bitmap: np.ndarray, settings: SketchSettings) ->
                 )
 
     keyed = documents.select("text", _row_key().alias("row_key"))
-    places = [x.alias(f"place_{k}") for k, x in enumerate(_places(F.col("row_key")))]
-    return keyed.select("text", "row_key", *places).mapInArrow(
+    return keyed.select("text", "row_key", *places(F.col("row_key"))).mapInArrow(
         run, "row_key long, members array<long>"
     )

@@ -130,12 +130,12 @@ def differing_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def whole_sketch(values: np.ndarray) -> bytes:
-    """Parity bitmap of a whole set, four bits an element, a power of two of them.
+    """Parity bitmap of a whole set, eight bits an element, a power of two of them.
 
     An element in one of two sets flips one bit of their XOR, so its population count
     never exceeds the size of the symmetric difference.
     """
-    bits = max(64, 1 << int(4 * len(values) - 1).bit_length())
+    bits = max(64, 1 << int(8 * len(values) - 1).bit_length())
     at = (mix(values ^ U64(0x5851F42D4C957F2D)) & U64(bits - 1)).astype(np.int64)
     odd = (np.bincount(at, minlength=bits) & 1).astype(np.uint8)
     return np.packbits(odd, bitorder="little").tobytes()
@@ -167,19 +167,18 @@ class Bucket:
             if middle:
                 self.half[level] = matrix[:, :middle] ^ matrix[:, middle:]
 
-    def near(self, one: int, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Those of ``others`` that may be linked to ``one``, and which of them surely are
-        but for hash collisions."""
+    def near(self, one: int, others: np.ndarray) -> np.ndarray:
+        """Those of ``others`` that may be linked to ``one``, the likeliest first.
+
+        Sizes, the odd sketches of the samples and those of the whole sets each rule
+        out pairs that cannot be linked; the last rules out nearly all of them.
+        """
         percent = self.settings.percent
         a, b = self.sizes[one], self.sizes[others]
-        fits = np.minimum(a, b) * 100 >= percent * np.maximum(a, b)
-        others = others[fits]
+        others = others[np.minimum(a, b) * 100 >= percent * np.maximum(a, b)]
         bits = differing_bits(self.sampled[others], self.sampled[one])
         others = others[bits <= self.settings.most_bits]
-        if not len(others):
-            return others, np.zeros(0, dtype=bool)
-        count = np.zeros(len(others), dtype=np.int64)
-        space = np.zeros(len(others))
+        count = np.full(len(others), np.inf)
         mine = self.level[one]
         for level in (mine // 2, mine, mine * 2):
             at = np.flatnonzero(self.level[others] == level)
@@ -192,40 +191,39 @@ class Bucket:
                 else:
                     left, right = self.own[level][rows], self.half[mine][self.slot[one]]
                 count[at] = differing_bits(left, right)
-                space[at] = left.shape[1] * 64
         # percent * union <= 100 * shared, in terms of the symmetric difference.
-        most = (a + self.sizes[others]) * (100 - percent) / (100 + percent)
-        may = (count <= most) & (space > 0)
-        hidden = 2 + 4 * (count + 1) ** 2 / np.maximum(space, 1)
-        return others[may], (count + hidden <= most)[may]
+        share = count * (100 + percent) / ((a + self.sizes[others]) * (100 - percent))
+        may = np.flatnonzero(share <= 1)
+        return others[may[np.argsort(share[may], kind="stable")]]
 
-    def forest(self, *, sure: bool) -> list[tuple[int, int]]:
-        """Pairs to confirm: those that join the bucket's groups of surely linked rows,
-        and all pairs between two groups that only the full sets can decide.
+    def forest(self, failed: list[set[int]] | None = None) -> list[tuple[int, int]]:
+        """Pairs to confirm: a spanning forest of the pairs that may be linked.
 
-        With ``sure`` off no pair counts as sure, for buckets where one proved wrong.
+        ``failed`` has for each row the ids that were found not linked to it. Such pairs
+        are left out, and a row that has any gets four times as many pairs more, so that
+        a row that is linked to nothing is through after a few rounds.
         """
-        n = len(self.ids)
-        group = np.full(n, -1)
-        left = np.arange(n)
+        left = np.arange(len(self.ids))
         pairs: list[tuple[int, int]] = []
-        doubtful: list[tuple[int, np.ndarray]] = []
         while len(left):
-            root, queue = left[0], [left[0]]
-            group[root] = root
-            left = left[1:]
+            queue, left = [left[0]], left[1:]
             while queue and len(left):
                 one = queue.pop()
-                found, certain = self.near(one, left)
-                certain = certain & sure
-                linked = found[certain]
-                if len(found) > len(linked):
-                    doubtful.append((one, found[~certain]))
-                if len(linked):
-                    group[linked] = root
-                    queue += linked.tolist()
-                    pairs += [(one, x) for x in linked.tolist()]
-                    left = left[group[left] < 0]
-        for one, others in doubtful:
-            pairs += [(one, x) for x in others[group[others] != group[one]].tolist()]
+                found = self._but(self.near(one, left), one, failed)
+                if len(found):
+                    queue += found.tolist()
+                    pairs += [(one, x) for x in found.tolist()]
+                    left = left[~np.isin(left, found, assume_unique=True)]
+        for one, known in enumerate(failed or []):
+            if known:
+                others = np.delete(np.arange(len(self.ids)), one)
+                found = self._but(self.near(one, others), one, failed)
+                pairs += [(one, x) for x in found[: 4 * len(known)].tolist()]
         return pairs
+
+    def _but(
+        self, found: np.ndarray, one: int, failed: list[set[int]] | None
+    ) -> np.ndarray:
+        if not failed or not failed[one]:
+            return found
+        return found[[x not in failed[one] for x in self.ids[found].tolist()]]

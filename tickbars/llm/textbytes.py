@@ -78,8 +78,8 @@ class RollingHash:
         n = len(self._sums) - length
         if n <= 0:
             return np.zeros(0, dtype=U64)
-        raw = (self._sums[length:] - self._sums[:n]) * self._down[:n]
-        return mix(raw + U64(length) * _STEP)
+        raw = (self._sums[length:][:n] - self._sums[:n]) * self._down[:n]
+        return mix(raw + np.array([length], dtype=U64) * _STEP)
 
 
 def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
