@@ -62,7 +62,7 @@ def targets(
     """source, n_source, source_size, target: one row per source of ``rows``.
 
     Targets share ``share`` times all words by weight and stop at ``most`` times their
-    source's. With sources ordered by the weight at which they stop, those before some
+    source's. With sources ordered by the rate at which they stop, those before some
     place stop, and the others split by weight what the stopped ones leave.
     """
     sizes = rows.groupBy("source").agg(
@@ -85,15 +85,14 @@ def targets(
         sizes.withColumn("weight", weight)
         .withColumn("stop", stop)
         .withColumn("rate", left / F.sum("weight").over(after))
-        .withColumn("open", F.col("stop") >= F.col("rate") * F.col("weight"))
-        .withColumn("rate", F.min(F.when(F.col("open"), F.col("rate"))).over(whole))
+        # Stopping a source below its share raises the others', stopping one above it
+        # lowers them: the right place to split the order is where the rate is largest.
+        .withColumn("rate", F.max("rate").over(whole))
         .select(
             "source",
             "n_source",
             "source_size",
-            F.when(F.col("rate").isNull(), F.col("stop"))
-            .otherwise(F.least("stop", F.col("rate") * F.col("weight")))
-            .alias("target"),
+            F.least("stop", F.col("rate") * F.col("weight")).alias("target"),
         )
     )
 
@@ -187,11 +186,11 @@ def _round(
             if not batch.num_rows:
                 continue
             table = batch if held is None else pa.concat_batches([held, batch])
-            held = yield from _pivot(table, held is not None)
+            held = yield from _pivot(table)
         if held is not None:
             yield _closed(held, final, split_last)
 
-    def _pivot(table: pa.RecordBatch, carried: bool):
+    def _pivot(table: pa.RecordBatch):
         """Settle all rows but the last group's holder, which is returned."""
         names = table.column("source").to_pylist()
         bucket = table.column("bucket").to_pylist()

@@ -6,15 +6,53 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tickbars.llm import url_rules
+from tickbars.llm.decontaminate import contamination
+from tickbars.llm.lattice_lm import score_documents
+from tickbars.llm.mixing import mixture
 from tickbars.llm.near_text import near_components
 from tickbars.llm.quality import fit_quality, grade_documents
-from tickbars.llm.tables import read_table
+from tickbars.llm.repeats import remove_repeats
+from tickbars.llm.tables import read_table, tokenizer_file
+from tickbars.llm.tokens import read_tokens, token_digest, write_tokens
+from tickbars.session import new_run_dir
+
+
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
+def op2_lattice_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = tokenizer_file("piece_bpe_32k.model")
+    return score_documents(read_table(spark, sf_dir, "documents"), vocabulary)
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_run_dir(spark, "tokens")
+    documents = read_table(spark, sf_dir, "documents")
+    write_tokens(documents, path, tokenizer_file("byte_bpe_50k.json"))
+    return token_digest(read_tokens(spark, path))
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(read_table(spark, sf_dir, "documents")).drop("row_key")
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    return contamination(documents, read_table(spark, sf_dir, "benchmark")).drop("row_key")
+
+
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixture(read_table(spark, sf_dir, "documents"))
+    return mix.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = url_rules.rule_table(spark, url_rules.RULES)
+    return url_rules.judge_urls(read_table(spark, sf_dir, "pages"), rules)
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     model = fit_quality(documents, read_table(spark, sf_dir, "labels"))
@@ -22,6 +60,16 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_minhash_near_dedup, op10_quality_classifier)
+    f.__name__: f
+    for f in (
+        op1_suffix_array_dedup,
+        op2_lattice_lm_scoring,
+        op3_token_files,
+        op5_minhash_near_dedup,
+        op6_benchmark_decontamination,
+        op8_source_mixing,
+        op9_url_filters,
+        op10_quality_classifier,
+    )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op9_url_filters": url_rules.ORACLE}

@@ -30,3 +30,10 @@ def text_key(text: Column) -> list[Column]:
 
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def tokenizer_file(name: str) -> str:
+    """The place of a public tokenizer's file, the same on driver and executors."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))

@@ -140,9 +140,9 @@ def _rule_stacks(rules: DataFrame) -> DataFrame:
         .select(reversed_key(F.col("host")).alias("key"), entry.alias("entry"))
     )
     keys = own.select("key").distinct()
-    prefixes = F.transform(
-        F.sequence(F.lit(1), _labels("key")),
-        lambda n: F.concat(F.substring_index(F.col("key"), F.lit(_CLOSE), n), F.lit(_CLOSE)),
+    prefixes = F.expr(
+        f"transform(sequence(1, size(split(key, '{_CLOSE}')) - 1), "
+        f"n -> concat(substring_index(key, '{_CLOSE}', n), '{_CLOSE}'))"
     )
     above = keys.select("key", F.explode(prefixes).alias("prefix"))
     return (
@@ -156,7 +156,7 @@ def _events(stacks: DataFrame) -> DataFrame:
     """(key, turn, stack): a push at an interval's start, a pop to what was below at its end.
 
     Ends come before the points of their key and starts too; only rules of two labels or
-    more have events, and a pop to rules of one label alone leaves null.
+    more have events.
     """
     inner = stacks.where(_labels("key") > 1)
     n = F.length("key")
