@@ -32,17 +32,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickbars.llm.bitmaps import bitmap, hits, places
 from tickbars.llm.tables import store
-from tickbars.llm.textbytes import SLICE_BYTES, U64, RollingHash, mix, slices, sliding_min
+from tickbars.llm.textbytes import U64, RollingHash, bytes_of, mix, slices, sliding_min
 
 THRESHOLD = 100
-GRAM = 32
-#: Anchors among which a task removes equal ones before it sends them.
-FLUSH = 1 << 20
+GRAM = 48
+#: Rows among which a task removes equal ones before it sends them.
+FLUSH = 1 << 18
+#: Bytes that a task hashes at once.
+PIECE = 1 << 20
 _STRETCH = U64(0x9FB21C651E98DF25)
 
 
@@ -90,13 +93,13 @@ def pieces(column: pa.Array, threshold: int) -> Iterator[tuple[int, np.ndarray,
     A row beyond the bound comes in parts that overlap by all but a byte of a string, so
     each string is whole in exactly one.
     """
-    for low, high, data, offsets in slices(column):
-        if len(data) <= 2 * SLICE_BYTES:
+    for low, _, data, offsets in slices(column, PIECE):
+        if len(data) <= 2 * PIECE:
             yield low, data, offsets, 0
             continue
         # Only a single row is longer than that.
-        for start in range(0, max(len(data) - threshold + 1, 1), SLICE_BYTES):
-            part = data[start : start + SLICE_BYTES + threshold - 1]
+        for start in range(0, max(len(data) - threshold + 1, 1), PIECE):
+            part = data[start : start + PIECE + threshold - 1]
             yield low, part, np.array([0, len(part)]), start
 
 
@@ -343,48 +346,54 @@ def _texts_of(keyed: DataFrame, spans: DataFrame, keep_rest: bool) -> DataFrame:
     return some
 
 
+def _span_arrays(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all rows' spans, and where each row's begin; null has none."""
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
+    flat = column.flatten()
+    bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    start, end = (flat.field(k).to_numpy().astype(np.int64) for k in (0, 1))
+    return start, end, bounds
+
+
 def _strings(keyed: DataFrame, stretches: DataFrame, threshold: int) -> DataFrame:
     """(doc_id, tie, start, end) of strings in ``stretches`` that occurred before."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[dict[str, np.ndarray]] = []
+        size = 0
         for batch in batches:
             ids, ties = batch.column("doc_id").to_numpy(), batch.column("tie").to_numpy()
-            spans = batch.column("spans").to_pylist()
+            starts, ends, bounds = _span_arrays(batch.column("spans"))
             for low, data, offsets, place in pieces(batch.column("text"), threshold):
-                rolling = RollingHash(data)
-                rows, starts = [], []
-                for row in range(len(offsets) - 1):
-                    size = offsets[row + 1] - offsets[row]
-                    for span in spans[low + row]:
-                        first = max(span["start"] - place, 0)
-                        last = min(span["end"] - place, size, SLICE_BYTES + threshold - 1
-                                   if place or size > 2 * SLICE_BYTES else size)
-                        if last - first >= threshold:
-                            starts.append(np.arange(first, last - threshold + 1) + offsets[row])
-                            rows.append(np.full(len(starts[-1]), row))
-                if not rows:
+                high = low + len(offsets) - 1
+                own = slice(bounds[low], bounds[high])
+                row = np.repeat(np.arange(high - low), np.diff(bounds[low : high + 1]))
+                first = np.maximum(starts[own] - place, 0)
+                last = np.minimum(ends[own] - place, np.diff(offsets)[row])
+                count = np.maximum(last - first - threshold + 1, 0)
+                if not count.sum():
                     continue
-                row, start = np.concatenate(rows), np.concatenate(starts)
-                x = {
-                    # The doubled name: both halves' and, beside it, the whole's.
-                    "left": rolling.of(start, start + threshold // 2),
-                    "name": rolling.of(start, start + threshold),
-                    "doc_id": ids[low + row],
-                    "tie": ties[low + row],
-                    "start": start - offsets[row] + place,
-                }
-                x["end"] = x["start"] + threshold
-                order = np.lexsort((x["start"], x["tie"], x["doc_id"], x["left"], x["name"]))
-                x = {k: v[order] for k, v in x.items()}
-                new = _changes(x["name"]) | _changes(x["left"])
-                lead = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-                later = ~new & ~(
-                    (x["doc_id"] == x["doc_id"][lead])
-                    & (x["tie"] == x["tie"][lead])
-                    & (x["start"] == x["start"][lead])
+                span = np.repeat(np.arange(len(count)), count)
+                step = np.arange(len(span)) - np.repeat(np.cumsum(count) - count, count)
+                row, inside = row[span], first[span] + step
+                start = inside + offsets[row]
+                rolling = RollingHash(data)
+                parts.append(
+                    {
+                        # The doubled name: the first half's and, beside it, the whole's.
+                        "left": rolling.of(start, start + threshold // 2),
+                        "name": rolling.of(start, start + threshold),
+                        "doc_id": ids[low + row],
+                        "tie": ties[low + row],
+                        "start": inside + place,
+                    }
                 )
-                yield _named(merged({k: v[later] for k, v in x.items()}), removed=True)
-                yield _named({k: v[new] for k, v in x.items()}, removed=False)
+                size += len(start)
+                if size >= FLUSH:
+                    yield from _sent(parts, threshold)
+                    parts, size = [], 0
+        if parts:
+            yield from _sent(parts, threshold)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
@@ -428,6 +437,23 @@ def _strings(keyed: DataFrame, stretches: DataFrame, threshold: int) -> DataFram
     )
 
 
+def _sent(parts: list[dict[str, np.ndarray]], threshold: int) -> Iterator[pa.RecordBatch]:
+    """Strings without those that a task has seen, and these as removed spans."""
+    x = {k: np.concatenate([p[k] for p in parts]) for k in parts[0]}
+    x["end"] = x["start"] + threshold
+    order = np.lexsort((x["start"], x["tie"], x["doc_id"], x["left"], x["name"]))
+    x = {k: v[order] for k, v in x.items()}
+    new = _changes(x["name"]) | _changes(x["left"])
+    lead = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+    later = ~new & (
+        (x["doc_id"] != x["doc_id"][lead])
+        | (x["tie"] != x["tie"][lead])
+        | (x["start"] != x["start"][lead])
+    )
+    yield _named(merged({k: v[later] for k, v in x.items()}), removed=True)
+    yield _named({k: v[new] for k, v in x.items()}, removed=False)
+
+
 def _named(x: dict[str, np.ndarray], *, removed: bool) -> pa.RecordBatch:
     n = len(x["start"])
     return pa.RecordBatch.from_arrays(
@@ -448,12 +474,13 @@ def _applied(keyed: DataFrame, spans: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text, found in zip(
-                batch.column("text"), batch.column("spans").to_pylist(), strict=True
-            ):
-                data = memoryview(text.as_buffer()) if text.is_valid else memoryview(b"")
+            texts, places_ = bytes_of(batch.column("text"))
+            starts, ends, bounds = _span_arrays(batch.column("spans"))
+            for k in range(batch.num_rows):
+                data = texts[places_[k] : places_[k + 1]]
+                own = slice(bounds[k], bounds[k + 1])
                 digest, at, removed, n = hashlib.sha256(), 0, 0, 0
-                for low, high in union(found or []):
+                for low, high in union(starts[own].tolist(), ends[own].tolist()):
                     digest.update(data[at:low])
                     removed, n, at = removed + high - low, n + 1, high
                 digest.update(data[at:])
@@ -475,15 +502,20 @@ def _applied(keyed: DataFrame, spans: DataFrame) -> DataFrame:
     )
 
 
-def union(spans: list[dict]) -> list[tuple[int, int]]:
-    """Maximal runs covered by sorted spans."""
-    runs: list[list[int]] = []
-    for span in spans:
-        if runs and span["start"] <= runs[-1][1]:
-            runs[-1][1] = max(runs[-1][1], span["end"])
-        else:
-            runs.append([span["start"], span["end"]])
-    return [(a, b) for a, b in runs]
+def union(starts: list[int], ends: list[int]) -> list[tuple[int, int]]:
+    """Maximal runs covered by spans in order of their starts."""
+    runs: list[tuple[int, int]] = []
+    low = high = -1
+    for start, end in zip(starts, ends, strict=True):
+        if start > high:
+            if high >= 0:
+                runs.append((low, high))
+            low, high = start, end
+        elif end > high:
+            high = end
+    if high >= 0:
+        runs.append((low, high))
+    return runs
 
 
 def _with_copies(cut: DataFrame, threshold: int) -> DataFrame:

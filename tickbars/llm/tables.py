@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,9 +15,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def store(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: its lineage ends there."""
+    """``df`` written once to the shared folder and read back: its lineage ends there.
+
+    Executors keep a shuffle's files until the driver collects the plan that made them.
+    """
     path = new_run_dir(df.sparkSession, purpose)
     df.write.parquet(path)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
