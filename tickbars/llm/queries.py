@@ -11,6 +11,8 @@ from tickbars.llm.decontaminate import contamination
 from tickbars.llm.lattice_lm import score_documents
 from tickbars.llm.mixing import mixture
 from tickbars.llm.near_text import near_components
+from tickbars.llm.near_vectors import vector_components
+from tickbars.llm.pii import find_personal_data, fit_field
 from tickbars.llm.quality import fit_quality, grade_documents
 from tickbars.llm.repeats import remove_repeats
 from tickbars.llm.tables import read_table, tokenizer_file
@@ -34,6 +36,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digest(read_tokens(spark, path))
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_components(read_table(spark, sf_dir, "embeddings"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(read_table(spark, sf_dir, "documents")).drop("row_key")
 
@@ -43,6 +49,11 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contamination(documents, read_table(spark, sf_dir, "benchmark")).drop("row_key")
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    return find_personal_data(documents, fit_field(documents))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixture(read_table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken")
@@ -65,8 +76,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_suffix_array_dedup,
         op2_lattice_lm_scoring,
         op3_token_files,
+        op4_embedding_near_dedup,
         op5_minhash_near_dedup,
         op6_benchmark_decontamination,
+        op7_personal_data,
         op8_source_mixing,
         op9_url_filters,
         op10_quality_classifier,
