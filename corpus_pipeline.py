@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tickbars.llm.decontaminate import keep_uncontaminated
+from tickbars.llm.mixing import mixed
 from tickbars.llm.near_text import keep_first
 from tickbars.llm.quality import fit_quality, keep_good
-from tickbars.llm.tables import read_table, store
+from tickbars.llm.tables import read_table, store, tokenizer_file
+from tickbars.llm.tokens import read_tokens, write_tokens
+from tickbars.session import new_run_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -23,12 +27,32 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_first(docs)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold too little of any benchmark item to go."""
+    return keep_uncontaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's target weight takes it."""
+    return mixed(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files, read back: doc_id, start, n_tokens, ids of every row."""
+    path = new_run_dir(spark, "pipeline-tokens")
+    write_tokens(docs, path, tokenizer_file("byte_bpe_50k.json"))
+    return read_tokens(spark, path)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality classifier", quality),
     ("MinHash near-dedup", near_dedup),
+    ("benchmark decontamination", decontamination),
+    ("mixing to target weights", mixing),
+    ("token-ID output", tokens),
 ]
-#: The fitted classifier, hashes and tokenizer have no SQL; tests hold the stages
-#: against brute-force versions.
+#: The fitted classifier, hashes, draws and the tokenizer have no SQL; tests hold the
+#: stages against brute-force versions.
 ORACLE_SQL = None
 
 
