@@ -51,7 +51,7 @@ _STRETCH = U64(0x9FB21C651E98DF25)
 
 def remove_repeats(documents: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    keyed = _keyed(documents)
+    keyed = _Keyed(documents)
     first = store(_stretches(keyed, threshold), "repeat-stretches")
     second = store(_strings(keyed, first.where("kind = 2"), threshold), "repeat-strings")
     spans = (
@@ -63,28 +63,48 @@ def remove_repeats(documents: DataFrame, threshold: int = THRESHOLD) -> DataFram
     return _with_copies(cut, threshold)
 
 
-def _keyed(documents: DataFrame) -> DataFrame:
-    """doc_id, tie, text: ``tie`` tells rows of one id apart and is 0 where ids don't repeat."""
-    ids = documents.select(F.col("doc_id").cast("long").alias("doc_id"))
-    repeated = ids.groupBy("doc_id").count().where("count > 1 and doc_id is not null")
-    shared = documents.sparkSession.sparkContext.broadcast(bitmap(repeated, F.col("doc_id")))
-    tied = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.xxhash64("text").alias("tie"),
-        "text",
-        *places(F.col("doc_id").cast("long")),
-    )
+#: Stands for a null id, which comes last.
+_NO_ID = np.iinfo(np.int64).max
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hit = hits(shared.value, batch) | batch.column("doc_id").is_null().to_numpy(False)
-            tie = np.where(hit, batch.column("tie").to_numpy(), 0)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(tie), batch.column("text")],
-                names=["doc_id", "tie", "text"],
-            )
 
-    return tied.mapInArrow(run, "doc_id long, tie long, text string")
+class _Keyed:
+    """Rows by id and ``tie``, which tells rows of one id apart and is 0 where ids don't
+    repeat, as a bitmap of repeated ids says."""
+
+    def __init__(self, documents: DataFrame) -> None:
+        doc_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(int(_NO_ID)))
+        rows = documents.select(doc_id.alias("doc_id"), F.xxhash64("text").alias("tie"), "text")
+        repeated = rows.groupBy("doc_id").count().where("count > 1").select("doc_id")
+        self.repeated = self._shared(documents, bitmap(repeated, F.col("doc_id")))
+        self.rows = rows.select("*", *places(F.col("doc_id")))
+
+    @staticmethod
+    def _shared(documents: DataFrame, bits: np.ndarray):
+        return documents.sparkSession.sparkContext.broadcast(bits)
+
+    def map(self, run, schema: str) -> DataFrame:
+        """``run`` over (doc_id, tie, text) batches; one Python worker a task."""
+        repeated = self.repeated
+
+        def tied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ids = batch.column("doc_id").to_numpy()
+                known = hits(repeated.value, batch) | (ids == _NO_ID)
+                tie = np.where(known, batch.column("tie").to_numpy(), 0)
+                columns = [batch.column("doc_id"), pa.array(tie), *batch.columns[2:]]
+                yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+        return self.rows.mapInArrow(lambda batches: run(tied(batches)), schema)
+
+    def having(self, table: DataFrame, run, schema: str, *, wanted: bool = True) -> DataFrame:
+        """``run`` over the rows whose id ``table`` may have, or surely does not have."""
+        bits = self._shared(table, bitmap(table, F.col("doc_id")))
+
+        def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(hits(bits.value, batch) == wanted))
+
+        return self.map(lambda batches: run(chosen(batches)), schema)
 
 
 def pieces(column: pa.Array, threshold: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
@@ -219,21 +239,13 @@ def merged(x: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     return out
 
 
-#: Stands for a null id, which comes last.
-_NO_ID = np.iinfo(np.int64).max
-
-
-def _ids(column: pa.Array) -> np.ndarray:
-    return column.fill_null(_NO_ID).to_numpy()
-
-
-def _stretches(keyed: DataFrame, threshold: int) -> DataFrame:
+def _stretches(keyed: _Keyed, threshold: int) -> DataFrame:
     """(kind, doc_id, tie, start, end): 0 a removed span, 2 strings to be compared."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sender = _Sender(threshold)
         for batch in batches:
-            ids, ties = _ids(batch.column("doc_id")), batch.column("tie").to_numpy()
+            ids, ties = batch.column("doc_id").to_numpy(), batch.column("tie").to_numpy()
             for low, data, offsets, place in pieces(batch.column("text"), threshold):
                 found = anchored(data, offsets, threshold)
                 row = found.pop("row")
@@ -271,8 +283,7 @@ def _stretches(keyed: DataFrame, threshold: int) -> DataFrame:
                 seen[0] += 1 if waiting is not None else 2
             many = ((seen > 1) | flagged)[group]
             lead = np.maximum.accumulate(np.where(new, np.arange(n), -1))
-            at = np.stack([_ids(batch.column("doc_id")), batch.column("tie").to_numpy(),
-                           batch.column("start").to_numpy()])
+            at = np.stack([batch.column(c).to_numpy() for c in ("doc_id", "tie", "start")])
             own = np.where(lead >= 0, (at == at[:, np.maximum(lead, 0)]).all(axis=0), False)
             if place is not None:
                 own |= (lead < 0) & (at == place[:, None]).all(axis=0)
@@ -296,7 +307,7 @@ def _stretches(keyed: DataFrame, threshold: int) -> DataFrame:
             anchor, stretch = a[-1], s[-1]
 
     return (
-        keyed.mapInArrow(
+        keyed.map(
             send,
             "kind byte, anchor long, stretch long, doc_id long, tie long, start int, end int",
         )
@@ -317,33 +328,15 @@ def _spans(batch: pa.RecordBatch, rows: np.ndarray, kind: np.ndarray) -> pa.Reco
     )
 
 
-def _texts_of(keyed: DataFrame, spans: DataFrame, keep_rest: bool) -> DataFrame:
-    """``keyed`` with the sorted spans of its rows; rows without any only if asked for.
-
-    A bitmap of fixed size tells rows that surely have none; they are not shuffled.
-    """
-    gathered = spans.groupBy("doc_id", "tie").agg(
+def _gathered(spans: DataFrame) -> DataFrame:
+    return spans.groupBy("doc_id", "tie").agg(
         F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans")
     )
-    key = F.xxhash64("doc_id", "tie")
-    table = bitmap(gathered, key)
-    shared = keyed.sparkSession.sparkContext.broadcast(table)
-    placed = keyed.withColumn(
-        "doc_id", F.coalesce("doc_id", F.lit(int(_NO_ID)))
-    ).select("doc_id", "tie", "text", *places(F.xxhash64("doc_id", "tie")))
-
-    def chosen(wanted: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                hit = hits(shared.value, batch)
-                yield batch.select(["doc_id", "tie", "text"]).filter(pa.array(hit == wanted))
 
-        return placed.mapInArrow(run, "doc_id long, tie long, text string")
 
-    some = chosen(True).join(gathered, ["doc_id", "tie"], "left" if keep_rest else "inner")
-    if keep_rest:
-        return some.unionByName(chosen(False), allowMissingColumns=True)
-    return some
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield batch.select(["doc_id", "tie", "text"])
 
 
 def _span_arrays(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -355,7 +348,7 @@ def _span_arrays(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return start, end, bounds
 
 
-def _strings(keyed: DataFrame, stretches: DataFrame, threshold: int) -> DataFrame:
+def _strings(keyed: _Keyed, stretches: DataFrame, threshold: int) -> DataFrame:
     """(doc_id, tie, start, end) of strings in ``stretches`` that occurred before."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -425,8 +418,10 @@ def _strings(keyed: DataFrame, stretches: DataFrame, threshold: int) -> DataFram
                 names=["doc_id", "tie", "start", "end"],
             )
 
+    gathered = _gathered(stretches)
     return (
-        _texts_of(keyed, stretches, keep_rest=False)
+        keyed.having(stretches.select("doc_id"), _texts, "doc_id long, tie long, text string")
+        .join(gathered, ["doc_id", "tie"])
         .mapInArrow(
             send,
             "name long, left long, doc_id long, tie long, start int, end int, removed boolean",
@@ -470,35 +465,54 @@ def _named(x: dict[str, np.ndarray], *, removed: bool) -> pa.RecordBatch:
     )
 
 
-def _applied(keyed: DataFrame, spans: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _applied(keyed: _Keyed, spans: DataFrame) -> DataFrame:
+    """What is left of every row; rows that surely have no span are not shuffled."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            texts, places_ = bytes_of(batch.column("text"))
-            starts, ends, bounds = _span_arrays(batch.column("spans"))
-            for k in range(batch.num_rows):
-                data = texts[places_[k] : places_[k + 1]]
-                own = slice(bounds[k], bounds[k + 1])
-                digest, at, removed, n = hashlib.sha256(), 0, 0, 0
-                for low, high in union(starts[own].tolist(), ends[own].tolist()):
-                    digest.update(data[at:low])
-                    removed, n, at = removed + high - low, n + 1, high
-                digest.update(data[at:])
-                rows.append((len(data), removed, n, digest.hexdigest()))
-            columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    batch.column("tie"),
-                    *(pa.array(x, pa.int64()) for x in columns[:3]),
-                    pa.array(columns[3], pa.string()),
-                ],
-                names=["doc_id", "tie", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
-            )
+            nothing = np.zeros(0, dtype=np.int64)
+            bounds = np.zeros(batch.num_rows + 1, dtype=np.int64)
+            yield _left(batch, nothing, nothing, bounds)
 
-    return _texts_of(keyed, spans, keep_rest=True).mapInArrow(
-        run,
-        "doc_id long, tie long, n_bytes long, n_removed long, n_spans long, kept_sha256 string",
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _left(batch, *_span_arrays(batch.column("spans")))
+
+    schema = (
+        "doc_id long, tie long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    )
+    ids = spans.select("doc_id")
+    some = keyed.having(ids, _texts, "doc_id long, tie long, text string")
+    return (
+        some.join(_gathered(spans), ["doc_id", "tie"], "left")
+        .mapInArrow(cut, schema)
+        .unionByName(keyed.having(ids, whole, schema, wanted=False))
+    )
+
+
+def _left(
+    batch: pa.RecordBatch, starts: np.ndarray, ends: np.ndarray, bounds: np.ndarray
+) -> pa.RecordBatch:
+    data, offsets = bytes_of(batch.column("text"))
+    rows = []
+    for k in range(batch.num_rows):
+        text = data[offsets[k] : offsets[k + 1]]
+        own = slice(bounds[k], bounds[k + 1])
+        digest, at, removed, n = hashlib.sha256(), 0, 0, 0
+        for low, high in union(starts[own].tolist(), ends[own].tolist()):
+            digest.update(text[at:low])
+            removed, n, at = removed + high - low, n + 1, high
+        digest.update(text[at:])
+        rows.append((len(text), removed, n, digest.hexdigest()))
+    columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
+    return pa.RecordBatch.from_arrays(
+        [
+            batch.column("doc_id"),
+            batch.column("tie"),
+            *(pa.array(x, pa.int64()) for x in columns[:3]),
+            pa.array(columns[3], pa.string()),
+        ],
+        names=["doc_id", "tie", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
     )
 
 
