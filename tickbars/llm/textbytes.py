@@ -64,10 +64,10 @@ _POWERS = _Powers()
 class RollingHash:
     """Hashes of any substrings of ``data`` from prefix sums of byte value times power."""
 
-    def __init__(self, data: np.ndarray) -> None:
+    def __init__(self, data: np.ndarray, values: np.ndarray = _BYTE_VALUES) -> None:
         up, self._down = _POWERS.get(len(data) + 1)
         self._sums = np.zeros(len(data) + 1, dtype=U64)
-        np.cumsum(_BYTE_VALUES[data] * up[: len(data)], out=self._sums[1:])
+        np.cumsum(values[data] * up[: len(data)], out=self._sums[1:])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         raw = (self._sums[end] - self._sums[start]) * self._down[start]

@@ -14,9 +14,9 @@ read.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,11 +24,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tickbars.llm.textbytes import U64, RollingHash, slices
+
 END_ID = 2
-#: Chunks whose ids a worker remembers; it forgets all when there are more.
-REMEMBERED = 300_000
-#: Longer chunks are encoded each time.
-LONGEST_REMEMBERED = 48
+#: A worker remembers the ids of so many chunks used last, and of as many before them.
+REMEMBERED = 250_000
+#: Longer chunks, in bytes, are encoded each time.
+LONGEST_REMEMBERED = 64
+#: Chunks that the tokenizer gets as one text.
+JOINED = 2048
 FILE_OPTIONS = {
     "compression": "zstd",
     "parquet.writer.version": "v2",
@@ -39,15 +43,22 @@ FILE_OPTIONS = {
     "parquet.enable.dictionary": "false",
     "parquet.enable.dictionary#ids.list.element": "true",
 }
-# A space never stands inside a token but in a run of white space. So a text may be cut
-# before a space that follows, or is followed by, anything else, and its parts encoded
-# one by one.
-_CUT = re.compile(r"(?<=\S)(?= )|(?<=\s)(?= \S)")
-_NO_PLAIN_CUT = re.compile(r"\s \s|\s \Z|\A \s")
+#: Bytes that surely begin no white space when they follow a space: printing ASCII, and
+#: the lead bytes of characters of which none is white space.
+_SOLID = np.zeros(256, dtype=bool)
+_SOLID[0x21:0x7F] = True
+_SOLID[0xC3:0xE1] = True
+_SOLID[0xE4:0xF5] = True
 
 
 class ChunkEncoder:
-    """Encodes texts chunk by chunk and remembers frequent chunks' ids."""
+    """Encodes texts chunk by chunk and remembers frequent chunks' ids.
+
+    Byte-level pre-tokens have a space only in front, or in runs of white space. So a
+    text may be cut before a space that something else follows, and its parts encoded one
+    by one. Most parts of a text are equal to others; each is encoded once. Chunks are
+    told apart by hashes of 64 bits.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -58,49 +69,84 @@ class ChunkEncoder:
         # Byte-level tokens are written with one character a byte.
         size = tokenizer.get_vocab_size(with_added_tokens=True)
         self._widths = np.array([len(tokenizer.id_to_token(i) or "") for i in range(size)])
-        self._known: dict[str, bytes] = {}
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids, each id as four little-endian bytes."""
-        split = [self._chunks(text) for text in texts]
-        known = self._known
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = set().union(*split).difference(known)
-        found = dict(self._encoded(new))
-        known.update(found)
-        whole = [b"".join([known[c] for c in chunks]) for chunks in split]
-        for c in found:
-            if len(c) > LONGEST_REMEMBERED:
-                del known[c]
-        return whole
-
-    def _encoded(self, chunks: set[str]) -> Iterator[tuple[str, bytes]]:
-        """Chunks that start a token wherever they stand are encoded as one text, whose
-        ids are dealt out by the bytes they stand for."""
-        joined = [c for c in chunks if c[0] == " " and len(c) > 1 and not c[1].isspace()]
-        for low in range(0, len(joined), 2048):
-            part = joined[low : low + 2048]
-            (one,) = self._encode(["".join(part)], add_special_tokens=False)
-            ids = np.array(one.ids, dtype="<u4")
-            ends = np.cumsum([len(c.encode()) for c in part])
-            cuts = np.searchsorted(np.cumsum(self._widths[ids]), ends, side="left") + 1
-            data, start = ids.tobytes(), 0
-            for c, cut in zip(part, (cuts * 4).tolist(), strict=True):
-                yield c, data[start:cut]
-                start = cut
-        for c in chunks.difference(joined):
-            (one,) = self._encode([c], add_special_tokens=False)
-            yield c, np.array(one.ids, dtype="<u4").tobytes()
-
-    @staticmethod
-    def _chunks(text: str) -> list[str]:
-        if not text:
+        self._known: dict[int, bytes] = {}
+        self._before: dict[int, bytes] = {}
+
+    def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All rows' ids one after the other, and each row's number of them."""
+        n = len(offsets) - 1
+        if not len(data):
+            return np.zeros(0, dtype="<u4"), np.zeros(n, dtype=np.int64)
+        start = np.zeros(len(data) + 1, dtype=bool)
+        start[:-2] = (data[:-1] == 0x20) & _SOLID[data[1:]]
+        # At a row's end, the next row's first byte follows; it cuts nothing.
+        start[offsets[1:] - 1] = False
+        # A chunk at a row's front has no space of its own and never stands in a join.
+        front = np.zeros(len(data) + 1, dtype=bool)
+        front[offsets[:-1]] = True
+        front &= ~start
+        start |= front
+        starts = np.flatnonzero(start[:-1])
+        ends = np.append(starts[1:], len(data))
+        names = RollingHash(data).of(starts, ends)
+        names[front[starts]] ^= U64(1)
+        keys, first, place = np.unique(names, return_index=True, return_inverse=True)
+        found = self._looked_up(data, keys.tolist(), starts[first], ends[first], front)
+        sizes = np.array([len(x) // 4 for x in found], dtype=np.int64)
+        values = np.frombuffer(b"".join(found), dtype="<u4")
+        begin = np.cumsum(sizes) - sizes
+        count = sizes[place]
+        total = np.concatenate([[0], np.cumsum(count)])
+        at = np.arange(total[-1]) + np.repeat(begin[place] - total[:-1], count)
+        return values[at], np.diff(total[np.searchsorted(starts, offsets)])
+
+    def _looked_up(
+        self,
+        data: np.ndarray,
+        keys: list[int],
+        starts: np.ndarray,
+        ends: np.ndarray,
+        front: np.ndarray,
+    ) -> list[bytes]:
+        if len(self._known) > REMEMBERED:
+            self._known, self._before = {}, self._known
+        known, before = self._known, self._before
+        found = [known.get(k) or before.get(k) for k in keys]
+        known.update((k, x) for k, x in zip(keys, found, strict=True) if x and k not in known)
+        new = np.array([i for i, x in enumerate(found) if x is None], dtype=np.int64)
+        alone = front[starts[new]]
+        for low in range(0, len(new), JOINED):
+            part = new[low : low + JOINED][~alone[low : low + JOINED]]
+            for i, ids in zip(part.tolist(), self._joined(data, starts[part], ends[part]), strict=True):
+                found[i] = ids
+        for i in new[alone].tolist():
+            (one,) = self._encode(
+                [data[starts[i] : ends[i]].tobytes().decode()], add_special_tokens=False
+            )
+            found[i] = np.array(one.ids, dtype="<u4").tobytes()
+        short = new[(ends - starts)[new] <= LONGEST_REMEMBERED]
+        known.update((keys[i], found[i]) for i in short.tolist())
+        return found
+
+    def _joined(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """Ids of chunks that start a token wherever they stand: they are encoded as one
+        text, whose ids are dealt out by the bytes they stand for."""
+        if not len(starts):
             return []
-        if _NO_PLAIN_CUT.search(text):
-            return [c for c in _CUT.split(text) if c]
-        first, *rest = text.split(" ")
-        return ([first] if first else []) + [" " + c for c in rest]
+        sizes = ends - starts
+        last = np.cumsum(sizes)
+        at = np.arange(last[-1]) + np.repeat(starts - (last - sizes), sizes)
+        (one,) = self._encode([data[at].tobytes().decode()], add_special_tokens=False)
+        ids = np.array(one.ids, dtype="<u4")
+        cuts = (np.searchsorted(np.cumsum(self._widths[ids]), last, side="left") + 1) * 4
+        whole = ids.tobytes()
+        return [whole[a:b] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist(), strict=True)]
+
+
+@cache
+def _encoder(path: str) -> ChunkEncoder:
+    """A worker's encoder, which goes on from task to task."""
+    return ChunkEncoder(path)
 
 
 def encoded(documents: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
@@ -118,23 +164,21 @@ def encoded(documents: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataF
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(tokenizer)
-        end = np.array([end_id], dtype="<u4").tobytes()
+        encoder = _encoder(tokenizer)
         shard, place = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for low in range(0, batch.num_rows, 1000):
-                part = batch.slice(low, 1000)
-                texts = [x or "" for x in part.column("text").to_pylist()]
-                ids = [x + end for x in encoder.ids(texts)]
-                counts = np.array([len(x) // 4 for x in ids], dtype=np.int64)
-                bounds = np.concatenate([[0], np.cumsum(counts)])
-                values = np.frombuffer(b"".join(ids), dtype="<i4")
+            for low, high, data, offsets in slices(batch.column("text")):
+                found, counts = encoder.ids(data, offsets)
+                row = np.repeat(np.arange(high - low), counts)
+                values = np.full(len(found) + high - low, end_id, dtype="<i4")
+                values[np.arange(len(found)) + row] = found
+                bounds = np.concatenate([[0], np.cumsum(counts + 1)])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(len(ids), shard, dtype=np.int32)),
-                        part.column("doc_id"),
+                        pa.array(np.full(high - low, shard, dtype=np.int32)),
+                        batch.column("doc_id").slice(low, high - low),
                         pa.array(place + bounds[:-1]),
-                        pa.array(counts),
+                        pa.array(counts + 1),
                         pa.ListArray.from_arrays(
                             pa.array(bounds, pa.int32()), pa.array(values)
                         ),
@@ -154,10 +198,13 @@ def write_tokens(
     encoded(documents, tokenizer, end_id).write.options(**FILE_OPTIONS).parquet(path)
 
 
-def read_tokens(spark: SparkSession, path: str) -> DataFrame:
+def read_tokens(
+    spark: SparkSession, path: str, *, most_broadcast: int = 100_000
+) -> DataFrame:
     """(doc_id, start, n_tokens, ids): ``start`` counts the ids of all rows before.
 
-    The shards' totals come from two small columns; they are one row per file.
+    The shards' totals come from two small columns; they are one row per file, and they
+    are broadcast up to ``most_broadcast`` of them.
     """
     rows = spark.read.parquet(path)
     by_shard = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
@@ -166,7 +213,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
         .agg(F.sum("n_tokens").alias("total"))
         .select("shard", F.coalesce(F.sum("total").over(by_shard), F.lit(0)).alias("before"))
     )
-    return rows.join(offsets, "shard").select(
+    few = rows.select("shard").distinct().count() <= most_broadcast
+    return rows.join(F.broadcast(offsets) if few else offsets, "shard").select(
         "doc_id", (F.col("place") + F.col("before")).alias("start"), "n_tokens", "ids"
     )
 
