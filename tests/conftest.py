@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -17,6 +18,7 @@ def make_session():
         {
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tickbars-tests-"),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },

@@ -21,9 +21,8 @@ def test_a_cluster_without_a_shared_folder_is_refused():
         shared_dir(stub("spark://host:7077"))
 
 
-def test_a_local_master_may_use_a_folder_of_its_own():
-    session = stub("local[2]")
-    assert shared_dir(session) == shared_dir(session)
+def test_runs_have_folders_of_their_own():
+    session = stub("local[2]", "/shared")
     assert new_run_dir(session, "x") != new_run_dir(session, "x")
 
 

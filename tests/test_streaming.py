@@ -9,8 +9,8 @@ from tickbars.operators.messages import to_messages
 from tickbars.operators.rolling import RollingMean
 from tickbars.schemas import INDICATOR, TICK
 from tickbars.streaming.jobs import (
+    counted_late_rows,
     default_metrics,
-    late_rows,
     open_bars,
     read_table_stream,
     replay,
@@ -18,6 +18,8 @@ from tickbars.streaming.jobs import (
     stream_job,
     with_event_watermark,
 )
+from tickbars.session import session_conf
+from tickbars.streaming.means import MeanTable, start_mean
 from tickbars.streaming.serving import ServingTable, serve_job
 
 
@@ -80,7 +82,8 @@ def test_replay_in_slices_equals_the_batch(spark, tmp_path):
     assert rows_of(stored, *batch.columns) == rows_of(closed, *batch.columns)
 
     means = RollingMean(9).batch(closed).withColumn("ema_value", F.round("ema_value", 8))
-    streamed = spark.read.parquet(f"{root}/OHLC_5M_EMA_9")
+    table = MeanTable(spark, metrics[1], root)
+    streamed = table.read().unionByName(table.waiting())
     streamed = streamed.withColumn("ema_value", F.round("ema_value", 8))
     assert streamed.count() > 200
     assert rows_of(streamed, *means.columns) == rows_of(means, *means.columns)
@@ -145,49 +148,118 @@ def test_open_bars_of_nothing(spark):
     assert open_bars(ticks(spark, [("A", 1, 1.0)]).limit(0), Ohlc(5)).count() == 0
 
 
+def mean_rows(spark, rows):
+    return spark.createDataFrame(rows, "ticker string, s double, n long, close_price double").select(
+        "ticker", F.timestamp_micros((F.col("s") * 1000000).cast("long")).alias("window_end"), "n", "close_price"
+    )
+
+
+def run_means(spark, root, table, batches):
+    for batch in batches:
+        mean_rows(spark, batch).write.mode("append").parquet(f"{root}/bars")
+        stream = spark.readStream.schema(mean_rows(spark, []).schema).parquet(f"{root}/bars")
+        start_mean(table, stream, root).awaitTermination()
+
+
+def seconds(frame):
+    return {
+        (r.ticker, r.s, r.n): r.ema_value
+        for r in frame.withColumn("s", F.unix_micros("snapshot_time") / 1000000).collect()
+    }
+
+
 @pytest.mark.parametrize("periods", [1, 3])
-def test_rolling_mean_state(spark, tmp_path, periods):
-    """Rows behind the newest are dropped, missing values are left out of the mean."""
-    schema = "ticker string, window_end timestamp, close_price double"
-    root = str(tmp_path)
+@pytest.mark.parametrize("split", [None, 7])
+def test_no_row_within_the_watermark_is_lost(spark, tmp_path, periods, split):
+    """Equal times and times out of order over micro-batches, a missing value, a late row."""
+    metric = RollingMean(periods, ties=["n"], split=split)
+    table = MeanTable(spark, metric, str(tmp_path))
     batches = [
-        [("A", 2, 2.0), ("A", 1, 1.0), ("B", 1, None)],
-        [("A", 3, None), ("A", 1, 50.0), ("B", 2, 8.0)],
-        [("A", 4, 6.0)],
+        [("A", 10.0, 1, 2.0), ("A", 11.0, 2, 4.0), ("B", 9.0, 3, None)],
+        [("A", 11.0, 4, 1.0), ("A", 8.0, 5, 7.0), ("B", 12.0, 6, 8.0)],
+        [("A", 30.0, 7, None), ("A", 31.0, 8, 6.0)],
+        [("A", 25.0, 9, 100.0), ("A", 40.0, 10, 3.0)],
     ]
-    metric = RollingMean(periods)
-    for batch in batches:
-        spark.createDataFrame(batch, "ticker string, s int, close_price double").select(
-            "ticker", F.timestamp_seconds("s").alias("window_end"), "close_price"
-        ).write.mode("append").parquet(f"{root}/bars")
-        stream = spark.readStream.schema(schema).parquet(f"{root}/bars")
-        start_table(metric.stream(stream), root, "means").awaitTermination()
-    got = {
-        (r.ticker, r.s): r.ema_value
-        for r in spark.read.schema(INDICATOR).parquet(f"{root}/means")
-        .withColumn("s", F.unix_seconds("snapshot_time"))
-        .collect()
-    }
-    expected = {
-        1: {("A", 1): 1.0, ("A", 2): 2.0, ("A", 3): None, ("A", 4): 6.0, ("B", 1): None, ("B", 2): 8.0},
-        3: {("A", 1): 1.0, ("A", 2): 1.5, ("A", 3): 1.5, ("A", 4): 4.0, ("B", 1): None, ("B", 2): 8.0},
-    }[periods]
-    assert got == expected
+    run_means(spark, str(tmp_path), table, batches)
+    kept = [r for batch in batches for r in batch if r[2] != 9]
+    want = seconds(RollingMean(periods, ties=["n"]).batch(mean_rows(spark, kept)))
+    emitted, waiting = seconds(table.read()), seconds(table.waiting())
+    assert table.late() == 1
+    assert not set(emitted) & set(waiting) and {k[2] for k in waiting} == {10}
+    assert {**emitted, **waiting} == want
+    assert table.read().schema == metric.schema
+
+
+def test_a_mean_does_not_depend_on_the_cuts(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(rng.choice("AB"), float(i // 7), i, rng.uniform(1, 9)) for i in range(300)]
+    metric = RollingMean(5, ties=["n"])
+    want = {k: round(v, 8) for k, v in seconds(metric.batch(mean_rows(spark, rows))).items()}
+    for name, size in (("a", 50), ("b", 111)):
+        table = MeanTable(spark, metric, f"{tmp_path}/{name}")
+        run_means(
+            spark, f"{tmp_path}/{name}", table, [rows[i : i + size] for i in range(0, 300, size)]
+        )
+        got = seconds(table.read().unionByName(table.waiting()))
+        assert {k: round(v, 8) for k, v in got.items()} == want
+
+
+def test_a_repeated_batch_of_means_adds_nothing(spark, tmp_path):
+    table = MeanTable(spark, RollingMean(3, ties=["n"]), str(tmp_path))
+    batches = [[("A", float(i * 10 + k), i * 10 + k, 1.0 + k) for k in range(10)] for i in range(3)]
+    for number, batch in enumerate(batches):
+        table.process(mean_rows(spark, batch), number)
+        table.process(mean_rows(spark, batch), number)
+    want = seconds(RollingMean(3, ties=["n"]).batch(mean_rows(spark, sum(batches, []))))
+    assert seconds(table.read().unionByName(table.waiting())) == want
 
 
-def test_chained_stream_needs_no_table_between(spark, tmp_path):
+def test_means_over_a_repeated_hour(spark, tmp_path):
+    """Clocks of New York go back at 2024-11-03 06:00 UTC; an hour's text comes twice."""
+    rows = [("A", 1730606400.0 + 3600 * i, i, float(i)) for i in range(8)]
+    with session_conf(spark, {"spark.sql.session.timeZone": "America/New_York"}):
+        table = MeanTable(spark, RollingMean(3, ties=["n"]), str(tmp_path))
+        run_means(spark, str(tmp_path), table, [rows[:3], rows[3:5], rows[5:]])
+        got = seconds(table.read().unionByName(table.waiting()))
+    assert got == {("A", s, n): sum(range(max(0, n - 2), n + 1)) / min(3, n + 1) for _, s, n, _ in rows}
+
+
+def test_late_rows_are_counted_beyond_a_hundred_batches(spark, tmp_path):
+    """A query's own progress keeps a few batches only; the listener hears all."""
     root = str(tmp_path)
-    frame = ticks(spark, random_ticks(9, 300, 0, 20000))
-    frame.select(TICK.names).write.parquet(f"{root}/ticks")
-    source = with_event_watermark(spark.readStream.schema(TICK).parquet(f"{root}/ticks"))
-    query = start_table(RollingMean(3).stream(Ohlc(5).stream(source)), root, "means")
-    query.awaitTermination()
-    assert late_rows(query) == 0
-    closed = Ohlc(5).batch(frame).filter(F.unix_seconds("window_end") <= 19990 - 2)
-    want = RollingMean(3).batch(closed).withColumn("ema_value", F.round("ema_value", 8))
-    got = spark.read.parquet(f"{root}/means").withColumn("ema_value", F.round("ema_value", 8))
-    shared = got.filter(F.unix_seconds("snapshot_time") <= 19990 - 2)
-    assert rows_of(shared, *want.columns) == rows_of(want, *want.columns)
+    with session_conf(spark, {"spark.sql.streaming.numRecentProgressUpdates": "2"}):
+        with counted_late_rows(spark) as listener:
+            rows = [("A", 1000.0 * i, i, 1.0) for i in range(1, 7)]
+            for i, row in enumerate(rows):
+                late = ("A", 1.0, 100 + i, 1.0)
+                mean_rows(spark, [row, late]).coalesce(1).write.mode("append").parquet(f"{root}/in")
+            stream = (
+                spark.readStream.schema(mean_rows(spark, []).schema)
+                .option("maxFilesPerTrigger", 1)
+                .parquet(f"{root}/in")
+                .withWatermark("window_end", "2 seconds")
+                .groupBy("ticker", F.window("window_end", "5 minutes"))
+                .count()
+            )
+            query = start_table(stream, root, "counts")
+            query.awaitTermination()
+            # Spark judges a batch by the watermark before the last one.
+            assert listener.count(query) == 4
+            assert len(query.recentProgress) <= 2
+
+
+def test_a_stream_keeps_the_partitions_it_is_given(spark, tmp_path):
+    ticks(spark, random_ticks(1, 50, 0, 900)).select(TICK.names).write.parquet(f"{tmp_path}/ticks")
+    for given, count in ((3, 3), (None, 5)):
+        with session_conf(spark, {"spark.sql.shuffle.partitions": "5"}):
+            source = spark.readStream.schema(TICK).parquet(f"{tmp_path}/ticks")
+            root = f"{tmp_path}/{count}"
+            query = start_table(
+                Ohlc(5).stream(with_event_watermark(source)), root, "t", partitions=given
+            )
+            query.awaitTermination()
+            [state] = query.recentProgress[0].stateOperators
+            assert state.numShufflePartitions == count
 
 
 def test_metric_table_can_be_read_before_it_has_rows(spark, tmp_path):
@@ -291,4 +363,5 @@ def test_continuous_job_runs_side_by_side(spark, tmp_path):
         for query in queries.values():
             query.stop()
     bars = spark.read.parquet(f"{root}/OHLC_5M")
-    assert bars.count() == spark.read.parquet(f"{root}/OHLC_5M_EMA_2").count() > 0
+    table = MeanTable(spark, metrics[1], root)
+    assert bars.count() == table.read().count() + table.waiting().count() > 0

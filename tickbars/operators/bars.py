@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickbars.functions.times import NANOS_PER_SECOND
-from tickbars.operators.metric import MARKET_TOPIC, Metric
+from tickbars.operators.metric import MARKET_TOPIC, StreamedMetric
 from tickbars.schemas import BAR
 
 
-class Ohlc(Metric):
+class Ohlc(StreamedMetric):
     """One bar per ticker and ``window_minutes``, aligned to the epoch, end exclusive.
 
     Open and close are the first and last price in ``order``. By default that is the

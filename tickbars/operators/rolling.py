@@ -6,11 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickbars.operators.lookback import with_lookback
 from tickbars.operators.metric import MARKET_TOPIC, Metric
 from tickbars.schemas import INDICATOR
-from tickbars.streaming.rolling_state import rolling_mean_stream
 
 
 class RollingMean(Metric):
@@ -18,11 +18,11 @@ class RollingMean(Metric):
 
     Over bars a plain window will do: a key has one bar per time window, so its size is
     bounded by the time span. Over ticks or any table where a key can be hot, ``split``
-    spreads its rows, as ``with_lookback`` describes. ``ties`` orders rows of equal time.
+    spreads its rows, as ``with_lookback`` describes. ``ties`` are bigint columns that
+    order rows of equal time and come with the result. As a stream it is written by
+    ``streaming.means.MeanTable``, which gives the same rows.
     """
 
-    schema = INDICATOR
-
     def __init__(
         self,
         periods: int = 9,
@@ -43,6 +43,12 @@ class RollingMean(Metric):
         self.split = split
         super().__init__(source_table, target_table)
 
+    @property
+    def schema(self) -> T.StructType:
+        ticker, time, value = INDICATOR.fields
+        ties = [T.StructField(name, T.LongType()) for name in self.ties]
+        return T.StructType([ticker, time, *ties, value])
+
     @property
     def name(self) -> str:
         return f"{self.source_table}_EMA_{self.periods}"
@@ -64,11 +70,3 @@ class RollingMean(Metric):
             *self.ties,
             "ema_value",
         )
-
-    def stream(self, source: DataFrame) -> DataFrame:
-        rows = source.select(
-            F.col(self.key).alias("ticker"),
-            F.col(self.time).alias("snapshot_time"),
-            F.col(self.value).cast("double").alias("value"),
-        )
-        return rolling_mean_stream(rows, self.periods)

@@ -63,6 +63,18 @@ WHERE strftime(ts, '%Y%m%d') BETWEEN '20240105' AND '20240124'
 
 ORACLES["tick_parquet_scan"] = ORACLES["tick_csv_scan"]
 
+ORACLES["tick_convert_by_day"] = f"""
+WITH {_TICKS}
+SELECT strftime(ts, '%Y-%m-%d') AS "Date", ns AS "Timestamp", ticker AS "Ticker",
+       price AS "Price", quantity AS "Quantity", event_id
+FROM ticks"""
+
+ORACLES["tick_csv_bars"] = f"""
+WITH {_TICKS}, {_bars(60, "(ts, event_id)")}
+SELECT * FROM bars
+WHERE strftime(window_start, '%Y%m%d') BETWEEN '20240105' AND '20240124'
+  AND ticker IN ('click', 'view', 'purchase')"""
+
 ORACLES["time_order"] = """
 SELECT event_id, row_number() OVER (ORDER BY ts, event_type, event_id) AS position
 FROM events"""
@@ -93,6 +105,8 @@ SELECT event_type AS ticker, date_trunc('second', ts) AS snapshot_time, event_id
            ROWS BETWEEN 8 PRECEDING AND CURRENT ROW), 6) AS ema_value
 FROM events"""
 
+ORACLES["stream_tick_mean_9"] = ORACLES["tick_rolling_mean_9"]
+
 ORACLES["tick_rolling_mean_9_by_range"] = ORACLES["tick_rolling_mean_9"]
 
 _CHANGES = """changes AS (

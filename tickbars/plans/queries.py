@@ -18,17 +18,19 @@ from tickbars.operators.order import with_position
 from tickbars.operators.ranges import entry_range, in_time
 from tickbars.operators.rolling import RollingMean
 from tickbars.plans.jobs import train_job
-from tickbars.schemas import MARKET_EVENT, topic_schema
+from tickbars.schemas import MARKET_EVENT, TICK, topic_schema
 from tickbars.session import new_run_dir, store, use_utc
 from tickbars.sources.market import as_ticks, market_tick_stream, market_ticks
 from tickbars.sources.ticks import convert_ticks, read_converted_ticks, read_ticks
 from tickbars.streaming.jobs import (
+    default_metrics,
     open_bars,
     replay,
     start_table,
     stream_job,
     with_event_watermark,
 )
+from tickbars.streaming.means import MeanTable, start_mean
 from tickbars.streaming.serving import ServingTable, serve_job
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -142,6 +144,47 @@ def tick_parquet_scan(spark, sf_dir):
     return read_converted_ticks(spark, path, _TICKERS, *_DATES).select(MARKET_EVENT.names)
 
 
+@query
+def tick_convert_by_day(spark, sf_dir):
+    """Two ranges of days converted one after the other: the second leaves the first."""
+    path = new_run_dir(spark, "converted-ticks")
+    ticks = _ticks(spark, sf_dir)
+    early = F.col("Date") < "2024-01-16"
+    convert_ticks(ticks.filter(early), path)
+    convert_ticks(ticks.filter(~early), path)
+    everyone = [r[0] for r in _ticks(spark, sf_dir).select("Ticker").distinct().collect()]
+    return read_converted_ticks(spark, path, everyone, "20240101", "20241231").select(
+        "Date", "Timestamp", "Ticker", "Price", "Quantity", F.col("Arrival").alias("event_id")
+    )
+
+
+@query
+def tick_csv_bars(spark, sf_dir):
+    """Hourly bars of gzip CSV files; open and close go by the place in the files."""
+    root = new_run_dir(spark, "tick-files")
+    (
+        _ticks(spark, sf_dir)
+        .select(
+            *MARKET_EVENT.names,
+            "Arrival",
+            F.year("event_time").alias("year"),
+            F.date_format("event_time", "yyyyMMdd").alias("day"),
+            F.col("Ticker").alias("symbol"),
+        )
+        .repartition("year", "day", "symbol")
+        .sortWithinPartitions("year", "day", "symbol", "Timestamp", "Arrival")
+        .drop("Arrival")
+        .write.partitionBy("year", "day", "symbol")
+        .option("header", True)
+        .option("compression", "gzip")
+        .csv(root)
+    )
+    ticks = read_ticks(
+        spark, root, _TICKERS, *_DATES, files="year=*/day={date}/symbol={ticker}/*.csv.gz"
+    )
+    return Ohlc(60).batch(ticks)
+
+
 @query
 def time_order(spark, sf_dir):
     """The place of every tick in the merged stream."""
@@ -402,24 +445,54 @@ def stream_ohlc_60m(spark, sf_dir):
     return _streamed(spark, Ohlc(60).stream(ticks), "OHLC_60M")
 
 
+def _with_waiting(spark: SparkSession, metric: RollingMean, root: str) -> DataFrame:
+    """All means of a finished stream: the emitted ones and those behind its watermark."""
+    table = MeanTable(spark, metric, root)
+    return _rounded(table.read().unionByName(table.waiting()), "ema_value")
+
+
 @query
 def stream_rolling_mean_9(spark, sf_dir):
-    """Bars and means in one stream, without a table between them."""
-    ticks = with_event_watermark(_tick_stream(spark, sf_dir))
-    means = RollingMean(9).stream(Ohlc(60).stream(ticks))
-    return _rounded(_streamed(spark, means, "OHLC_60M_EMA_9"), "ema_value")
+    """Hourly bars as a stream, and their means as a stream over the bars' table."""
+    root = new_run_dir(spark, "stream")
+    mean = RollingMean(9, source_table="OHLC_60M")
+    stream_job(spark, _tick_stream(spark, sf_dir), root, [Ohlc(60), mean])
+    return _with_waiting(spark, mean, root)
 
 
 @query
 def stream_job_means(spark, sf_dir):
     """The whole streaming job; both mean tables, under their metric's name."""
     root = new_run_dir(spark, "stream-job")
-    queries = stream_job(spark, _tick_stream(spark, sf_dir), root)
-    means = [t for t in queries if "EMA" in t]
+    metrics = default_metrics()
+    stream_job(spark, _tick_stream(spark, sf_dir), root, metrics, max_files_per_trigger=4)
     first, second = [
-        spark.read.parquet(f"{root}/{t}").withColumn("metric", F.lit(t)) for t in means
+        _with_waiting(spark, m, root).withColumn("metric", F.lit(m.target_table))
+        for m in metrics[1:]
     ]
-    return _rounded(first.unionByName(second), "ema_value")
+    return first.unionByName(second)
+
+
+@query
+def stream_tick_mean_9(spark, sf_dir):
+    """Means over the ticks themselves, landed in five stretches cut within a second."""
+    root = new_run_dir(spark, "tick-means")
+    metric = RollingMean(
+        9, key="Ticker", time="event_time", value="Price", ties=["Arrival"],
+        target_table="TICK_EMA_9",
+    )
+    ticks = _ticks(spark, sf_dir).select(TICK.names)
+    # Two values: the time span in nanoseconds.
+    low, high = ticks.agg(F.min("Timestamp"), F.max("Timestamp")).first()
+    step = (high - low) // 5 + 1
+    table = MeanTable(spark, metric, root)
+    for k in range(5):
+        first = low + k * step
+        stretch = F.col("Timestamp").between(first, first + step - 1)
+        ticks.filter(stretch).write.parquet(f"{root}/ticks/{k}")
+        source = spark.readStream.schema(TICK).parquet(f"{root}/ticks/*")
+        start_mean(table, source, root).awaitTermination()
+    return _with_waiting(spark, metric, root).withColumnRenamed("Arrival", "event_id")
 
 
 @query
@@ -449,8 +522,7 @@ def stream_replay_60m(spark, sf_dir):
     bars = Ohlc(60)
     metrics = [bars, RollingMean(9, source_table=bars.target_table)]
     replay(spark, [as_ticks(s) for s in slices], root, metrics)
-    means = spark.read.parquet(f"{root}/{metrics[1].target_table}")
-    return _rounded(means, "ema_value")
+    return _with_waiting(spark, metrics[1], root)
 
 
 @query

@@ -65,21 +65,17 @@ TICK = T.StructType(
     ]
 )
 
-_NAMED_TYPES = {
-    "double": T.DoubleType(),
-    "long": T.LongType(),
-    "string": T.StringType(),
-}
+# The type names that a topic's schema file may use.
+FIELD_TYPES = ("double", "long", "string")
 
 
 def schema_from_names(columns: dict[str, str]) -> T.StructType:
-    """A nullable schema from name-to-type text; a type not known is read as text."""
-    return T.StructType(
-        [
-            T.StructField(name, _NAMED_TYPES.get(kind.lower(), T.StringType()), True)
-            for name, kind in columns.items()
-        ]
-    )
+    """The row shape that a topic's file describes; other type names stand for text."""
+    row = T.StructType()
+    for name, kind in columns.items():
+        wanted = kind.strip().lower()
+        row.add(name, wanted if wanted in FIELD_TYPES else "string")
+    return row
 
 
 def message_schema(row: T.StructType) -> T.StructType:

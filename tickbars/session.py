@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,19 +61,20 @@ def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see: the session's ``spark.checkpoint.dir``.
 
-    Only a local master, as in tests, may fall back to a folder of this machine.
+    A session without that setting, as in tests, needs one by ``set_shared_dir``.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _given.get("folder")
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    return _local_dir(spark.sparkContext.applicationId)
+    return folder.rstrip("/")
 
 
-@cache
-def _local_dir(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix=f"tickbars-{application_id}-")
+_given: dict[str, str] = {}
+
+
+def set_shared_dir(folder: str) -> None:
+    """The folder for sessions that don't set ``spark.checkpoint.dir`` themselves."""
+    _given["folder"] = folder
 
 
 def new_run_dir(spark: SparkSession, purpose: str) -> str:
@@ -96,7 +95,17 @@ def file_system(spark: SparkSession, path: str):
     return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
 
 
-def is_written(spark: SparkSession, path: str) -> bool:
-    """Whether a table was written to ``path`` to the end."""
-    fs, marker = file_system(spark, f"{path}/_SUCCESS")
-    return fs.exists(marker)
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, location = file_system(spark, path)
+    return fs.exists(location)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that a run of this package has written."""
+    fs, location = file_system(spark, path)
+    fs.delete(location, True)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, location = file_system(spark, path)
+    fs.mkdirs(location)

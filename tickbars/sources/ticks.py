@@ -12,17 +12,21 @@ from pyspark.sql import types as T
 
 from tickbars.functions.times import event_time, parse_ts_ns
 from tickbars.schemas import MARKET_EVENT, TICK
+from tickbars.session import exists
 
 # Fixed value: where a day's file of a ticker lies under the data folder.
 TICK_FILES = "*/{date}/{ticker}.csv.gz"
 
 _TEXT = T.StructType([T.StructField(f.name, T.StringType()) for f in MARKET_EVENT.fields])
 _PLACE_BITS = 33
+_FILE_BITS = 13
 
 
 def ticker_list(tickers: str | list[str]) -> list[str]:
-    """Tickers given as a list or as text separated by commas."""
-    return [t.strip() for t in tickers.split(",")] if isinstance(tickers, str) else tickers
+    """The distinct tickers of a list, or of text separated by commas, without blanks."""
+    given = [tickers] if isinstance(tickers, str) else tickers
+    cut = (name.strip() for text in given for name in text.split(","))
+    return list(dict.fromkeys(name for name in cut if name))
 
 
 def read_ticks(
@@ -36,9 +40,11 @@ def read_ticks(
     """Ticks of ``tickers`` from the dates ``start_date`` to ``end_date``, both included.
 
     Tickers select files by glob and dates by path, before any file is opened; files
-    that do not exist are no error. ``Arrival`` orders the rows of a ticker as its files
-    do: by the file's date, then by place in the file. A gzip file is one task, so what
-    is read often should go through ``convert_ticks`` once.
+    that do not exist under an existing root are no error. ``Arrival`` orders the rows of
+    a ticker as its files do: by the files' date, then by their name, then by place in
+    the file; no two rows of a ticker share it. Clock text that is no time raises, as bad
+    numbers do. A gzip file is one task, so what is read often should go through
+    ``convert_ticks`` once.
     """
     names = ticker_list(tickers)
     unfit = [name for name in names if not re.fullmatch(r"[\w.^=+-]+", name)]
@@ -56,28 +62,66 @@ def read_ticks(
             .csv(f"{root.rstrip('/')}/{glob}")
         )
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() != "PATH_NOT_FOUND" or not exists(spark, root):
             raise
         return spark.createDataFrame([], TICK)
 
     path_pattern = "".join(
-        {"{date}": "([^/]+)", "{ticker}": "[^/]+", "*": "[^/]*"}.get(part, re.escape(part))
+        {"{date}": "([^/]+)", "{ticker}": "([^/]+)", "*": "[^/]*"}.get(part, re.escape(part))
         for part in re.split(r"(\{date\}|\{ticker\}|\*)", files)
     )
-    date = F.regexp_extract("_metadata.file_path", f"{path_pattern}$", 1)
-    day = F.coalesce(F.unix_date(F.try_to_date(date, "yyyyMMdd")), F.lit(0))
+    path = F.col("_metadata.file_path")
+    date = F.regexp_extract(path, f"{path_pattern}$", 1)
     # The low bits count rows within a task, and a file is never split over tasks.
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
-    return raw.filter(date.between(start_date, end_date)).select(
-        *_typed_columns(),
-        (F.shiftleft(day.cast("bigint"), _PLACE_BITS) + place).alias("Arrival"),
-    ).withColumn("event_time", event_time(F.col("Timestamp")))
+    rows = (
+        raw.withColumn("_path", path)
+        .filter(date.between(start_date, end_date))
+        .withColumn("_place", place)
+    )
+    date = F.regexp_extract("_path", f"{path_pattern}$", 1)
+    day = F.coalesce(F.unix_date(F.try_to_date(date, "yyyyMMdd")), F.lit(0))
+    file = F.shiftleft(day.cast("bigint"), _FILE_BITS) + F.col("_file")
+    arrival = F.shiftleft(file, _PLACE_BITS) + F.col("_place")
+    return (
+        _with_file_number(rows, raw.inputFiles(), path_pattern)
+        .select(*_typed_columns(), arrival.alias("Arrival"))
+        .withColumn("event_time", event_time(F.col("Timestamp")))
+    )
+
+
+def _with_file_number(rows: DataFrame, paths: list[str], path_pattern: str) -> DataFrame:
+    """``_file``: the place of a row's file among those of its ticker and date, by name.
+
+    Only files that are not their ticker's first of a date are looked up; with one file
+    each, there is nothing to join.
+    """
+    seen: dict[tuple[str, ...], int] = {}
+    later = []
+    for path in sorted(paths):
+        found = re.search(f"{path_pattern}$", path)
+        key = found.groups() if found else (path,)
+        number = seen[key] = seen.get(key, -1) + 1
+        if number >= 1 << _FILE_BITS:
+            raise ValueError(f"more than {1 << _FILE_BITS} files like {path}")
+        if number:
+            later.append((path, number))
+    if not later:
+        return rows.withColumn("_file", F.lit(0).cast("bigint"))
+    numbers = rows.sparkSession.createDataFrame(later, "_path string, _number bigint")
+    return rows.join(numbers, "_path", "left").withColumn(
+        "_file", F.coalesce("_number", F.lit(0))
+    )
 
 
 def _typed_columns():
-    """Text columns as tick columns; empty fields stay empty text, bad numbers raise."""
+    """Text columns as tick columns; empty fields stay empty text, bad text raises."""
+    given = F.concat_ws(" ", "Date", "Timestamp")
     typed = {
-        "Timestamp": parse_ts_ns(F.col("Date"), F.col("Timestamp")),
+        "Timestamp": F.coalesce(
+            parse_ts_ns(F.col("Date"), F.col("Timestamp")),
+            F.raise_error(F.concat(F.lit("not a time: "), given)).cast("bigint"),
+        ),
         "Price": F.col("Price").cast("double"),
         "Quantity": F.col("Quantity").cast("int"),
     }
@@ -91,13 +135,16 @@ def convert_ticks(ticks: DataFrame, path: str) -> None:
 
     A folder per day and ticker would make files too many and too small. Sorted files
     let a read skip the row groups of other tickers by their statistics instead. The
-    rebalance hint has Spark split large days over tasks and join small ones.
+    rebalance hint has Spark split large days over tasks and join small ones. Days that
+    ``ticks`` has are replaced as a whole; the others stay, so that history can be
+    converted day by day.
     """
     (
         ticks.withColumn("day", F.regexp_replace(F.substring("Date", 1, 10), "-", ""))
         .hint("rebalance", "day")
         .sortWithinPartitions("day", "Ticker", "Timestamp", "Arrival")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("day")
         .parquet(path)
     )

@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import threading
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from tickbars.operators.bars import Ohlc
-from tickbars.operators.metric import MARKET_TOPIC, Metric
+from tickbars.operators.metric import MARKET_TOPIC, Metric, StreamedMetric
 from tickbars.operators.rolling import RollingMean
 from tickbars.schemas import TICK
-from tickbars.session import ROCKSDB_PROVIDER, is_written, session_conf
+from tickbars.session import ROCKSDB_PROVIDER, exists, make_folder, session_conf
+from tickbars.streaming.means import MeanTable, start_mean
 
 # How far event time and bar time wait for late rows.
 EVENT_DELAY = "2 seconds"
-BAR_DELAY = "5 seconds"
+BAR_DELAY_SECONDS = 5
 
 _STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
@@ -26,20 +29,12 @@ _STATE_CONF = {
 }
 
 
-_SPARK_DEFAULT_PARTITIONS = "200"
-
-
-def _stream_conf(spark: SparkSession) -> dict[str, str]:
-    """State settings; the partition count is the session's, unless that is the default.
-
-    A stream keeps its count for life and is not coalesced at run time, so Spark's
-    default, too many for one machine and too few for a large cluster, gives way to the
-    number of cores.
-    """
-    partitions = spark.conf.get("spark.sql.shuffle.partitions")
-    if partitions == _SPARK_DEFAULT_PARTITIONS:
-        partitions = str(spark.sparkContext.defaultParallelism)
-    return {**_STATE_CONF, "spark.sql.shuffle.partitions": partitions}
+def _stream_conf(partitions: int | None) -> dict[str, str]:
+    """State settings. A stream keeps its partition count for life, and it is not
+    coalesced at run time: give ``partitions`` where the session's count does not suit
+    the cluster."""
+    count = {} if partitions is None else {"spark.sql.shuffle.partitions": str(partitions)}
+    return {**_STATE_CONF, **count}
 
 
 def default_metrics() -> list[Metric]:
@@ -56,12 +51,12 @@ def with_event_watermark(ticks: DataFrame, delay: str = EVENT_DELAY) -> DataFram
     return ticks.withWatermark("event_time", delay)
 
 
-def with_bar_watermark(bars: DataFrame, delay: str = BAR_DELAY) -> DataFrame:
-    return bars.withWatermark("window_end", delay)
-
-
 def start_table(
-    df: DataFrame, root: str, table: str, processing_time: str | None = None
+    df: DataFrame,
+    root: str,
+    table: str,
+    processing_time: str | None = None,
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Append a stream to the Parquet table ``root/table``; its checkpoint lies beside it.
 
@@ -74,19 +69,29 @@ def start_table(
         .option("checkpointLocation", f"{root}/_checkpoints/{table}")
         .outputMode("append")
     )
-    with session_conf(df.sparkSession, _stream_conf(df.sparkSession)):
+    with session_conf(df.sparkSession, _stream_conf(partitions)):
         if processing_time is None:
             return writer.trigger(availableNow=True).start()
         return writer.trigger(processingTime=processing_time).start()
 
 
 def read_table_stream(
-    spark: SparkSession, root: str, table: str, schema: StructType
+    spark: SparkSession,
+    root: str,
+    table: str,
+    schema: StructType,
+    max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """A metric's table as a stream, from its first row."""
+    """A metric's table as a stream, from its first row.
+
+    ``max_files_per_trigger`` bounds a micro-batch, as after an outage.
+    """
     path = f"{root}/{table}"
     spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
-    return spark.readStream.schema(schema).parquet(path)
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(path)
 
 
 def stream_job(
@@ -95,6 +100,8 @@ def stream_job(
     root: str,
     metrics: Sequence[Metric] | None = None,
     processing_time: str | None = None,
+    partitions: int | None = None,
+    max_files_per_trigger: int | None = None,
 ) -> dict[str, StreamingQuery]:
     """Start every metric; one that builds on another reads that one's table.
 
@@ -107,26 +114,64 @@ def stream_job(
     queries = {}
     for metric in metrics:
         if metric.source_table == MARKET_TOPIC:
-            rows = with_event_watermark(source)
+            rows = source
         else:
-            stored = read_table_stream(
-                spark, root, metric.source_table, schemas[metric.source_table]
+            rows = read_table_stream(
+                spark,
+                root,
+                metric.source_table,
+                schemas[metric.source_table],
+                max_files_per_trigger,
             )
-            rows = with_bar_watermark(stored) if "window_end" in stored.columns else stored
-        query = start_table(metric.stream(rows), root, metric.target_table, processing_time)
+        if isinstance(metric, StreamedMetric):
+            stream = metric.stream(with_event_watermark(rows))
+            query = start_table(stream, root, metric.target_table, processing_time, partitions)
+        else:
+            table = MeanTable(spark, metric, root, BAR_DELAY_SECONDS)
+            query = start_mean(table, rows, root, processing_time)
         if processing_time is None:
             query.awaitTermination()
         queries[metric.target_table] = query
     return queries
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows that came behind the watermark and were dropped, after partial aggregation."""
-    return sum(
-        state.numRowsDroppedByWatermark
-        for progress in query.recentProgress
-        for state in progress.stateOperators
-    )
+class LateRows(StreamingQueryListener):
+    """Counts the rows behind the watermark of every query while it listens.
+
+    A query's own record of its progress has the last hundred micro-batches only.
+    """
+
+    def __init__(self) -> None:
+        self._rows: dict[str, int] = {}
+        self._over: dict[str, threading.Event] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self._over.setdefault(str(event.runId), threading.Event())
+
+    def onQueryProgress(self, event) -> None:
+        run = str(event.progress.runId)
+        late = sum(s.numRowsDroppedByWatermark for s in event.progress.stateOperators)
+        self._rows[run] = self._rows.get(run, 0) + late
+
+    def onQueryTerminated(self, event) -> None:
+        self._over.setdefault(str(event.runId), threading.Event()).set()
+
+    def count(self, query: StreamingQuery, wait_seconds: float = 60) -> int:
+        """Late rows of a query that has ended, after partial aggregation."""
+        run = str(query.runId)
+        if not self._over.setdefault(run, threading.Event()).wait(wait_seconds):
+            raise TimeoutError(f"no end of query {query.name} was reported")
+        return self._rows.get(run, 0)
+
+
+@contextmanager
+def counted_late_rows(spark: SparkSession) -> Iterator[LateRows]:
+    listener = LateRows()
+    spark.streams.addListener(listener)
+    try:
+        yield listener
+    finally:
+        spark.streams.removeListener(listener)
 
 
 def replay(
@@ -135,7 +180,7 @@ def replay(
     root: str,
     metrics: Sequence[Metric] | None = None,
 ) -> int:
-    """Stream history in time order and return the number of late rows.
+    """Stream history in time order and return the number of late rows of its bars.
 
     ``slices`` are ticks in chronological order, such as one day's files each. A slice is
     landed whole and streamed to the end before the next, so that the watermark never
@@ -144,13 +189,17 @@ def replay(
     """
     landing = f"{root}/ticks"
     late = 0
-    for number, ticks in enumerate(slices):
-        part = f"{landing}/{number:06d}"
-        if not is_written(spark, part):
-            ticks.select(TICK.names).write.mode("overwrite").parquet(part)
-        source = spark.readStream.schema(TICK).parquet(f"{landing}/*")
-        for query in stream_job(spark, source, root, metrics).values():
-            late += late_rows(query)
+    with counted_late_rows(spark) as listener:
+        for number, ticks in enumerate(slices):
+            part = f"{landing}/{number:06d}"
+            landed = f"{root}/_landed/{number:06d}"
+            # A marker of our own: whether a job writes _SUCCESS is a setting.
+            if not exists(spark, landed):
+                ticks.select(TICK.names).write.mode("overwrite").parquet(part)
+                make_folder(spark, landed)
+            source = spark.readStream.schema(TICK).parquet(f"{landing}/*")
+            for query in stream_job(spark, source, root, metrics).values():
+                late += listener.count(query)
     return late
 
 
@@ -160,13 +209,13 @@ def open_bars(ticks: DataFrame, bars: Ohlc, delay_seconds: int = 2) -> DataFrame
     They are a batch query over the last ticks only; written to the stream's own table
     they would come twice, once the stream goes on.
     """
-    # One value: the newest event time, which fixes the watermark.
-    newest = ticks.agg(F.max("event_time")).first()[0]
+    # One value, as a number: a clock time would go through the driver's own zone.
+    newest = ticks.agg(F.max(F.unix_seconds("event_time"))).first()[0]
     if newest is None:
         return bars.batch(ticks)
-    watermark = F.unix_seconds(F.lit(newest)) - delay_seconds
+    watermark = newest - delay_seconds
     width = bars.window_minutes * 60
     # A window ends after the watermark when it starts in or after the watermark's own.
     # Compared as a timestamp, the bound reaches the scan of a stored tick table.
-    oldest_open = F.timestamp_seconds(watermark - F.pmod(watermark, F.lit(width)))
+    oldest_open = F.timestamp_seconds(F.lit(watermark - watermark % width))
     return bars.batch(ticks.filter(F.col("event_time") >= oldest_open))
