@@ -47,9 +47,10 @@ def near_components(
     *,
     bucket_limit: int = BUCKET_LIMIT,
 ) -> DataFrame:
-    """Per row of ``documents``: doc_id, row_key, n_shingles, component_id, kept.
+    """Per row of ``documents``: doc_id, n_shingles, component_id, kept, row_key, group.
 
-    ``row_key`` hashes id and text, for joins back to the rows.
+    ``row_key`` hashes id and text, for joins back to the rows. ``group`` tells components
+    apart also where they hold the same id; rows without words have none.
     """
     signed = store(_signatures(documents, settings), "near-signatures")
     filled = signed.where("n_shingles > 0")
@@ -62,16 +63,19 @@ def near_components(
         )
     )
     least = grouped.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    ids = grouped.join(least, "component").select("key_1", "key_2", "component_id")
+    ids = grouped.join(least, "component").select(
+        "key_1", "key_2", "component_id", F.col("component").alias("group")
+    )
     rows = signed.select("doc_id", "row_key", "n_shingles", "key_1", "key_2")
     linked = rows.where("n_shingles > 0").join(ids, ["key_1", "key_2"])
     alone = rows.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
-    return linked.unionByName(alone).select(
+    return linked.unionByName(alone, allowMissingColumns=True).select(
         "doc_id",
-        "row_key",
         "n_shingles",
         "component_id",
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
+        "row_key",
+        "group",
     )
 
 
@@ -82,7 +86,7 @@ def keep_first(documents: DataFrame, settings: SketchSettings = SketchSettings()
     text hash. Rows without words all stay.
     """
     chosen = near_components(documents, settings).where("kept")
-    place = Window.partitionBy("component_id").orderBy("row_key")
+    place = Window.partitionBy("group").orderBy("row_key")
     first = (
         chosen.where("n_shingles > 0")
         .withColumn("_place", F.row_number().over(place))

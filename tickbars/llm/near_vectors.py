@@ -4,7 +4,9 @@ Vectors are dealt to shards of bounded size, each with its own graph. Every vect
 query to every shard, in blocks; a shard's graph goes to as many tasks as there are
 blocks. A query's beam widens while its last result is still a link. Each task compares
 some of its queries with its whole shard, and widens all beams until the audit finds the
-links that the comparison has. Links are confirmed by the cosine in double precision.
+links that the comparison has. Queries for which the widest beam won't do, such as those
+inside a large group of near copies, are compared with all rows of the shard instead.
+Links are confirmed by the cosine in double precision.
 
 Equal vectors are one row with a count, so a vector of any frequency is searched once.
 Tasks send counts and stars of connected vectors, not links, of which a group of copies
@@ -41,6 +43,7 @@ class VectorSettings:
     shards: int = 6
     block: int = 4_096
     beam: int = 16
+    widest: int = 256
     audit: int = 96
     recall: float = 0.99
     graph: GraphSettings = GraphSettings(degree=12, build_beam=48)
@@ -208,27 +211,26 @@ def _found(
 ) -> tuple[np.ndarray, np.ndarray]:
     """(query, row) of all links that the beams reach, the audit passed."""
     audited = np.arange(len(queries))[:: max(1, len(queries) // settings.audit)]
-    true = _confirmed(vectors, queries, *np.nonzero(
-        queries[audited].astype(np.float32) @ index.vectors.T >= settings.cosine - 1e-5
-    ), audited, settings.cosine)
+    true = _compared(index, vectors, queries, audited, settings)
     wanted = set(zip(*(x.tolist() for x in true), strict=True))
     beam = settings.beam
-    while True:
+    while beam <= settings.widest:
         found = _widened(index, vectors, queries, beam, settings)
         have = set(zip(*(x.tolist() for x in found), strict=True)) & wanted
-        if len(have) >= settings.recall * len(wanted) or beam >= len(vectors):
+        if len(have) >= settings.recall * len(wanted):
             return found
         beam *= 2
+    return _compared(index, vectors, queries, np.arange(len(queries)), settings)
 
 
 def _widened(
     index: Graph, vectors: np.ndarray, queries: np.ndarray, beam: int, settings: VectorSettings
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Links of every query; a beam that holds nothing but links is doubled."""
+    """Links of every query; a beam that holds nothing but links is widened."""
     low = settings.cosine - 1e-5
     pairs: list[tuple[np.ndarray, np.ndarray]] = []
     open_ = np.arange(len(queries))
-    while len(open_):
+    while len(open_) and beam <= settings.widest:
         wider = []
         # Beams of all sizes fill as much memory.
         step = max(16, settings.graph.block * settings.beam // beam)
@@ -243,6 +245,24 @@ def _widened(
             )
         open_ = np.concatenate(wider)
         beam *= 4
+    pairs.append(_compared(index, vectors, queries, open_, settings))
+    return tuple(np.concatenate(x) for x in zip(*pairs, strict=True))
+
+
+def _compared(
+    index: Graph,
+    vectors: np.ndarray,
+    queries: np.ndarray,
+    chosen: np.ndarray,
+    settings: VectorSettings,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Links of the ``chosen`` queries with all rows, in blocks of bounded size."""
+    pairs = [(chosen[:0], chosen[:0])]
+    for low in range(0, len(chosen), 256):
+        part = chosen[low : low + 256]
+        like = queries[part].astype(np.float32) @ index.vectors.T
+        at, row = np.nonzero(like >= settings.cosine - 1e-5)
+        pairs.append(_confirmed(vectors, queries, at, row, part, settings.cosine))
     return tuple(np.concatenate(x) for x in zip(*pairs, strict=True))
 
 

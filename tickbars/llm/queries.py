@@ -41,7 +41,7 @@ def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_components(read_table(spark, sf_dir, "documents")).drop("row_key")
+    return near_components(read_table(spark, sf_dir, "documents")).drop("row_key", "group")
 
 
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
