@@ -76,9 +76,26 @@ def test_job_goes_on_after_failures(spark, tmp_path):
         LinearBarModel(["A"], topic="GOOD"),
         LinearBarModel(topic="GOOD"),
     ]
-    trained = train_job(read, models, schemas_dir=tmp_path)
-    assert [t.model for t in trained] == models[5:]
-    assert [t.predictions.count() for t in trained] == [30, 60]
+    outcomes = train_job(read, models, schemas_dir=tmp_path)
+    assert [o.model for o in outcomes] == models
+    assert [o.trained for o in outcomes] == [False] * 5 + [True] * 2
+    assert [o.predictions.count() for o in outcomes if o.trained] == [30, 60]
+    for outcome, part in zip(outcomes, ("no broker", "no rows", "no schema", "no fit", "NOBODY")):
+        assert part in outcome.reason
     assert reads == ["UNREADABLE", "EMPTY", "GOOD"]
     assert train_job(read, models, topics=["OTHER"], schemas_dir=tmp_path) == []
-    assert len(train_job(read, models, topics=["GOOD"], schemas_dir=tmp_path)) == 2
+    assert sum(o.trained for o in train_job(read, models, topics=["GOOD"], schemas_dir=tmp_path)) == 2
+
+
+def test_predictions_are_for_the_rows_of_the_fit(spark, tmp_path):
+    """The topic goes on while the job runs, and nothing stays cached."""
+    (tmp_path / "T.json").write_text('{"ticker": "string", "open_price": "double", '
+                                     '"high_price": "double", "low_price": "double", '
+                                     '"close_price": "double", "volume": "long"}')
+    path = str(tmp_path / "topic")
+    as_messages(spark, bars(spark)).write.parquet(path)
+    read = lambda topic: spark.read.schema("value string").parquet(path)
+    [outcome] = train_job(read, [LinearBarModel(topic="T")], schemas_dir=tmp_path)
+    as_messages(spark, bars(spark, 10)).write.mode("append").parquet(path)
+    assert outcome.predictions.count() == 60
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()

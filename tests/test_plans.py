@@ -10,7 +10,7 @@ from tickbars.operators.rolling import RollingMean
 from tickbars.plans.queries import QUERIES
 from tickbars.sources.market import market_ticks
 from tickbars.streaming.jobs import open_bars
-from tickbars.streaming.serving import ServingTable
+from tickbars.streaming.serving import ENTRY, ServingTable
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -52,13 +52,13 @@ def test_bars_read_only_their_columns_and_push_the_ticker_down(ticks):
 
 def test_latest_rows_are_cut_before_the_shuffle(spark):
     rows = spark.range(100_000).select((F.col("id") % 3).alias("k"), "id")
-    plan = plan_of(latest_n(rows, ["k"], ["id"], 60))
-    assert plan.count("WindowGroupLimit") == 2
-    assert "WindowGroupLimit" in plan_of(keep_last(rows, ["k"], ["id"]))
-    salted = plan_of(latest_n(rows, ["k"], ["id"], 5000))
-    assert "_salt" in salted and salted.count("Window [row_number()") == 2
-    spread = plan_of(latest_n(rows, ["k"], ["id"], 60, spread=True))
-    assert spread.count("WindowGroupLimit") == 4 and spread.count("Exchange") == 2
+    for cut in (latest_n(rows, ["k"], ["id"], 60), keep_last(rows, ["k"], ["id"])):
+        plan = plan_of(cut)
+        assert plan.count("WindowGroupLimit") == 4 and plan.count("Exchange") == 2
+    # One plan for every count, whether Spark cuts before the shuffle or not.
+    for count in (999, 1000, 1001, 5000):
+        plan = plan_of(latest_n(rows, ["k"], ["id"], count))
+        assert plan.count("Window [row_number()") == 2 and plan.count("Exchange") == 2
 
 
 def test_hot_keys_are_split_by_time(ticks):
@@ -80,7 +80,9 @@ def test_open_bars_push_their_bound_to_the_scan(spark, ticks, tmp_path):
 
 
 def test_serving_reads_push_the_key_to_the_scan(spark, tmp_path):
-    plan = plan_of(ServingTable(spark, str(tmp_path / "table")).bars("A", 60))
+    table = ServingTable(spark, str(tmp_path / "table"))
+    table.append(spark.createDataFrame([], ENTRY), 0)
+    plan = plan_of(table.bars("A", 60))
     assert "EqualTo(ticker,A)" in plan and "EqualTo(topic,OHLC_5M)" in plan
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tickbars.functions.times import event_time
 from tickbars.operators.bars import Ohlc
-from tickbars.operators.messages import to_messages
+from tickbars.operators.messages import serving_entries, to_messages
 from tickbars.operators.rolling import RollingMean
 from tickbars.schemas import INDICATOR, TICK
 from tickbars.streaming.jobs import (
@@ -20,7 +20,7 @@ from tickbars.streaming.jobs import (
 )
 from tickbars.session import session_conf
 from tickbars.streaming.means import MeanTable, start_mean
-from tickbars.streaming.serving import ServingTable, serve_job
+from tickbars.streaming.serving import ENTRY, ServingTable, serve_job
 
 
 def ticks(spark, rows):
@@ -302,12 +302,24 @@ def test_serving_keeps_the_newest_over_batches(spark, tmp_path):
     assert table.read().count() == 15
     # Each kind of part is bounded: what the snapshot replaced is gone.
     left = [p.name for p in (tmp_path / "table" / "part=batch").glob("upto=*")]
-    assert sorted(left) == ["upto=-1", "upto=4"]
+    assert sorted(left) == ["upto=4"]
 
 
-def test_a_repeated_batch_is_not_counted_twice(spark, tmp_path):
-    from tickbars.operators.messages import serving_entries
+def test_the_number_of_served_parts_is_bounded(spark, tmp_path):
+    table = ServingTable(spark, f"{tmp_path}/table", keep=3, compact_every=3)
+    for batch_id in range(14):
+        first = batch_id * 20
+        table.append(serving_entries(bar_messages(spark, range(first, first + 20))), batch_id)
+        parts = list((tmp_path / "table").glob("part=*/upto=*"))
+        assert len(parts) <= 2 * 3 + 2
+    stored = spark.read.schema(ENTRY).parquet(f"{tmp_path}/table/*/*")
+    assert stored.count() <= 3 * 8
+    assert sorted(r.entry_id for r in table.read().collect()) == [277, 278, 279]
+    header = table.header("A").first()
+    assert (header.close, header.change, header.ema) == (279.0, 1.0, 0.0)
+
 
+def test_a_repeated_batch_is_not_counted_twice(spark, tmp_path):
     table = ServingTable(spark, f"{tmp_path}/table", keep=10, compact_every=2)
     for batch_id in (0, 0, 1, 1, 2, 2):
         table.append(serving_entries(bar_messages(spark, [batch_id])), batch_id)

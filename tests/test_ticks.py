@@ -1,12 +1,16 @@
 import gzip
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tickbars.operators.bars import Ohlc
 from tickbars.operators.order import time_order, with_position
+from tickbars.operators.messages import event_messages, event_ticks
 from tickbars.plans.jobs import publish_job
-from tickbars.sources.ticks import convert_ticks, read_converted_ticks, read_ticks
+from tickbars.session import session_conf
+from tickbars.sources.ticks import convert_ticks, read_converted_ticks, read_ticks, ticker_list
+from tickbars.sources.topics import FileTopic
 
 HEADER = "Date,Timestamp,EventType,Ticker,Price,Quantity,Exchange,Conditions"
 
@@ -21,89 +25,124 @@ def put(root, day, ticker, lines, header=HEADER):
 @pytest.fixture
 def root(tmp_path):
     data = tmp_path / "data"
-    put(data, "20240101", "AAPL", [
-        "2024-01-01,1000000000,TRADE,AAPL,150.0,10,NYSE,",
-        "2024-01-01,3000000000,TRADE,AAPL,151.0,20,NYSE,",
+    put(data, "20240311", "ORCA", [
+        "2024-03-11,700,TRADE,ORCA,12.5,3,XQ,",
+        "2024-03-11,1900,TRADE,ORCA,12.25,8,XQ,late",
     ])
-    put(data, "20240101", "MSFT", [
-        "2024-01-01,2000000000,TRADE,MSFT,300.0,15,NASDAQ,",
-        "2024-01-01,4000000000,TRADE,MSFT,305.0,25,NASDAQ,",
+    put(data, "20240311", "WREN", [
+        "2024-03-11,100,TRADE,WREN,7.0,40,ZQ,",
+        "2024-03-11,900,TRADE,WREN,7.5,2,ZQ,",
+        "2024-03-11,2500,TRADE,WREN,7.25,6,ZQ,",
     ])
-    put(data, "20240102", "AAPL", [
-        '20240102,9:30:00.25,TRADE,AAPL,152.5,5,NYSE,"odd, lot"',
-        "20240102,9:30:00.25,TRADE,AAPL,152.6,6,NYSE,",
+    put(data, "20240312", "ORCA", [
+        '20240312,8:05:10.5,TRADE,ORCA,13.0,5,XQ,"odd, lot"',
+        "20240312,8:05:10.5,TRADE,ORCA,13.1,6,XQ,",
     ])
     (data / "README.txt").write_text("not a folder of ticks")
     return str(data)
 
 
 def test_merge_in_time_order(spark, root):
-    ticks = time_order(read_ticks(spark, root, "AAPL, MSFT", "20240101", "20240101"))
+    ticks = time_order(read_ticks(spark, root, "ORCA, WREN", "20240311", "20240311"))
     rows = ticks.select("Timestamp", "Ticker", "Price", "Quantity", "Conditions").collect()
     assert [tuple(r) for r in rows] == [
-        (1000000000, "AAPL", 150.0, 10, ""),
-        (2000000000, "MSFT", 300.0, 15, ""),
-        (3000000000, "AAPL", 151.0, 20, ""),
-        (4000000000, "MSFT", 305.0, 25, ""),
+        (100, "WREN", 7.0, 40, ""),
+        (700, "ORCA", 12.5, 3, ""),
+        (900, "WREN", 7.5, 2, ""),
+        (1900, "ORCA", 12.25, 8, "late"),
+        (2500, "WREN", 7.25, 6, ""),
     ]
 
 
+def test_ticker_lists():
+    assert ticker_list(" ORCA,,WREN , ORCA") == ["ORCA", "WREN"]
+    assert ticker_list(["WREN ", "", "ORCA,WREN"]) == ["WREN", "ORCA"]
+
+
 def test_dates_are_inclusive_and_missing_files_are_skipped(spark, root):
-    assert read_ticks(spark, root, ["AAPL", "MSFT", "NONE"], "20240101", "20240102").count() == 6
-    assert read_ticks(spark, root, ["AAPL"], "20240102", "20991231").count() == 2
-    empty = read_ticks(spark, root, ["NONE"], "20240101", "20240102")
+    assert read_ticks(spark, root, ["ORCA", "WREN", "NONE"], "20240311", "20240312").count() == 7
+    assert read_ticks(spark, root, ["ORCA"], "20240312", "20991231").count() == 2
+    empty = read_ticks(spark, root, ["NONE"], "20240311", "20240312")
     assert empty.count() == 0 and "event_time" in empty.columns
+    with pytest.raises(AnalysisException):
+        read_ticks(spark, f"{root}/no/such/root", ["ORCA"], "20240311", "20240312")
 
 
 def test_only_selected_files_are_opened(spark, root, tmp_path):
-    put(tmp_path / "data", "20240103", "AAPL", ["broken"], header="no,such,header")
-    ticks = read_ticks(spark, root, ["AAPL"], "20240101", "20240102")
+    put(tmp_path / "data", "20240313", "ORCA", ["broken"], header="no,such,header")
+    ticks = read_ticks(spark, root, ["ORCA"], "20240311", "20240312")
     assert ticks.count() == 4
 
 
 def test_quotes_clock_and_arrival(spark, root):
-    rows = read_ticks(spark, root, "AAPL", "20240101", "20240102").orderBy("Arrival").collect()
-    assert [r.Price for r in rows] == [150.0, 151.0, 152.5, 152.6]
+    rows = read_ticks(spark, root, "ORCA", "20240311", "20240312").orderBy("Arrival").collect()
+    assert [r.Price for r in rows] == [12.5, 12.25, 13.0, 13.1]
     assert rows[2].Conditions == "odd, lot"
-    assert rows[2].Timestamp == 1704187800_250000000
+    assert rows[2].Timestamp == 1710230710_500000000
     assert rows[2].Timestamp == rows[3].Timestamp and rows[2].Arrival < rows[3].Arrival
 
 
 def test_bars_break_ties_by_place_in_the_file(spark, root):
-    ticks = read_ticks(spark, root, "AAPL", "20240102", "20240102")
+    ticks = read_ticks(spark, root, "ORCA", "20240312", "20240312")
+    bar = Ohlc(5).batch(ticks).first()
+    assert (bar.open_price, bar.close_price, bar.volume) == (13.0, 13.1, 11)
+
+
+def test_arrival_over_several_files_of_a_day(spark, tmp_path):
+    folder = tmp_path / "day=20240311" / "symbol=ORCA"
+    folder.mkdir(parents=True)
+    for name, first in (("b", 100), ("a", 0), ("c", 200)):
+        lines = [f"2024-03-11,{first + k},TRADE,ORCA,{first + k}.0,1,XQ," for k in range(50)]
+        with gzip.open(folder / f"{name}.csv.gz", "wt") as out:
+            out.write("\n".join([HEADER, *lines]) + "\n")
+    ticks = read_ticks(
+        spark, str(tmp_path), "ORCA", "20240311", "20240311",
+        files="day={date}/symbol={ticker}/*.csv.gz",
+    )
+    rows = ticks.orderBy("Arrival").collect()
+    assert len({r.Arrival for r in rows}) == 150
+    assert [r.Timestamp for r in rows] == sorted(r.Timestamp for r in rows)
     bar = Ohlc(5).batch(ticks).first()
-    assert (bar.open_price, bar.close_price, bar.volume) == (152.5, 152.6, 11)
+    assert (bar.open_price, bar.close_price) == (0.0, 249.0)
+
+
+def test_bad_clocks_raise(spark, root, tmp_path):
+    put(tmp_path / "data", "20240315", "X", ["2024-03-15,09:30,TRADE,X,1.0,1,XQ,"])
+    with pytest.raises(Exception, match="09:30"):
+        Ohlc(5).batch(read_ticks(spark, root, "X", "20240315", "20240315")).collect()
 
 
 def test_other_columns_are_refused(spark, root, tmp_path):
-    put(tmp_path / "data", "20240104", "X", ["1,2"], header="Ticker,Date")
+    put(tmp_path / "data", "20240314", "X", ["1,2"], header="Ticker,Date")
     with pytest.raises(Exception):
-        read_ticks(spark, root, "X", "20240104", "20240104").select("Date", "Price").collect()
+        read_ticks(spark, root, "X", "20240314", "20240314").select("Date", "Price").collect()
 
 
 def test_bad_numbers_raise(spark, root, tmp_path):
-    put(tmp_path / "data", "20240105", "X", ["2024-01-05,1,TRADE,X,cheap,1,NYSE,"])
+    put(tmp_path / "data", "20240316", "X", ["2024-03-16,1,TRADE,X,cheap,1,XQ,"])
     with pytest.raises(Exception, match="cheap"):
-        read_ticks(spark, root, "X", "20240105", "20240105").collect()
+        read_ticks(spark, root, "X", "20240316", "20240316").collect()
 
 
 def test_globs_are_no_tickers(spark, root):
     with pytest.raises(ValueError):
-        read_ticks(spark, root, "{A,B}*", "20240101", "20240102")
+        read_ticks(spark, root, "{A,B}*", "20240311", "20240312")
 
 
 def test_converted_ticks_are_the_same(spark, root, tmp_path):
-    ticks = read_ticks(spark, root, "AAPL,MSFT", "20240101", "20240102")
+    ticks = read_ticks(spark, root, "ORCA,WREN", "20240311", "20240312")
     path = str(tmp_path / "converted")
-    convert_ticks(ticks, path)
-    again = read_converted_ticks(spark, path, "AAPL, MSFT", "20240101", "20240102")
+    # One day after the other, and one of them again.
+    for day in ("20240312", "20240311", "20240312"):
+        convert_ticks(read_ticks(spark, root, "ORCA,WREN", day, day), path)
+    again = read_converted_ticks(spark, path, "ORCA, WREN", "20240311", "20240312")
     assert again.select(ticks.columns).exceptAll(ticks).count() == 0
-    assert again.count() == 6
-    part = read_converted_ticks(spark, path, "AAPL", "20240102", "20240102")
+    assert again.count() == 7
+    part = read_converted_ticks(spark, path, "ORCA", "20240312", "20240312")
     assert part.count() == 2
     plan = part._jdf.queryExecution().executedPlan().toString()
     assert "day" in plan.split("PartitionFilters: ")[1].split("]")[0]
-    assert "EqualTo(Ticker,AAPL)" in plan or "In(Ticker, [AAPL])" in plan
+    assert "EqualTo(Ticker,ORCA)" in plan or "In(Ticker, [ORCA])" in plan
 
 
 def test_positions_count_from_one_without_gaps(spark):
@@ -119,18 +158,35 @@ def test_positions_count_from_one_without_gaps(spark):
     assert keys == sorted(keys)
 
 
-def test_publish_writes_sorted_slices(spark, root, tmp_path):
-    path = str(tmp_path / "published")
-    slices = [
-        read_ticks(spark, root, "AAPL,MSFT", day, day) for day in ("20240101", "20240102")
-    ]
-    written = []
-
-    def write(ticks):
-        written.append([(r.Timestamp, r.Ticker) for r in ticks.collect()])
-        ticks.write.mode("append").parquet(path)
-
-    publish_job(slices, write)
-    assert [len(w) for w in written] == [4, 2]
-    assert all(w == sorted(w) for w in written)
-    assert spark.read.parquet(path).count() == 6
+def test_publishing_keeps_each_tickers_order(spark, tmp_path):
+    """Many write tasks, rows in no order, and slices one after the other."""
+    ticks = spark.range(4000).select(
+        F.lit("2024-03-11").alias("Date"),
+        ((F.col("id") * 7919) % 4000 * 1000000000).alias("Timestamp"),
+        F.lit("TRADE").alias("EventType"),
+        F.concat(F.lit("T"), F.col("id") % 13).alias("Ticker"),
+        F.col("id").cast("double").alias("Price"),
+        F.lit(1).alias("Quantity"),
+        F.lit("").alias("Exchange"),
+        F.lit("").alias("Conditions"),
+        F.col("id").alias("Arrival"),
+    )
+    topic = FileTopic(spark, f"{tmp_path}/topic")
+    assert topic.read().count() == 0
+    half = F.col("Timestamp") < 2000 * 1000000000
+    with session_conf(spark, {"spark.sql.adaptive.enabled": "false"}):
+        publish_job(
+            [ticks.filter(half), ticks.filter(~half)],
+            lambda rows: topic.append(event_messages(rows)),
+        )
+    assert topic.read().select("partition").distinct().count() > 3
+    read = event_ticks(topic.read())
+    rows = read.orderBy("Ticker", "Arrival").collect()
+    keys = [(r.Ticker, r.Timestamp) for r in rows]
+    assert len(rows) == 4000 and keys == sorted(keys)
+    bars = Ohlc(60, order=("Timestamp", "Arrival"))
+    with_time = ticks.withColumn("event_time", F.timestamp_seconds(F.col("Timestamp") / 1e9))
+    columns = ["ticker", "open_price", "close_price"]
+    assert sorted(bars.batch(read).select(columns).collect()) == sorted(
+        bars.batch(with_time).select(columns).collect()
+    )

@@ -56,3 +56,11 @@ def indicator_time(time: Column) -> Column:
     return F.coalesce(
         F.timestamp_millis(time.try_cast("bigint")), F.try_to_timestamp(time)
     )
+
+
+def utc_clock(time: Column) -> Column:
+    """A timestamp's UTC clock as a zoneless time, whatever the session's zone."""
+    seconds = F.unix_micros(time).cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(10,0)")
+    zero, unit = F.lit(0), seconds.cast("decimal(18,6)")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return epoch + F.make_dt_interval(zero, zero, zero, unit)

@@ -3,40 +3,34 @@
 from __future__ import annotations
 
 from abc import ABC, abstractmethod
+from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 
 class Model(ABC):
-    """Subclass this to add a model to the training job."""
+    """Subclass this to add a model to the training job.
 
-    def __init__(self) -> None:
-        self.model: PipelineModel | None = None
+    It is trained on the rows of ``tickers`` in ``topic``; without tickers, on all.
+    """
 
-    @property
-    def fitted(self) -> bool:
-        return self.model is not None
-
-    @property
-    @abstractmethod
-    def name(self) -> str:
-        """Logical name of the model."""
+    def __init__(self, name: str, topic: str, tickers: Sequence[str] = ()):
+        self.name = name
+        self.topic = topic
+        self.tickers = list(tickers)
+        self.pipeline: PipelineModel | None = None
 
     @property
-    @abstractmethod
-    def topic(self) -> str:
-        """The topic it is trained on."""
-
-    @property
-    @abstractmethod
-    def tickers(self) -> list[str]:
-        """The tickers it is trained on; none means all."""
+    def fitted(self) -> bool:
+        return self.pipeline is not None
 
     @abstractmethod
     def fit(self, df: DataFrame) -> PipelineModel:
-        """Train on ``df`` and keep the result."""
+        """Train on ``df`` and keep the result as ``pipeline``."""
 
-    @abstractmethod
     def predict(self, df: DataFrame) -> DataFrame:
         """``df`` with predictions of the fitted model."""
+        if self.pipeline is None:
+            raise ValueError("fit the model before predicting")
+        return self.pipeline.transform(df)

@@ -23,21 +23,7 @@ class LinearBarModel(Model):
     """
 
     def __init__(self, tickers: Sequence[str] = (), topic: str = "OHLC_5M"):
-        super().__init__()
-        self._tickers = list(tickers)
-        self._topic = topic
-
-    @property
-    def name(self) -> str:
-        return "LinearBarModel"
-
-    @property
-    def topic(self) -> str:
-        return self._topic
-
-    @property
-    def tickers(self) -> list[str]:
-        return self._tickers
+        super().__init__("LinearBarModel", topic, tickers)
 
     def fit(self, df: DataFrame) -> PipelineModel:
         # Rows with an invalid feature are left out, in training and in prediction.
@@ -45,10 +31,5 @@ class LinearBarModel(Model):
             inputCols=FEATURES, outputCol="features", handleInvalid="skip"
         )
         regression = LinearRegression(featuresCol="features", labelCol=LABEL)
-        self.model = Pipeline(stages=[assembler, regression]).fit(df.dropna())
-        return self.model
-
-    def predict(self, df: DataFrame) -> DataFrame:
-        if self.model is None:
-            raise ValueError("fit the model before predicting")
-        return self.model.transform(df)
+        self.pipeline = Pipeline(stages=[assembler, regression]).fit(df.dropna())
+        return self.pipeline

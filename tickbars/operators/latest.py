@@ -17,30 +17,21 @@ _SALTS = 1024
 
 
 def latest_n(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    count: int | None = CANDLES,
-    spread: bool = False,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], count: int | None = CANDLES
 ) -> DataFrame:
     """The ``count`` newest rows of each key by ``order``; None keeps all.
 
-    Up to ``spark.sql.optimizer.windowGroupLimitThreshold`` Spark cuts each key to
-    ``count`` rows in every task before the shuffle. What is left of a hot key then is
-    ``count`` rows from each task, together in one. With ``spread``, and always beyond
-    that threshold, groups of tasks are cut first, each group in a task of its own, at
-    the price of one more shuffle.
+    Groups of tasks are cut first, each in a task of its own, then their rows meet: a hot
+    key never has more than ``count`` rows from each of a bounded number of groups in one
+    task. Spark also cuts in every task before the shuffle, up to the count that
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` allows.
     """
     if count is None:
         return df
-    threshold = int(
-        df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
-    )
-    if spread or count > threshold:
-        # By task, not by row, so that the cut within a task stays at ``count`` rows.
-        group = F.pmod(F.spark_partition_id(), F.lit(_SALTS))
-        df = _newest(df.withColumn("_salt", group), [*keys, "_salt"], order, count).drop("_salt")
-    return _newest(df, keys, order, count)
+    # By task, not by row, so that the cut within a task stays at ``count`` rows.
+    group = F.pmod(F.spark_partition_id(), F.lit(_SALTS))
+    salted = _newest(df.withColumn("_salt", group), [*keys, "_salt"], order, count)
+    return _newest(salted.drop("_salt"), keys, order, count)
 
 
 def _newest(

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickbars.functions.times import bar_time, indicator_time
+from tickbars.functions.times import bar_time, event_time, indicator_time, utc_clock
+from tickbars.schemas import MARKET_EVENT
 from tickbars.functions.values import to_number
 
 # Fields of a message and the name each has in a served entry.
@@ -32,11 +33,11 @@ def to_messages(df: DataFrame, topic: str, offset: Column) -> DataFrame:
 
 
 def message_value(df: DataFrame) -> Column:
-    """A row as JSON; times as ``yyyy-MM-dd HH:mm:ss`` with a fraction only if there is one."""
+    """A row as JSON; times as UTC ``yyyy-MM-dd HH:mm:ss``, a fraction only if there is one."""
     return F.to_json(
         F.struct(
             *[
-                F.col(f.name).cast("string").alias(f.name)
+                utc_clock(F.col(f.name)).cast("string").alias(f.name)
                 if isinstance(f.dataType, T.TimestampType)
                 else F.col(f.name)
                 for f in df.schema.fields
@@ -53,6 +54,23 @@ def decode(messages: DataFrame, schema: T.StructType) -> DataFrame:
     return messages.select(F.inline(F.array(data)))
 
 
+def event_messages(ticks: DataFrame) -> DataFrame:
+    """Ticks as JSON messages keyed by ticker."""
+    value = F.to_json(F.struct(*MARKET_EVENT.names))
+    return ticks.select(F.col("Ticker").alias("key"), value.alias("value"))
+
+
+def event_ticks(messages: DataFrame) -> DataFrame:
+    """Messages of ticks back as ticks; the offset is the arrival position.
+
+    Offsets of different partitions are not in order of time: bars over them should go by
+    ``("Timestamp", "Arrival")``.
+    """
+    data = F.from_json("value", MARKET_EVENT)
+    rows = messages.select(F.inline(F.array(data)), F.col("offset").alias("Arrival"))
+    return rows.withColumn("event_time", event_time(F.col("Timestamp")))
+
+
 def message_kind(topic: Column) -> Column:
     """``EMA`` or ``OHLC`` from the topic's name, the first of them taking precedence."""
     upper = F.upper(topic)

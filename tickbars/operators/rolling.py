@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickbars.operators.latest import latest_n
 from tickbars.operators.lookback import with_lookback
 from tickbars.operators.metric import MARKET_TOPIC, Metric
 from tickbars.schemas import INDICATOR
@@ -70,3 +71,9 @@ class RollingMean(Metric):
             *self.ties,
             "ema_value",
         )
+
+    def latest(self, source: DataFrame) -> DataFrame:
+        """The newest mean of each key, from the ``periods`` rows that it is made of."""
+        order = [self.time, *self.ties]
+        means = self.batch(latest_n(source, [self.key], order, self.periods))
+        return latest_n(means, ["ticker"], ["snapshot_time", *self.ties], 1)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from pathlib import Path
@@ -11,74 +10,82 @@ from pyspark.sql import DataFrame
 
 from tickbars.models.base import Model
 from tickbars.operators.messages import decode, for_tickers
-from tickbars.operators.order import time_order
 from tickbars.schemas import topic_schema
+from tickbars.session import store
 
-logger = logging.getLogger(__name__)
 
-
-@dataclass
-class Trained:
-    """A fitted model and its predictions for the rows it was trained on."""
+@dataclass(frozen=True)
+class Outcome:
+    """What became of a model: predictions for the rows it was trained on, or why not."""
 
     model: Model
-    predictions: DataFrame
+    predictions: DataFrame | None = None
+    reason: str = ""
+
+    @property
+    def trained(self) -> bool:
+        return self.predictions is not None
 
 
 def train_job(
     read_topic: Callable[[str], DataFrame],
     models: Sequence[Model],
-    topics: Sequence[str] | None = None,
+    topics: Sequence[str] = (),
     schemas_dir: Path | str | None = None,
-) -> list[Trained]:
-    """Train each model on its topic and predict for the same rows.
+) -> list[Outcome]:
+    """Train each model on its topic; one outcome per model of ``topics``, or of all.
 
-    ``read_topic`` gives a topic's messages with a ``value`` column. A topic without
-    schema, a read that fails and a frame without rows are logged and skipped, and so is
-    a model that fails; the others go on. A topic with several models is parsed once.
+    ``read_topic`` gives a topic's messages with a ``value`` column. It is asked once a
+    topic, and what it parses to is stored, so that a model predicts for the very rows it
+    was fitted on though the topic goes on. No model's failure stops the others.
     """
-    chosen = [m for m in models if not topics or m.topic in topics]
-    by_topic: dict[str, list[Model]] = {}
-    for model in chosen:
-        by_topic.setdefault(model.topic, []).append(model)
-
-    trained: list[Trained] = []
-    for topic, topic_models in by_topic.items():
-        schema = topic_schema(topic, schemas_dir)
-        if schema is None:
-            logger.error("no schema for topic %s, skipped", topic)
+    loaded: dict[str, DataFrame | str] = {}
+    outcomes = []
+    for model in models:
+        if topics and model.topic not in topics:
             continue
-        try:
-            parsed = decode(read_topic(topic), schema)
-            if len(topic_models) > 1:
-                parsed = parsed.persist()
-            if parsed.isEmpty():
-                logger.warning("topic %s has no rows, skipped", topic)
-                continue
-        except Exception:
-            logger.exception("topic %s could not be read, skipped", topic)
-            continue
-        for model in topic_models:
-            try:
-                rows = for_tickers(parsed, model.tickers)
-                if rows.isEmpty():
-                    logger.warning("no rows of %s in %s", model.tickers, topic)
-                    continue
-                model.fit(rows)
-                trained.append(Trained(model, model.predict(rows)))
-            except Exception:
-                logger.exception("model %s failed", model.name)
-        # The fits were the repeated passes; predictions are read again from the topic.
-        parsed.unpersist()
-    return trained
+        if model.topic not in loaded:
+            loaded[model.topic] = _load(model.topic, read_topic, schemas_dir)
+        outcomes.append(_train(model, loaded[model.topic]))
+    return outcomes
+
+
+def _load(
+    topic: str, read_topic: Callable[[str], DataFrame], schemas_dir: Path | str | None
+) -> DataFrame | str:
+    """The topic's rows, or the reason why there are none."""
+    schema = topic_schema(topic, schemas_dir)
+    if schema is None:
+        return f"no schema for topic {topic}"
+    try:
+        rows = store(decode(read_topic(topic), schema), f"topic-{topic}")
+    except Exception as error:
+        return f"topic {topic} could not be read: {error}"
+    return f"topic {topic} has no rows" if rows.isEmpty() else rows
+
+
+def _train(model: Model, rows: DataFrame | str) -> Outcome:
+    if isinstance(rows, str):
+        return Outcome(model, reason=rows)
+    own = for_tickers(rows, model.tickers)
+    try:
+        if own.isEmpty():
+            return Outcome(model, reason=f"no rows of {model.tickers} in {model.topic}")
+        model.fit(own)
+        return Outcome(model, model.predict(own))
+    except Exception as error:
+        return Outcome(model, reason=f"{model.name} failed: {error}")
 
 
 def publish_job(slices: Iterable[DataFrame], write: Callable[[DataFrame], None]) -> None:
-    """Publish ticks in time order, slice by slice.
+    """Publish ticks slice by slice, each ticker's in order of time.
 
-    ``slices`` are ticks of successive stretches of time, such as one date each, so that
-    a topic holds them in order though the rows of a slice are written in parallel.
-    ``write`` takes one sorted slice, such as an encoded write to a topic.
+    ``slices`` are ticks of successive stretches of time, such as one date each. Within a
+    slice all rows of a ticker are in one sorted task, so that a writer that keeps its
+    task's order, such as a keyed write to a topic, keeps the ticker's. Make slices short
+    enough that the rows of the hottest ticker in one fit a task. Different tickers, and
+    so different partitions of a topic, are written side by side: readers finish a slice
+    before the next, as ``replay`` does, or order by time.
     """
     for ticks in slices:
-        write(time_order(ticks))
+        write(ticks.repartition("Ticker").sortWithinPartitions("Ticker", "Timestamp", "Arrival"))

@@ -210,6 +210,9 @@ SELECT event_id,
        CASE WHEN event_type <> 'error' THEN date_trunc('milliseconds', ts) END AS bar_time
 FROM events"""
 
+ORACLES["served_header"] = f"""
+SELECT * FROM ({ORACLES['latest_bar_snapshot']}) WHERE ticker = 'click'"""
+
 # --- Streams ---------------------------------------------------------------------------
 
 ORACLES["stream_ohlc_5m"] = f"WITH {_TICKS}, {_bars(5)}, {_CLOSED} SELECT * FROM closed"
@@ -224,6 +227,10 @@ SELECT *, 'OHLC_5M_EMA_9' AS metric FROM ({_means(9, 'closed')})
 UNION ALL
 SELECT *, 'OHLC_5M_EMA_12' AS metric FROM ({_means(12, 'closed')})"""
 
+ORACLES["publish_stream_bars"] = (
+    f"WITH {_TICKS}, {_bars(60, '(ts, event_id)')}, {_CLOSED} SELECT * FROM closed"
+)
+
 ORACLES["stream_late_rows"] = f"""
 WITH all_{_TICKS}, first_part AS (
     SELECT date_trunc('second', max(ts)) - INTERVAL '2 seconds' AS watermark
@@ -300,6 +307,18 @@ WITH {_TICKS}, {_bars(5)}, clicks AS (SELECT * FROM bars WHERE ticker = 'click')
 SELECT ticker, strftime(window_end, '%Y-%m-%d %H:%M:%S') AS window_end, {_PREDICTION}
 FROM clicks, weights"""
 
+
+def _trained(ticker: str) -> str:
+    return f"""
+SELECT * FROM (
+    WITH {_TICKS}, {_bars(60)}, own AS (SELECT * FROM bars WHERE ticker = '{ticker}'),
+    {_regression('own')}
+    SELECT ticker, strftime(window_end, '%Y-%m-%d %H:%M:%S') AS window_end, {_PREDICTION}
+    FROM own, weights)"""
+
+
+ORACLES["train_job_topics"] = f"{_trained('click')} UNION ALL {_trained('view')}"
+
 ORACLES["prediction_head"] = f"""
 {ORACLES['train_job_predictions']}
 ORDER BY window_end DESC LIMIT 10"""
@@ -408,3 +427,5 @@ ORACLES["news_head"] = """
 SELECT doc_id, source, substring(coalesce(text, ''), 1, 260)
        || CASE WHEN length(coalesce(text, '')) > 260 THEN '...' ELSE '' END AS summary
 FROM documents ORDER BY doc_id LIMIT 10"""
+
+ORACLES["facts_csv_scan"] = "SELECT doc_id, source, md5(text) AS digest FROM documents"

@@ -17,11 +17,13 @@ from tickbars.operators.lookback import BY_RANGE
 from tickbars.operators.order import with_position
 from tickbars.operators.ranges import entry_range, in_time
 from tickbars.operators.rolling import RollingMean
-from tickbars.plans.jobs import train_job
-from tickbars.schemas import MARKET_EVENT, TICK, topic_schema
+from tickbars.plans.jobs import publish_job, train_job
+from tickbars.schemas import MARKET_EVENT, TICK, TOPIC_FOLDER, topic_schema
 from tickbars.session import new_run_dir, store, use_utc
+from tickbars.sources.facts import read_facts
 from tickbars.sources.market import as_ticks, market_tick_stream, market_ticks
 from tickbars.sources.ticks import convert_ticks, read_converted_ticks, read_ticks
+from tickbars.sources.topics import FileTopic
 from tickbars.streaming.jobs import (
     default_metrics,
     open_bars,
@@ -284,9 +286,7 @@ def candle_direction(spark, sf_dir):
 def latest_bar_snapshot(spark, sf_dir):
     # Read twice, so stored: the ticks are many times larger than their bars.
     bars = store(_bars(spark, sf_dir, 5), "bars")
-    # The newest mean needs no more than the nine newest bars.
-    recent = latest_n(bars, ["ticker"], ["window_end"], 9)
-    return _rounded(latest_bar(bars, RollingMean(9).batch(recent)), "ema")
+    return _rounded(latest_bar(bars, RollingMean(9).latest(bars)), "ema")
 
 
 @query
@@ -299,9 +299,7 @@ def latest_60(spark, sf_dir):
 @query
 def latest_60_ticks(spark, sf_dir):
     """Over the ticks themselves, where a hot ticker sends rows from every task."""
-    newest = latest_n(
-        _ticks(spark, sf_dir), ["Ticker"], ["Timestamp", "Arrival"], 60, spread=True
-    )
+    newest = latest_n(_ticks(spark, sf_dir), ["Ticker"], ["Timestamp", "Arrival"], 60)
     return newest.select("Ticker", F.col("Arrival").alias("event_id"), "Price")
 
 
@@ -312,7 +310,7 @@ def keep_last_1000(spark, sf_dir):
 
 @query
 def latest_1200(spark, sf_dir):
-    """More rows than Spark cuts by itself, so groups of tasks are cut first."""
+    """More rows than Spark cuts by itself before the shuffle."""
     return latest_n(_bars(spark, sf_dir, 5), ["ticker"], ["window_end"], 1200)
 
 
@@ -551,6 +549,37 @@ def stream_serving(spark, sf_dir):
     )
 
 
+@query
+def served_header(spark, sf_dir):
+    """The header of one ticker, from what the serving table holds."""
+    root = new_run_dir(spark, "serving")
+    bars = store(_bars(spark, sf_dir, 5), "bars")
+    means = RollingMean(9).batch(bars)
+    table = ServingTable(spark, f"{root}/table", compact_every=2)
+    for batch_id, sent in enumerate(
+        [
+            _bar_messages(bars),
+            messages.to_messages(means, "OHLC_5M_EMA_9", F.unix_millis("snapshot_time")),
+        ]
+    ):
+        table.append(messages.serving_entries(sent), batch_id)
+    return _rounded(table.header("click"), "ema")
+
+
+@query
+def publish_stream_bars(spark, sf_dir):
+    """Ticks published to a topic in three slices by several tasks, then streamed to bars."""
+    root = new_run_dir(spark, "topic")
+    topic = FileTopic(spark, f"{root}/market")
+    ticks = _ticks(spark, sf_dir)
+    days = [("2024-01-01", "2024-01-10"), ("2024-01-11", "2024-01-20"), ("2024-01-21", "9999")]
+    slices = [ticks.filter(F.col("Date").between(*d)) for d in days]
+    publish_job(slices, lambda rows: topic.append(messages.event_messages(rows)))
+    source = messages.event_ticks(topic.stream())
+    bars = Ohlc(60, order=("Timestamp", "Arrival"))
+    return _streamed(spark, bars.stream(with_event_watermark(source)), "OHLC_60M")
+
+
 # --- Models ----------------------------------------------------------------------------
 
 
@@ -569,9 +598,26 @@ def linear_model_predictions(spark, sf_dir):
 def train_job_predictions(spark, sf_dir):
     """The training job over a topic of bar messages, for a model of one ticker."""
     sent = store(_bar_messages(_bars(spark, sf_dir, 5)), "messages")
-    [trained] = train_job(lambda topic: sent, [LinearBarModel(["click"])])
+    [outcome] = train_job(lambda topic: sent, [LinearBarModel(["click"])])
+    return _rounded(
+        outcome.predictions.select("ticker", "window_end", "prediction"), "prediction", 4
+    )
+
+
+@query
+def train_job_topics(spark, sf_dir):
+    """Schemas from files, one topic without rows, and two models on another."""
+    hourly = _bar_messages(_bars(spark, sf_dir, 60), "OHLC_60M")
+    topics = {"OHLC_60M": hourly, "OHLC_5M": hourly.limit(0)}
+    models = [
+        LinearBarModel(["click"], "OHLC_60M"),
+        LinearBarModel(topic="OHLC_5M"),
+        LinearBarModel(["view"], "OHLC_60M"),
+    ]
+    outcomes = train_job(topics.__getitem__, models, schemas_dir=TOPIC_FOLDER)
+    first, second = [o.predictions for o in outcomes if o.trained]
     return _rounded(
-        trained.predictions.select("ticker", "window_end", "prediction"), "prediction", 4
+        first.unionByName(second).select("ticker", "window_end", "prediction"), "prediction", 4
     )
 
 
@@ -717,3 +763,14 @@ def news_head(spark, sf_dir):
     return facts.news_head(_table(spark, sf_dir, "documents"), "doc_id").select(
         "doc_id", "source", text.shorten(F.col("text")).alias("summary")
     )
+
+
+@query
+def facts_csv_scan(spark, sf_dir):
+    """Documents written as quoted CSV, with their line breaks, and read back."""
+    path = new_run_dir(spark, "facts")
+    columns = ["doc_id", "source", "text"]
+    documents = _table(spark, sf_dir, "documents").select(columns)
+    documents.write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
+    read = read_facts(spark, path, documents.schema)
+    return read.select("doc_id", "source", F.md5("text").alias("digest"))

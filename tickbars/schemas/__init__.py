@@ -90,6 +90,9 @@ def message_schema(row: T.StructType) -> T.StructType:
     )
 
 
+#: Schema files of topics that the package brings.
+TOPIC_FOLDER = Path(__file__).parent / "topics"
+
 TOPIC_SCHEMAS = {"OHLC_5M": message_schema(BAR)}
 
 

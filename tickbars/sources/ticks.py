@@ -70,7 +70,8 @@ def read_ticks(
         {"{date}": "([^/]+)", "{ticker}": "([^/]+)", "*": "[^/]*"}.get(part, re.escape(part))
         for part in re.split(r"(\{date\}|\{ticker\}|\*)", files)
     )
-    path = F.col("_metadata.file_path")
+    # Spark spells a local path with one slash here and three in the list of files.
+    path = F.regexp_replace("_metadata.file_path", "^file:/+", "file:///")
     date = F.regexp_extract(path, f"{path_pattern}$", 1)
     # The low bits count rows within a task, and a file is never split over tasks.
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
@@ -98,7 +99,7 @@ def _with_file_number(rows: DataFrame, paths: list[str], path_pattern: str) -> D
     """
     seen: dict[tuple[str, ...], int] = {}
     later = []
-    for path in sorted(paths):
+    for path in sorted(re.sub("^file:/+", "file:///", p) for p in paths):
         found = re.search(f"{path_pattern}$", path)
         key = found.groups() if found else (path,)
         number = seen[key] = seen.get(key, -1) + 1

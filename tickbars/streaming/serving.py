@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tickbars.operators.latest import RETENTION, keep_last, latest_n
+from tickbars.operators.latest import RETENTION, keep_last, latest_bar, latest_n
 from tickbars.operators.messages import (
     BAR_FIELDS,
     INDICATOR_FIELDS,
@@ -16,7 +16,7 @@ from tickbars.operators.messages import (
     serving_entries,
 )
 from tickbars.operators.ranges import NEWEST, OLDEST, entry_range, in_time
-from tickbars.session import file_system
+from tickbars.session import exists, file_system, make_folder, remove
 
 # The topics read when none is named.
 BAR_TOPIC = "OHLC_5M"
@@ -34,19 +34,19 @@ ENTRY = T.StructType(
         *[T.StructField(name, T.StringType()) for name in _TEXT_COLUMNS],
     ]
 )
-_PARTITIONS = [
-    T.StructField("part", T.StringType()),
-    T.StructField("upto", T.LongType()),
-]
+_NUMBERS = {"open", "high", "low", "close", "volume"}
 
 
 class ServingTable:
     """Parquet in two kinds of parts: one per micro-batch, and snapshots of all so far.
 
     A part is named by its batch id and written by overwriting, so a batch that runs
-    again after a failure leaves no entry twice. Every ``compact_every`` batches a
-    snapshot keeps the newest ``keep`` entries per topic and ticker; reads start from
-    the newest snapshot and apply the same bound, so it holds exactly at any time.
+    again after a failure leaves no entry twice. No part has more than ``keep`` entries
+    per topic and ticker, and rows are sorted by both, so that a read of one skips the
+    others. Every ``compact_every`` batches a snapshot takes all; what the snapshot before
+    it had replaced is then deleted, so readers have as long as ``compact_every`` batches,
+    and the number of parts is bounded. Reads find the newest snapshot by its folder's
+    name and apply the same bound, so it holds exactly at any time.
     """
 
     def __init__(
@@ -65,17 +65,14 @@ class ServingTable:
         rows = entries.select(ENTRY.names)
         if (batch_id + 1) % self.compact_every:
             self._write(rows, "batch", batch_id)
-        else:
-            stored = self._stored(before=batch_id)
-            merged = rows if stored is None else stored.unionByName(rows)
-            self._write(self._bounded(merged), "snapshot", batch_id)
+            return
+        before = self._newest_snapshot(batch_id)
+        self._write(self._stored(batch_id).unionByName(rows), "snapshot", batch_id)
+        self._delete_before(before)
 
     def read(self) -> DataFrame:
         """The newest ``keep`` entries of each topic and ticker."""
-        stored = self._stored()
-        if stored is None:
-            return self.spark.createDataFrame([], ENTRY)
-        return self._bounded(stored)
+        return self._bounded(self._stored())
 
     def bars(
         self, ticker: str, count: int | None = None, topic: str = BAR_TOPIC
@@ -103,49 +100,70 @@ class ServingTable:
 
     def _newest(self, topic: str, ticker: str, count: int | None) -> DataFrame:
         key = (F.col("topic") == topic) & (F.col("ticker") == ticker)
-        return latest_n(self.read().filter(key), ["topic", "ticker"], ["entry_id"], count)
+        # Filtered first: nothing is pushed through the cut, which goes by task.
+        stored = self._bounded(self._stored().filter(key))
+        return latest_n(stored, ["topic", "ticker"], ["entry_id"], count)
+
+    def header(
+        self, ticker: str, topic: str = BAR_TOPIC, indicator_topic: str = INDICATOR_TOPIC
+    ) -> DataFrame:
+        """A ticker's newest served bar, its change, and its newest indicator value."""
+        bars, means = self.bars(ticker, 2, topic), self.indicators(ticker, 1, indicator_topic)
+        return latest_bar(
+            bars.select(
+                "ticker",
+                F.col("timestamp").alias("window_end"),
+                *[F.col(new).alias(old) for old, new in BAR_FIELDS.items() if new in _NUMBERS],
+            ),
+            means.select(
+                "ticker", F.col("timestamp").alias("snapshot_time"), F.col("ema").alias("ema_value")
+            ),
+        )
 
     def vacuum(self) -> None:
         """Delete the parts the newest snapshot replaces; readers of them must be done."""
-        newest = self._newest_snapshot(self._parts())
-        for part, stale in (("batch", newest), ("snapshot", newest - 1)):
-            fs, folder = file_system(self.spark, f"{self.path}/part={part}")
-            if not fs.exists(folder):
-                continue
-            for status in fs.listStatus(folder):
-                name = status.getPath().getName()
-                if name.startswith("upto=") and 0 <= int(name[5:]) <= stale:
-                    fs.delete(status.getPath(), True)
+        self._delete_before(self._newest_snapshot())
+
+    def _delete_before(self, snapshot: int) -> None:
+        for part, stale in (("batch", snapshot), ("snapshot", snapshot - 1)):
+            for batch_id in self._ids(part):
+                if batch_id <= stale:
+                    remove(self.spark, self._folder(part, batch_id))
+
+    def _folder(self, part: str, batch_id: int) -> str:
+        return f"{self.path}/part={part}/upto={batch_id}"
 
     def _write(self, rows: DataFrame, part: str, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/part={part}/upto={batch_id}")
+        folder = self._folder(part, batch_id)
+        sorted_rows = self._bounded(rows).sortWithinPartitions("topic", "ticker", "entry_id")
+        sorted_rows.write.mode("overwrite").parquet(folder)
+        # A marker of our own: whether a job writes _SUCCESS is a setting.
+        make_folder(self.spark, f"{folder}/_whole")
 
     def _bounded(self, rows: DataFrame) -> DataFrame:
         return keep_last(rows, ["topic", "ticker"], ["entry_id"], self.keep)
 
-    def _parts(self) -> DataFrame:
-        # An empty part makes a new table readable.
-        self.spark.createDataFrame([], ENTRY).write.mode("ignore").parquet(
-            f"{self.path}/part=batch/upto=-1"
-        )
-        schema = T.StructType(ENTRY.fields + _PARTITIONS)
-        return self.spark.read.schema(schema).parquet(self.path)
-
-    @staticmethod
-    def _newest_snapshot(parts: DataFrame) -> int:
-        # One value, from partition names alone.
-        newest = parts.filter(F.col("part") == "snapshot").agg(F.max("upto")).first()[0]
-        return -1 if newest is None else newest
-
-    def _stored(self, before: int | None = None) -> DataFrame | None:
-        parts = self._parts()
-        if before is not None:
-            parts = parts.filter(F.col("upto") < before)
-        newest = self._newest_snapshot(parts)
-        current = ((F.col("part") == "snapshot") & (F.col("upto") == newest)) | (
-            (F.col("part") == "batch") & (F.col("upto") > newest)
-        )
-        return parts.filter(current).select(ENTRY.names)
+    def _ids(self, part: str) -> list[int]:
+        """Batch ids of the parts that were written to their end, from folder names."""
+        fs, folder = file_system(self.spark, f"{self.path}/part={part}")
+        if not fs.exists(folder):
+            return []
+        names = [status.getPath().getName() for status in fs.listStatus(folder)]
+        ids = [int(name[5:]) for name in names if name.startswith("upto=")]
+        return [i for i in ids if exists(self.spark, f"{self._folder(part, i)}/_whole")]
+
+    def _newest_snapshot(self, before: int | None = None) -> int:
+        return max((i for i in self._ids("snapshot") if before is None or i < before), default=-1)
+
+    def _stored(self, before: int | None = None) -> DataFrame:
+        newest = self._newest_snapshot(before)
+        later = [i for i in self._ids("batch") if i > newest and (before is None or i < before)]
+        folders = [self._folder("batch", i) for i in later]
+        if newest >= 0:
+            folders.append(self._folder("snapshot", newest))
+        if not folders:
+            return self.spark.createDataFrame([], ENTRY)
+        return self.spark.read.schema(ENTRY).parquet(*folders)
 
 
 def serve_job(
