@@ -55,9 +55,11 @@ def near_components(
     signed = store(_signatures(documents, settings), "near-signatures")
     filled = signed.where("n_shingles > 0")
     classes = store(_classes(filled), "near-classes")
-    links = _links(documents, classes, settings, bucket_limit)
+    linked = store(
+        _components(documents, classes, settings, bucket_limit), "near-components"
+    )
     grouped = (
-        classes.join(components(links), F.col("class") == F.col("id"), "left")
+        classes.join(linked, F.col("class") == F.col("id"), "left")
         .select(
             "key_1", "key_2", "doc_id", F.coalesce("component", "class").alias("component")
         )
@@ -172,18 +174,71 @@ def _classes(signed: DataFrame) -> DataFrame:
     return once.unionByName(again).withColumn("class", F.monotonically_increasing_id())
 
 
-def _links(
+def _components(
     documents: DataFrame, classes: DataFrame, settings: SketchSettings, limit: int
 ) -> DataFrame:
-    """(a, b) of linked classes; enough of them to join all that are connected.
+    """(id, component) of the classes that are linked with others.
 
-    Every bucket proposes a spanning forest of its pairs that may be linked. Buckets with
-    a pair that proved not linked propose again without it, until nothing new comes.
+    Every bucket proposes a spanning forest of its pairs that may be linked. What the
+    forests connect is a family; nothing outside it is linked with it, and little inside
+    is not. The full sets of a family meet in one task, which compares them exactly.
+    Families beyond ``limit`` are compared pair by pair in rounds instead.
     """
     members = _buckets(classes, limit)
     pairs = store(_candidates(members, classes, settings), "near-pairs")
-    # Every class that any later pair has is in the first forests.
     sets = store(_sets_of(documents, classes, pairs, settings), "near-sets")
+    families = store(components(pairs), "near-families")
+    large = store(
+        families.groupBy("component").count().where(f"count > {limit}").select("component"),
+        "near-large",
+    )
+    ordinary = families.join(large, "component", "left_anti")
+    found = _compared(sets.join(ordinary, F.col("class") == F.col("id")), settings)
+    if large.isEmpty():
+        return found
+    own = families.join(large, "component").select(F.col("id").alias("class"))
+    inside = members.join(own, "class", "left_semi")
+    links = _links(sets, inside, classes, pairs.join(own.toDF("a"), "a", "left_semi"), settings)
+    return found.unionByName(components(links))
+
+
+def _compared(sets: DataFrame, settings: SketchSettings) -> DataFrame:
+    """(id, component) by the exact links within each family of ``sets``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for family in _groups(batches, "component"):
+            ids = family.column("class").to_numpy()
+            column = family.column("members").combine_chunks()
+            values, bounds = column.values.to_numpy().view(U64), column.offsets.to_numpy()
+            own = [np.sort(values[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            nothing = np.zeros((len(ids), 1), dtype=U64)
+            sizes = np.array([len(x) for x in own])
+            bucket = Bucket(ids, sizes, nothing, [whole_sketch(x) for x in own], settings)
+            least = bucket.components(own)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids), pa.array(ids[least])], names=["id", "component"]
+            )
+
+    return (
+        sets.select("component", "class", "members")
+        .repartition("component")
+        .sortWithinPartitions("component", "class")
+        .mapInArrow(run, "id long, component long")
+    )
+
+
+def _links(
+    sets: DataFrame,
+    members: DataFrame,
+    classes: DataFrame,
+    pairs: DataFrame,
+    settings: SketchSettings,
+) -> DataFrame:
+    """(a, b) of linked classes; enough of them to join all that are connected.
+
+    Buckets with a pair that proved not linked propose again without it, until nothing
+    new comes.
+    """
     judged = store(_confirmed(sets, pairs, settings), "near-judged")
     rounds = [judged]
     while not (failed := judged.where("not linked")).isEmpty():

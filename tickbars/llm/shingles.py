@@ -221,6 +221,26 @@ class Bucket:
                 pairs += [(one, x) for x in found[: 4 * len(known)].tolist()]
         return pairs
 
+    def components(self, sets: list[np.ndarray]) -> np.ndarray:
+        """For each row, the first row that exact links over ``sets`` connect it with."""
+        group = np.full(len(self.ids), -1)
+        left = np.arange(len(self.ids))
+        percent = self.settings.percent
+        while len(left):
+            root, queue = left[0], [left[0]]
+            group[root] = root
+            left = left[1:]
+            while queue and len(left):
+                one = queue.pop()
+                for other in self.near(one, left).tolist():
+                    n = len(sets[one]) + len(sets[other])
+                    both = len(np.intersect1d(sets[one], sets[other], assume_unique=True))
+                    if both * 100 >= percent * (n - both):
+                        group[other] = root
+                        queue.append(other)
+                left = left[group[left] < 0]
+        return group
+
     def _but(
         self, found: np.ndarray, one: int, failed: list[set[int]] | None
     ) -> np.ndarray:
