@@ -150,18 +150,14 @@ def mixed(documents: DataFrame) -> DataFrame:
     taken = (
         mixture(documents, split_last=False)
         .groupBy(F.col("row_key").alias("_row_key"))
-        .agg(F.sum("copies").cast("int").alias("_copies"), F.count("*").alias("_rows"))
+        .agg(F.sum("copies").cast("int").alias("_copies"))
         .where("_copies > 0")
     )
-    keyed = documents.withColumn("_row_key", _row_key()).join(taken, "_row_key")
     # Equal rows share their copies; one of them stands for all.
-    one = keyed.where("_rows = 1").unionByName(
-        keyed.where("_rows > 1").dropDuplicates(["_row_key"])
-    )
+    keyed = documents.withColumn("_row_key", _row_key()).dropDuplicates(["_row_key"])
     columns = [F.col(f"`{c}`") for c in documents.columns]
-    return one.select(*columns, F.explode(F.sequence(F.lit(1), "_copies")).alias("_copy")).select(
-        *columns
-    )
+    copies = F.explode(F.sequence(F.lit(1), "_copies")).alias("_copy")
+    return keyed.join(taken, "_row_key").select(*columns, copies).select(*columns)
 
 
 def _row_key():

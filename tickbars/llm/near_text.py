@@ -85,7 +85,7 @@ def keep_first(documents: DataFrame, settings: SketchSettings = SketchSettings()
     """The rows of ``documents`` with one left of each group of near copies.
 
     It is the row with the least id; of rows that repeat that id, the one with the least
-    text hash. Rows without words all stay.
+    text hash. Rows equal in id and text count as one. Rows without words stay.
     """
     chosen = near_components(documents, settings).where("kept")
     place = Window.partitionBy("group").orderBy("row_key")
@@ -98,15 +98,10 @@ def keep_first(documents: DataFrame, settings: SketchSettings = SketchSettings()
             chosen.where("n_shingles = 0").select(F.col("row_key").alias("_row_key")).distinct()
         )
     )
-    keyed = documents.withColumn("_row_key", _row_key())
-    repeats = keyed.join(first, "_row_key", "left_semi")
-    # Rows equal in id and text: one of them stays.
-    twice = (
-        keyed.groupBy("_row_key").count().where("count > 1").select("_row_key")
-    )
-    once = repeats.join(twice, "_row_key", "left_anti")
-    again = repeats.join(twice, "_row_key", "left_semi").dropDuplicates(["_row_key"])
-    return once.unionByName(again).select(*[F.col(f"`{c}`") for c in documents.columns])
+    # Equal rows meet in their task first, then by key, where the join finds them.
+    keyed = documents.withColumn("_row_key", _row_key()).dropDuplicates(["_row_key"])
+    kept = keyed.join(first, "_row_key", "left_semi")
+    return kept.select(*[F.col(f"`{c}`") for c in documents.columns])
 
 
 def _row_key():

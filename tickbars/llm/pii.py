@@ -218,6 +218,8 @@ def fit_field(documents: DataFrame, settings: FieldSettings = FieldSettings()) -
         sample.coalesce(1).mapInArrow(run, "words binary, chain binary, skip binary"),
         "pii-weights",
     ).first()
+    if fitted is None:
+        return fit_weights(Fields(), settings)
     words, chain, skip = (np.frombuffer(x).reshape(-1, LABELS) for x in fitted)
     return Weights(words, chain, skip)
 

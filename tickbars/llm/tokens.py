@@ -92,7 +92,7 @@ class ChunkEncoder:
         names[front[starts]] ^= U64(1)
         keys, first, place = np.unique(names, return_index=True, return_inverse=True)
         found = self._looked_up(data, keys.tolist(), starts[first], ends[first], front)
-        sizes = np.array([len(x) // 4 for x in found], dtype=np.int64)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         values = np.frombuffer(b"".join(found), dtype="<u4")
         begin = np.cumsum(sizes) - sizes
         count = sizes[place]
@@ -111,9 +111,12 @@ class ChunkEncoder:
         if len(self._known) > REMEMBERED:
             self._known, self._before = {}, self._known
         known, before = self._known, self._before
-        found = [known.get(k) or before.get(k) for k in keys]
-        known.update((k, x) for k, x in zip(keys, found, strict=True) if x and k not in known)
-        new = np.array([i for i, x in enumerate(found) if x is None], dtype=np.int64)
+        found = list(map(known.get, keys))
+        missing = [i for i, x in enumerate(found) if x is None]
+        for i in missing:
+            if (ids := before.get(keys[i])) is not None:
+                found[i] = known[keys[i]] = ids
+        new = np.array([i for i in missing if found[i] is None], dtype=np.int64)
         alone = front[starts[new]]
         for low in range(0, len(new), JOINED):
             part = new[low : low + JOINED][~alone[low : low + JOINED]]
