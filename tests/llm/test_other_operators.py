@@ -96,7 +96,8 @@ def test_chunks_encode_as_the_whole_text():
     plain, encoder = Tokenizer.from_file(BPE), ChunkEncoder(BPE)
     rng = random.Random(3)
     parts = ["a", "b", " ", "  ", "\n", " \n", "'s", "1", "é", ".", "\x1c", "　", "\xa0", "日本",
-             "\t", " don't", "😀", "×", "\u2009", "\u0085", "<|endoftext|>"]
+             "\t", " don't", "😀", "×", "\u2009", "\u0085", "<|endoftext|>", "\n\n", ",", "-",
+             "!?", "<|", "|>", "_", "'", "A", "1.5"]
     for _ in range(800):
         texts = ["".join(rng.choices(parts, k=rng.randint(0, 9))) for _ in range(5)] + [None]
         for low, high, data, offsets in slices(pa.array(texts, pa.string()), 40):

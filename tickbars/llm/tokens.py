@@ -28,7 +28,7 @@ from tickbars.llm.textbytes import U64, RollingHash, slices
 
 END_ID = 2
 #: A worker remembers the ids of so many chunks used last, and of as many before them.
-REMEMBERED = 250_000
+REMEMBERED = 300_000
 #: Longer chunks, in bytes, are encoded each time.
 LONGEST_REMEMBERED = 64
 #: Chunks that the tokenizer gets as one text.
@@ -49,15 +49,26 @@ _SOLID = np.zeros(256, dtype=bool)
 _SOLID[0x21:0x7F] = True
 _SOLID[0xC3:0xE1] = True
 _SOLID[0xE4:0xF5] = True
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = True
+#: ASCII marks but the apostrophe, which may start a token with letters in it, and those
+#: of special tokens.
+_MARK = _SOLID & ~_LETTER & (np.arange(256) < 0x80)
+_MARK[0x30:0x3A] = False
+_MARK[[ord(c) for c in "'<|>"]] = False
+#: What stands before a chunk in a joined text, by how the chunk begins: nothing before a
+#: space, a line before a letter, and a line with a letter before a mark.
+_BEFORE = (b"", b"\n", b"\na")
 
 
 class ChunkEncoder:
     """Encodes texts chunk by chunk and remembers frequent chunks' ids.
 
-    Byte-level pre-tokens have a space only in front, or in runs of white space. So a
-    text may be cut before a space that something else follows, and its parts encoded one
-    by one. Most parts of a text are equal to others; each is encoded once. Chunks are
-    told apart by hashes of 64 bits.
+    Byte-level pre-tokens have a space only in front, or in runs of white space, and marks
+    and letters in different ones. So a text may be cut before a space that something
+    else follows, between a letter and a mark, and between a line's end and a letter, and
+    its parts encoded one by one. Most parts of a text are equal to others; each is
+    encoded once. Chunks are told apart by hashes of 64 bits.
     """
 
     def __init__(self, path: str) -> None:
@@ -81,17 +92,16 @@ class ChunkEncoder:
         start[:-2] = (data[:-1] == 0x20) & _SOLID[data[1:]]
         # At a row's end, the next row's first byte follows; it cuts nothing.
         start[offsets[1:] - 1] = False
-        # A chunk at a row's front has no space of its own and never stands in a join.
-        front = np.zeros(len(data) + 1, dtype=bool)
-        front[offsets[:-1]] = True
-        front &= ~start
-        start |= front
+        start[1:-1] |= _LETTER[data[:-1]] & _MARK[data[1:]]
+        # A single line's end: of several, all but the last are one token.
+        ends_line = (data[1:-1] == 0x0A) & (data[:-2] > 0x20) & (data[:-2] < 0x7F)
+        start[2:-1] |= ends_line & _LETTER[data[2:]]
+        start[offsets] = True
         starts = np.flatnonzero(start[:-1])
         ends = np.append(starts[1:], len(data))
         names = RollingHash(data).of(starts, ends)
-        names[front[starts]] ^= U64(1)
         keys, first, place = np.unique(names, return_index=True, return_inverse=True)
-        found = self._looked_up(data, keys.tolist(), starts[first], ends[first], front)
+        found = self._looked_up(data, keys.tolist(), starts[first], ends[first])
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         values = np.frombuffer(b"".join(found), dtype="<u4")
         begin = np.cumsum(sizes) - sizes
@@ -106,7 +116,6 @@ class ChunkEncoder:
         keys: list[int],
         starts: np.ndarray,
         ends: np.ndarray,
-        front: np.ndarray,
     ) -> list[bytes]:
         if len(self._known) > REMEMBERED:
             self._known, self._before = {}, self._known
@@ -117,12 +126,18 @@ class ChunkEncoder:
             if (ids := before.get(keys[i])) is not None:
                 found[i] = known[keys[i]] = ids
         new = np.array([i for i in missing if found[i] is None], dtype=np.int64)
-        alone = front[starts[new]]
-        for low in range(0, len(new), JOINED):
-            part = new[low : low + JOINED][~alone[low : low + JOINED]]
-            for i, ids in zip(part.tolist(), self._joined(data, starts[part], ends[part]), strict=True):
+        begins = data[starts[new]]
+        spaced = (begins == 0x20) & (ends[new] - starts[new] > 1)
+        spaced[spaced] = _SOLID[data[starts[new][spaced] + 1]]
+        kinds = np.select([spaced, _LETTER[begins], _MARK[begins]], [0, 1, 2], 3)
+        joined = np.flatnonzero(kinds < 3)
+        for low in range(0, len(joined), JOINED):
+            at = joined[low : low + JOINED]
+            part = new[at]
+            made = self._joined(data, starts[part], ends[part], kinds[at])
+            for i, ids in zip(part.tolist(), made, strict=True):
                 found[i] = ids
-        for i in new[alone].tolist():
+        for i in new[kinds == 3].tolist():
             (one,) = self._encode(
                 [data[starts[i] : ends[i]].tobytes().decode()], add_special_tokens=False
             )
@@ -131,19 +146,26 @@ class ChunkEncoder:
         known.update((keys[i], found[i]) for i in short.tolist())
         return found
 
-    def _joined(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
-        """Ids of chunks that start a token wherever they stand: they are encoded as one
-        text, whose ids are dealt out by the bytes they stand for."""
-        if not len(starts):
-            return []
+    def _joined(
+        self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, kinds: np.ndarray
+    ) -> list[bytes]:
+        """Ids of chunks that are encoded as one text, in which each starts a token. They
+        are dealt out by the bytes they stand for."""
+        gaps = np.array([len(x) for x in _BEFORE])[kinds]
         sizes = ends - starts
-        last = np.cumsum(sizes)
-        at = np.arange(last[-1]) + np.repeat(starts - (last - sizes), sizes)
-        (one,) = self._encode([data[at].tobytes().decode()], add_special_tokens=False)
+        last = np.cumsum(sizes + gaps)
+        first = last - sizes
+        text = np.full(last[-1], ord("a"), dtype=np.uint8)
+        text[(first - gaps)[gaps > 0]] = 0x0A
+        step = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        text[np.repeat(first, sizes) + step] = data[np.repeat(starts, sizes) + step]
+        (one,) = self._encode([text.tobytes().decode()], add_special_tokens=False)
         ids = np.array(one.ids, dtype="<u4")
-        cuts = (np.searchsorted(np.cumsum(self._widths[ids]), last, side="left") + 1) * 4
+        reached = np.cumsum(self._widths[ids])
+        low = np.searchsorted(reached, first, side="right") * 4
+        high = (np.searchsorted(reached, last, side="left") + 1) * 4
         whole = ids.tobytes()
-        return [whole[a:b] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist(), strict=True)]
+        return [whole[a:b] for a, b in zip(low.tolist(), high.tolist(), strict=True)]
 
 
 @cache
