@@ -160,8 +160,18 @@ def mix_rows(seed=1, n=400):
     return [*rows, (5, "a", "x y"), (5, "a", "x y"), (None, "b", "q " * 9), (n, "b", None)]
 
 
+@pytest.fixture(params=["10000", "3"])
+def arrow_rows(spark, request):
+    """Rows of an Arrow batch: groups that end inside one, and groups over many."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, request.param)
+    yield
+    spark.conf.set(key, before)
+
+
 @pytest.mark.parametrize("group", [4096, 7])
-def test_mixture(spark, group):
+def test_mixture(spark, group, arrow_rows):
     rows = mix_rows()
     df = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(3)
     df = df.withColumn("size", F.lit("x")).withColumn("part", F.lit(0)).withColumn("open", F.lit(1))

@@ -138,7 +138,13 @@ def test_repeats_of_nothing(spark):
 @pytest.mark.parametrize("seed, limit", [(1, 20_000), (2, 3)])
 def test_near_copies_equal_brute_force(spark, seed, limit):
     rows = made_up(seed, 90)
-    found = near_components(clashing(frame(spark, rows)), bucket_limit=limit).collect()
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "4")
+    try:
+        found = near_components(clashing(frame(spark, rows)), bucket_limit=limit).collect()
+    finally:
+        spark.conf.set(key, before)
     want = brute.near(rows)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == want
     assert all(r.kept == (r.doc_id == r.component_id) for r in found)

@@ -181,6 +181,8 @@ def _round(
         for batch in batches:
             if not batch.num_rows:
                 continue
+            # Rebuilt, so that what is held over has the same schema.
+            batch = pa.RecordBatch.from_arrays(batch.columns, names=columns)
             table = batch if held is None else pa.concat_batches([held, batch])
             held = yield from _pivot(table)
         if held is not None:
