@@ -7,18 +7,18 @@ from tickbars.functions.times import event_time
 from tickbars.operators.bars import Ohlc
 from tickbars.operators.messages import serving_entries, to_messages
 from tickbars.operators.rolling import RollingMean
-from tickbars.schemas import INDICATOR, TICK
+from tickbars.schemas import BAR, INDICATOR, TICK
 from tickbars.streaming.jobs import (
     counted_late_rows,
     default_metrics,
     open_bars,
-    read_table_stream,
     replay,
     start_table,
     stream_job,
     with_event_watermark,
 )
 from tickbars.session import session_conf
+from tickbars.streaming.hops import FileTopicHop, TableHop, typed_rows
 from tickbars.streaming.means import MeanTable, start_mean
 from tickbars.streaming.serving import ENTRY, ServingTable, serve_job
 
@@ -263,12 +263,34 @@ def test_a_stream_keeps_the_partitions_it_is_given(spark, tmp_path):
 
 
 def test_metric_table_can_be_read_before_it_has_rows(spark, tmp_path):
-    stream = read_table_stream(spark, str(tmp_path), "OHLC_5M_EMA_9", INDICATOR)
+    stream = TableHop(spark, str(tmp_path)).stream("OHLC_5M_EMA_9", INDICATOR)
     query = start_table(stream, str(tmp_path), "copy")
     query.awaitTermination()
     assert query.exception() is None
 
 
+def test_job_over_topics(spark, tmp_path):
+    """Bars and means travel as JSON messages; in another zone, over a repeated hour."""
+    start = 1730606400
+    frame = ticks(spark, [(t, start + s, p) for t, s, p in random_ticks(6, 200, 0, 14000)])
+    frame.select(TICK.names).write.parquet(f"{tmp_path}/ticks")
+    hop = FileTopicHop(spark, str(tmp_path))
+    metrics = [Ohlc(5), RollingMean(3, source_table="OHLC_5M")]
+    with session_conf(spark, {"spark.sql.session.timeZone": "America/New_York"}):
+        for _ in range(2):
+            source = spark.readStream.schema(TICK).parquet(f"{tmp_path}/ticks")
+            stream_job(spark, source, str(tmp_path), metrics, hop=hop)
+        bars = typed_rows(hop.topic("OHLC_5M").read(), BAR)
+        closed = Ohlc(5).batch(frame).join(bars.select("ticker", "window_end"), ["ticker", "window_end"])
+        assert rows_of(bars, *bars.columns) == rows_of(closed, *bars.columns)
+        want = RollingMean(3).batch(closed).withColumn("ema_value", F.round("ema_value", 8))
+        sent = typed_rows(hop.topic(metrics[1].target_table).read(), INDICATOR)
+        means = sent.unionByName(MeanTable(spark, metrics[1], str(tmp_path)).waiting())
+        means = means.withColumn("ema_value", F.round("ema_value", 8))
+        assert sent.count() > 50
+        assert rows_of(means, *want.columns) == rows_of(want, *want.columns)
+
+
 # --- Serving ---------------------------------------------------------------------------
 
 

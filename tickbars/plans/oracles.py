@@ -221,6 +221,7 @@ ORACLES["stream_rolling_mean_9"] = (
     f"WITH {_TICKS}, {_bars(60)}, {_CLOSED} {_means(9, 'closed')}"
 )
 ORACLES["stream_replay_60m"] = ORACLES["stream_rolling_mean_9"]
+ORACLES["stream_job_messages"] = ORACLES["stream_rolling_mean_9"]
 ORACLES["stream_job_means"] = f"""
 WITH {_TICKS}, {_bars(5)}, {_CLOSED}
 SELECT *, 'OHLC_5M_EMA_9' AS metric FROM ({_means(9, 'closed')})

@@ -24,6 +24,7 @@ from tickbars.sources.facts import read_facts
 from tickbars.sources.market import as_ticks, market_tick_stream, market_ticks
 from tickbars.sources.ticks import convert_ticks, read_converted_ticks, read_ticks
 from tickbars.sources.topics import FileTopic
+from tickbars.streaming.hops import FileTopicHop, typed_rows
 from tickbars.streaming.jobs import (
     default_metrics,
     open_bars,
@@ -471,6 +472,18 @@ def stream_job_means(spark, sf_dir):
     return first.unionByName(second)
 
 
+@query
+def stream_job_messages(spark, sf_dir):
+    """The streaming job with JSON topics between its hops; the means as they were sent."""
+    root = new_run_dir(spark, "stream-topics")
+    hop = FileTopicHop(spark, root)
+    mean = RollingMean(9, source_table="OHLC_60M")
+    stream_job(spark, _tick_stream(spark, sf_dir), root, [Ohlc(60), mean], hop=hop)
+    sent = typed_rows(hop.topic(mean.target_table).read(), mean.schema)
+    waiting = MeanTable(spark, mean, root).waiting()
+    return _rounded(sent.unionByName(waiting), "ema_value")
+
+
 @query
 def stream_tick_mean_9(spark, sf_dir):
     """Means over the ticks themselves, landed in five stretches cut within a second."""

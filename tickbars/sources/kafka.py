@@ -103,17 +103,18 @@ def write_messages(messages: DataFrame, servers: str, topic: str) -> None:
 
 
 def start_topic(
-    metric: DataFrame, servers: str, topic: str, checkpoint: str
+    metric: DataFrame, servers: str, topic: str, checkpoint: str, **trigger
 ) -> StreamingQuery:
     """Append a streamed metric to a topic as JSON, keyed by ticker."""
     messages = metric.select(
         F.col("ticker").cast("binary").alias("key"), message_value(metric).alias("value")
     )
-    return (
-        messages.writeStream.format("kafka")
+    writer = (
+        messages.writeStream.queryName(topic)
+        .format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("topic", topic)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
-        .start()
     )
+    return (writer.trigger(**trigger) if trigger else writer).start()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickbars.session import exists, file_system
+from tickbars.session import file_system, make_folder
 
 MESSAGE = T.StructType(
     [
@@ -30,9 +30,13 @@ class FileTopic:
         self.spark = spark
         self.path = path
 
-    def append(self, messages: DataFrame) -> None:
-        """Write key and value rows behind what the topic holds."""
-        number = self._writes()
+    def append(self, messages: DataFrame, number: int | None = None) -> None:
+        """Write key and value rows behind what the topic holds.
+
+        With ``number``, such as a micro-batch's, they replace what was written under it,
+        so that a batch that runs again adds nothing twice.
+        """
+        number = self._writes() if number is None else number
         place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
         offset = F.lit(number << _SLICE_BITS) + place
         messages.select(
@@ -40,10 +44,14 @@ class FileTopic:
             "value",
             F.spark_partition_id().alias("partition"),
             offset.alias("offset"),
-        ).write.parquet(f"{self.path}/write={number:09d}")
+        ).write.mode("overwrite").parquet(f"{self.path}/write={number:09d}")
+
+    def create(self) -> None:
+        """Make an empty topic, so that it can be read before anything is written."""
+        make_folder(self.spark, self.path)
 
     def read(self) -> DataFrame:
-        if not exists(self.spark, self.path):
+        if not self._writes():
             return self.spark.createDataFrame([], MESSAGE)
         return self.spark.read.schema(MESSAGE).parquet(f"{self.path}/*")
 

@@ -9,13 +9,13 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
-from pyspark.sql.types import StructType
 
 from tickbars.operators.bars import Ohlc
 from tickbars.operators.metric import MARKET_TOPIC, Metric, StreamedMetric
 from tickbars.operators.rolling import RollingMean
 from tickbars.schemas import TICK
 from tickbars.session import ROCKSDB_PROVIDER, exists, make_folder, session_conf
+from tickbars.streaming.hops import Hop, TableHop
 from tickbars.streaming.means import MeanTable, start_mean
 
 # How far event time and bar time wait for late rows.
@@ -62,36 +62,22 @@ def start_table(
 
     Without ``processing_time`` the query takes what there is and ends.
     """
-    writer = (
-        df.writeStream.queryName(table)
-        .format("parquet")
-        .option("path", f"{root}/{table}")
-        .option("checkpointLocation", f"{root}/_checkpoints/{table}")
-        .outputMode("append")
-    )
-    with session_conf(df.sparkSession, _stream_conf(partitions)):
-        if processing_time is None:
-            return writer.trigger(availableNow=True).start()
-        return writer.trigger(processingTime=processing_time).start()
+    return _start(TableHop(df.sparkSession, root), df, root, table, processing_time, partitions)
 
 
-def read_table_stream(
-    spark: SparkSession,
+def _start(
+    hop: Hop,
+    rows: DataFrame,
     root: str,
     table: str,
-    schema: StructType,
-    max_files_per_trigger: int | None = None,
-) -> DataFrame:
-    """A metric's table as a stream, from its first row.
-
-    ``max_files_per_trigger`` bounds a micro-batch, as after an outage.
-    """
-    path = f"{root}/{table}"
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(path)
+    processing_time: str | None,
+    partitions: int | None,
+) -> StreamingQuery:
+    trigger = (
+        {"availableNow": True} if processing_time is None else {"processingTime": processing_time}
+    )
+    with session_conf(rows.sparkSession, _stream_conf(partitions)):
+        return hop.start(rows, table, f"{root}/_checkpoints/{table}", **trigger)
 
 
 def stream_job(
@@ -102,36 +88,35 @@ def stream_job(
     processing_time: str | None = None,
     partitions: int | None = None,
     max_files_per_trigger: int | None = None,
+    hop: Hop | None = None,
 ) -> dict[str, StreamingQuery]:
-    """Start every metric; one that builds on another reads that one's table.
+    """Start every metric; one that builds on another reads what that one writes.
 
-    Bars are stored anyway, so means read them from there instead of repeating the
-    aggregation. Without ``processing_time`` each query runs to its end, in the order
-    given, and is finished on return; otherwise all of them keep running side by side.
+    ``hop`` is where metrics go: Parquet tables under ``root`` unless it is given. Bars
+    are stored anyway, so means read them from there instead of repeating the aggregation.
+    Without ``processing_time`` each query runs to its end, in the order given, and is
+    finished on return; otherwise all of them keep running side by side. Checkpoints, and
+    the tails and tables of means, are under ``root``.
     """
     metrics = default_metrics() if metrics is None else metrics
+    hop = TableHop(spark, root, max_files_per_trigger) if hop is None else hop
     schemas = {m.target_table: m.schema for m in metrics}
     queries = {}
     for metric in metrics:
         if metric.source_table == MARKET_TOPIC:
             rows = source
         else:
-            rows = read_table_stream(
-                spark,
-                root,
-                metric.source_table,
-                schemas[metric.source_table],
-                max_files_per_trigger,
-            )
+            rows = hop.stream(metric.source_table, schemas[metric.source_table])
+        table = metric.target_table
         if isinstance(metric, StreamedMetric):
             stream = metric.stream(with_event_watermark(rows))
-            query = start_table(stream, root, metric.target_table, processing_time, partitions)
+            query = _start(hop, stream, root, table, processing_time, partitions)
         else:
-            table = MeanTable(spark, metric, root, BAR_DELAY_SECONDS)
-            query = start_mean(table, rows, root, processing_time)
+            means = MeanTable(spark, metric, root, BAR_DELAY_SECONDS, hop.append(table))
+            query = start_mean(means, rows, root, processing_time)
         if processing_time is None:
             query.awaitTermination()
-        queries[metric.target_table] = query
+        queries[table] = query
     return queries
 
 

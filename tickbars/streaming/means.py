@@ -8,6 +8,8 @@ adds nothing twice. Rows behind the watermark are counted and left out.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,8 +29,15 @@ class MeanTable:
     """The table of one streamed mean under ``root``, with its tails beside it."""
 
     def __init__(
-        self, spark: SparkSession, metric: RollingMean, root: str, delay_seconds: int = 5
+        self,
+        spark: SparkSession,
+        metric: RollingMean,
+        root: str,
+        delay_seconds: int = 5,
+        also: Callable[[DataFrame, int], None] | None = None,
     ):
+        """``also`` takes the emitted rows of every batch as well, with the batch's id."""
+        self.also = also
         self.spark = spark
         self.metric = metric
         self.path = f"{root}/{metric.target_table}"
@@ -73,6 +82,8 @@ class MeanTable:
         self._emitted(self._read(spark, batch_id)).write.mode("overwrite").parquet(
             f"{self.path}/part={batch_id:09d}"
         )
+        if self.also is not None:
+            self.also(self._emitted(self._read(spark, batch_id)), batch_id)
         spark.createDataFrame([(watermark, late + dropped)], _META).coalesce(1).write.mode(
             "overwrite"
         ).parquet(f"{folder}/meta")
