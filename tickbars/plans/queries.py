@@ -464,7 +464,7 @@ def stream_job_means(spark, sf_dir):
     """The whole streaming job; both mean tables, under their metric's name."""
     root = new_run_dir(spark, "stream-job")
     metrics = default_metrics()
-    stream_job(spark, _tick_stream(spark, sf_dir), root, metrics, max_files_per_trigger=4)
+    stream_job(spark, _tick_stream(spark, sf_dir), root, metrics)
     first, second = [
         _with_waiting(spark, m, root).withColumn("metric", F.lit(m.target_table))
         for m in metrics[1:]

@@ -31,7 +31,11 @@ class Hop:
 
 
 class TableHop(Hop):
-    """Parquet tables under ``root``; ``max_files_per_trigger`` bounds a micro-batch."""
+    """Parquet tables under ``root``.
+
+    ``max_files_per_trigger`` bounds a micro-batch, for tables whose files land in order
+    of time. The files of one micro-batch of bars do not: taken apart, some would be late.
+    """
 
     def __init__(self, spark: SparkSession, root: str, max_files_per_trigger: int | None = None):
         self.spark = spark
