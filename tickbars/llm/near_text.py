@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickbars.llm.bitmaps import bitmap, hits, places
+from tickbars.llm.bitmaps import BITS, bitmap, hits, places
 from tickbars.llm.components import components
 from tickbars.llm.shingles import (
     Bucket,
@@ -292,6 +292,8 @@ def _buckets(classes: DataFrame, limit: int) -> DataFrame:
             .select("n", "bucket"),
             "near-buckets",
         )
+        if not depth:
+            bands = _in_buckets(classes, sized)
         last = depth == SPLITS
         fit = bands.join(sized.where("true" if last else f"n <= {limit}"), "bucket")
         fit = store(fit.select("bucket", "class"), "near-members")
@@ -309,6 +311,37 @@ def _buckets(classes: DataFrame, limit: int) -> DataFrame:
     return found
 
 
+def _in_buckets(classes: DataFrame, sized: DataFrame) -> DataFrame:
+    """(class, bucket) of the bands that ``sized`` may have, by a bitmap of fixed size.
+
+    Most bands are a class's own; they need no second shuffle. Bands are hashes, so their
+    low bits serve as places.
+    """
+    bits = np.zeros(BITS // 32, dtype=np.uint32)
+    words = (
+        sized.select(F.pmod("bucket", F.lit(BITS)).alias("at"))
+        .groupBy(F.shiftright("at", 5).alias("word"))
+        .agg(F.expr("bit_or(shiftleft(1L, int(at % 32)))").alias("bits"))
+        .toPandas()
+    )
+    bits[words["word"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64)
+    shared = classes.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column("bands")
+            bands = column.flatten().to_numpy()
+            row = np.repeat(np.arange(batch.num_rows), np.diff(column.offsets.to_numpy()))
+            at = bands & (BITS - 1)
+            hit = (shared.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(batch.column("class").to_numpy()[row[hit]]), pa.array(bands[hit])],
+                names=["class", "bucket"],
+            )
+
+    return classes.select("class", "bands").mapInArrow(run, "class long, bucket long")
+
+
 def _candidates(
     members: DataFrame, classes: DataFrame, settings: SketchSettings
 ) -> DataFrame:
