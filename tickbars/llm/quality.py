@@ -30,7 +30,6 @@ from tickbars.llm.textbytes import (
     ALPHANUMERIC,
     NOT_SPACE,
     U64,
-    bytes_of,
     mix,
     slices,
     words,

@@ -1,11 +1,10 @@
-"""Helpers the operators share: written tables, text keys and part counts."""
+"""Helpers the operators share: tables, and places of tokenizer files."""
 
 from __future__ import annotations
 
 import gc
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tickbars.session import new_run_dir
 
@@ -26,19 +25,6 @@ def store(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def text_key(text: Column) -> list[Column]:
-    """128 bits that stand for a text; null counts as empty."""
-    whole = F.coalesce(text, F.lit(""))
-    return [
-        F.xxhash64(whole).alias("text_hash"),
-        F.xxhash64(F.lit(7), whole).alias("text_check"),
-    ]
-
-
-def parts(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def tokenizer_file(name: str) -> str:
     """The place of a public tokenizer's file, the same on driver and executors."""
     import public_tokenizers

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickbars.llm.textbytes import U64, RollingHash, slices
+from tickbars.llm.textbytes import RollingHash, slices
 
 END_ID = 2
 #: A worker remembers the ids of so many chunks used last, and of as many before them.
