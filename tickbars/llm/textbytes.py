@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _STEP = U64(0x9E3779B97F4A7C15)
 _BASE = U64(0xD1342543DE82EF95)
 

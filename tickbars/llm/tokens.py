@@ -28,7 +28,7 @@ from tickbars.llm.textbytes import RollingHash, slices
 
 END_ID = 2
 #: A worker remembers the ids of so many chunks used last, and of as many before them.
-REMEMBERED = 300_000
+REMEMBERED = 220_000
 #: Longer chunks, in bytes, are encoded each time.
 LONGEST_REMEMBERED = 64
 #: Chunks that the tokenizer gets as one text.
