@@ -343,6 +343,38 @@ def test_messages_carry_a_label_to_a_distant_twin():
     assert pii.added_spans(fields, p, 0.9) == {0: [(31, 0, 46)]}
 
 
+def test_a_label_reaches_repeats_at_any_distance():
+    number, other = "+1 555-123-4567", "x5551234567x"
+    settings = pii.FieldSettings()
+    words = np.zeros((settings.buckets, pii.LABELS))
+    skip = np.eye(pii.LABELS) * 4
+    weights = pii.Weights(words, np.zeros((pii.LABELS, pii.LABELS)), skip)
+    text = "call 555-123-4567 " + f"or {other} " * 60
+    for spans in ([(5, 3, 17)], [(5, 3, 17), (text.rindex(other), 3, len(text) - 1)]):
+        fields = pii.Fields()
+        fields.add(0, text, spans, settings.buckets)
+        p = pii.marginals(fields, weights, settings)
+        assert len(p) == 61 and (p[:, 4] > 0.9).all()
+        assert len(pii.added_spans(fields, p, 0.9)[0]) == 61 - len(spans)
+        # What stands beside a document in its batch changes nothing.
+        fields.add(1, f"{number} 123456 a 123456", [(0, 3, 15)], settings.buckets)
+        assert (pii.marginals(fields, weights, settings)[:61] == p).all()
+
+
+def test_messages_go_on_until_they_rest():
+    settings = pii.FieldSettings()
+    words = np.zeros((settings.buckets, pii.LABELS))
+    chain = np.eye(pii.LABELS) * 9
+    weights = pii.Weights(words, chain, np.zeros((pii.LABELS, pii.LABELS)))
+    fields = pii.Fields()
+    fields.add(0, " ".join(f"a{k}" for k in range(40)), [(0, 3, 2)], settings.buckets)
+    p = pii.marginals(fields, weights, settings)
+    # On a chain the rest is the exact marginal.
+    one = np.exp(chain) / np.exp(chain).sum(axis=1)[0]
+    exact = [np.linalg.matrix_power(one, k)[4, 4] for k in range(40)]
+    assert np.allclose(p[:, 4], exact, atol=1e-2)
+
+
 # --- Quality ---------------------------------------------------------------------------
 
 
