@@ -165,6 +165,45 @@ def test_a_family_around_the_limit(spark):
     assert found == {i: c for i, (_, c) in brute.near(rows).items()}
 
 
+def copies(seed, n, most, size=200):
+    """Copies of one text with up to ``most`` of its words changed, in order of ids."""
+    rng = random.Random(seed)
+    base = [f"w{k}" for k in range(size)]
+    rows = []
+    for i in range(n):
+        w = list(base)
+        for k in rng.sample(range(size), rng.randint(0, most)):
+            w[k] = f"x{i}y{k}"
+        rows.append((i, " ".join(w)))
+    return rows
+
+
+@pytest.mark.parametrize("most, limit", [(8, 5), (24, 5), (24, 20)])
+def test_buckets_beyond_the_limit_lose_no_link(spark, most, limit):
+    """Two bands of one sample: most pairs meet in one band only."""
+    rows = copies(3, 70, most)
+    settings = SketchSettings(bands=2, rows=1)
+    whole = near_components(frame(spark, rows), settings).collect()
+    found = near_components(frame(spark, rows), settings, bucket_limit=limit).collect()
+    assert {r.doc_id: r.component_id for r in found} == {r.doc_id: r.component_id for r in whole}
+
+
+def test_groups_of_large_buckets_are_bounded(spark):
+    rows = [(k, [5, 6, 7 + k % 2]) for k in range(1200)]
+    classes = spark.createDataFrame(rows, "class long, bands array<long>")
+    members, hot = near_text._buckets(classes, 100)
+    apart = spark.createDataFrame([(k, k // 400) for k in range(1200)], "id long, component long")
+    rest = near_text._rest(hot, apart, 100)
+    for groups in (members, rest):
+        assert groups.groupBy("bucket").count().agg(F.max("count")).first()[0] < 160
+    assert members.count() == 2 * hot.count()
+    # Every two members of a bucket in different components meet.
+    met = rest.toDF("bucket", "a").join(rest.toDF("bucket", "b"), "bucket").where("a < b")
+    assert met.where("a div 400 <> b div 400").select("a", "b").distinct().count() == 3 * 400 * 400
+    one = apart.withColumn("component", F.lit(0))
+    assert near_text._rest(hot, one, 100).count() == 0
+
+
 def test_near_copies_without_ids_and_with_equal_ids(spark):
     text = "a b c d e f g h i j"
     rows = [(None, text), (5, text), (5, text + " k"), (5, "x y z"), (None, None), (8, " ")]

@@ -36,9 +36,8 @@ from tickbars.llm.shingles import (
 from tickbars.llm.tables import store
 from tickbars.llm.textbytes import U64, slices
 
-#: Members of a band's bucket that one task compares; larger ones are split by further bands.
+#: About as many classes as one task compares; larger buckets of a band are dealt to blocks.
 BUCKET_LIMIT = 20_000
-SPLITS = 3
 
 
 def near_components(
@@ -178,11 +177,21 @@ def _components(
     forests connect is a family; nothing outside it is linked with it, and little inside
     is not. The full sets of a family meet in one task, which compares them exactly.
     Families beyond ``limit`` are compared pair by pair in rounds instead.
+
+    Buckets beyond ``limit`` do so in blocks, each together with the next. Copies of one
+    text are one family then. Where a bucket still has several, or several components of
+    exact links, ``_rest`` has all but its largest one meet every member.
     """
-    members = _buckets(classes, limit)
+    members, hot = _buckets(classes, limit)
     pairs = store(_candidates(members, classes, settings), "near-pairs")
-    sets = store(_sets_of(documents, classes, pairs, settings), "near-sets")
     families = store(components(pairs), "near-families")
+    if hot is not None:
+        rest = _rest(hot, families, limit)
+        more = _candidates(rest, classes, settings)
+        pairs = store(pairs.unionAll(more).distinct(), "near-pairs")
+        families = store(components(pairs), "near-families")
+        members = members.unionAll(rest)
+    sets = store(_sets_of(documents, classes, pairs, settings), "near-sets")
     large = store(
         families.groupBy("component").count().where(f"count > {limit}").select("component"),
         "near-large",
@@ -194,7 +203,14 @@ def _components(
     own = families.join(large, "component").select(F.col("id").alias("class"))
     inside = members.join(own, "class", "left_semi")
     links = _links(sets, inside, classes, pairs.join(own.toDF("a"), "a", "left_semi"), settings)
-    return found.unionByName(components(links))
+    joined = components(links)
+    if hot is not None:
+        joined = store(joined, "near-joined")
+        rest = _rest(hot.join(own, "class", "left_semi"), joined, limit)
+        pairs = store(_candidates(rest, classes, settings), "near-pairs")
+        more = _links(sets, rest, classes, pairs, settings)
+        joined = components(links.unionAll(more))
+    return found.unionByName(joined)
 
 
 def _compared(sets: DataFrame, settings: SketchSettings) -> DataFrame:
@@ -271,44 +287,96 @@ def _with_failed(
     return members.join(buckets, "bucket", "left_semi").join(partners, "class", "left")
 
 
-def _buckets(classes: DataFrame, limit: int) -> DataFrame:
+def _buckets(classes: DataFrame, limit: int) -> tuple[DataFrame, DataFrame | None]:
     """(bucket, class) of buckets with two classes or more, one of equal ones, stored.
 
-    Buckets beyond ``limit`` are split by every further band of their members: a pair of
-    them must then share two bands, in the end ``SPLITS`` + 1 of 30.
+    Buckets beyond ``limit`` are dealt to blocks of about half of it, and each block meets
+    the next; they are also given whole, with ``n`` members, if there are any.
     """
     bands = classes.select("class", F.explode("bands").alias("bucket"))
-    found = None
-    for depth in range(SPLITS + 1):
-        sized = store(
-            bands.groupBy("bucket")
-            .agg(
-                F.count("*").alias("n"),
-                F.sum(F.xxhash64("class").cast("decimal(38,0)")).alias("who"),
-            )
-            .where("n > 1")
-            .groupBy("n", "who")
-            .agg(F.min("bucket").alias("bucket"))
-            .select("n", "bucket"),
-            "near-buckets",
+    sized = store(
+        bands.groupBy("bucket")
+        .agg(
+            F.count("*").alias("n"),
+            F.sum(F.xxhash64("class").cast("decimal(38,0)")).alias("who"),
         )
-        if not depth:
-            bands = _in_buckets(classes, sized)
-        last = depth == SPLITS
-        fit = bands.join(sized.where("true" if last else f"n <= {limit}"), "bucket")
-        fit = store(fit.select("bucket", "class"), "near-members")
-        found = fit if found is None else found.unionAll(fit)
-        if last or sized.where(f"n > {limit}").isEmpty():
-            break
-        large = bands.join(sized.where(f"n > {limit}"), "bucket").select("bucket", "class")
-        bands = store(
-            large.join(classes.select("class", "bands"), "class")
-            .select("class", "bucket", F.explode("bands").alias("band"))
-            .where("band <> bucket")
-            .select("class", F.xxhash64("bucket", "band").alias("bucket")),
-            "near-split",
+        .where("n > 1")
+        .groupBy("n", "who")
+        .agg(F.min("bucket").alias("bucket"))
+        .select("n", "bucket"),
+        "near-buckets",
+    )
+    bands = _in_buckets(classes, sized)
+    fit = bands.join(sized.where(f"n <= {limit}"), "bucket")
+    fit = store(fit.select("bucket", "class"), "near-members")
+    large = sized.where(f"n > {limit}")
+    if large.isEmpty():
+        return fit, None
+    hot = store(bands.join(F.broadcast(large), "bucket"), "near-hot")
+    blocks = _blocks("n", limit)
+    at = _block(blocks)
+    both = F.explode(F.array(at, F.pmod(at + 1, blocks)))
+    ring = hot.select("bucket", "class", both.alias("at")).select(
+        F.xxhash64("bucket", "at").alias("bucket"), "class"
+    )
+    return fit.unionByName(store(ring, "near-ring")), hot
+
+
+def _blocks(count: str, limit: int):
+    """Number of blocks of about half of ``limit`` for ``count`` members."""
+    return F.ceil(F.col(count) * 2 / F.lit(limit))
+
+
+def _block(blocks):
+    return F.pmod(F.xxhash64("class", "bucket"), blocks)
+
+
+def _rest(hot: DataFrame, found: DataFrame, limit: int) -> DataFrame:
+    """(bucket, class) of groups in which every two members of a bucket meet that need to.
+
+    Those are the members outside the bucket's largest component in ``found``, each with
+    all members; the largest one is connected already. Blocks of both meet, so that no
+    group has many more than ``limit`` members, and a bucket in one component has none.
+    """
+    own = hot.select("bucket", "class").join(found, F.col("class") == F.col("id"), "left")
+    own = own.select("bucket", "class", F.coalesce("component", "class").alias("component"))
+    own = store(own, "near-hot")
+    most = store(
+        own.groupBy("bucket", "component")
+        .agg(F.count("*").alias("n"))
+        .groupBy("bucket")
+        .agg(
+            F.sum("n").alias("n"),
+            F.max(F.struct("n", "component")).alias("most"),
+        )
+        .select(
+            "bucket",
+            "n",
+            (F.col("n") - F.col("most.n")).alias("left"),
+            F.col("most.component").alias("most"),
         )
-    return found
+        .where("left > 0"),
+        "near-most",
+    )
+    own = own.join(F.broadcast(most), "bucket")
+    # Blocks of all members down, blocks of the rest across.
+    down, across = _blocks("n", limit), _blocks("left", limit)
+    all_members = own.select(
+        "bucket",
+        "class",
+        _block(down).alias("i"),
+        F.explode(F.sequence(F.lit(0).cast("long"), across - 1)).alias("j"),
+    )
+    others = own.where("component <> most").select(
+        "bucket",
+        "class",
+        F.explode(F.sequence(F.lit(0).cast("long"), down - 1)).alias("i"),
+        _block(across).alias("j"),
+    )
+    groups = all_members.unionByName(others).select(
+        F.xxhash64("bucket", "i", "j").alias("bucket"), "class"
+    )
+    return store(groups.distinct(), "near-rest")
 
 
 def _in_buckets(classes: DataFrame, sized: DataFrame) -> DataFrame:
