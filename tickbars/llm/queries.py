@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickbars.llm import url_rules
+from tickbars.llm import filter_audit, hard_negatives, url_rules
 from tickbars.llm.decontaminate import contamination
 from tickbars.llm.lattice_lm import score_documents
 from tickbars.llm.mixing import mixture
@@ -16,6 +17,7 @@ from tickbars.llm.pii import find_personal_data, fit_field
 from tickbars.llm.quality import fit_quality, grade_documents
 from tickbars.llm.repeats import remove_repeats
 from tickbars.llm.tables import read_table, tokenizer_file
+from tickbars.llm.token_counts import token_counts
 from tickbars.llm.tokens import read_tokens, token_digest, write_tokens
 from tickbars.session import new_run_dir
 
@@ -70,6 +72,23 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grade_documents(documents, model)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    return filter_audit.filter_audit(documents, read_table(spark, sf_dir, "labels"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10)
+    vectors = vectors.withColumn("label", shifted.otherwise(F.col("label")))
+    return hard_negatives.hard_negatives(vectors)
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    return token_counts(documents, tokenizer_file("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -83,6 +102,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_source_mixing,
         op9_url_filters,
         op10_quality_classifier,
+        op11_filter_audit,
+        op12_hard_negatives,
+        op13_token_counts,
     )
 }
-ORACLES: dict[str, str] = {"op9_url_filters": url_rules.ORACLE}
+ORACLES: dict[str, str] = {
+    "op9_url_filters": url_rules.ORACLE,
+    "op11_filter_audit": filter_audit.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
+}
