@@ -2,7 +2,9 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from tickbars.models.grouped import GroupedLinearModel
 from tickbars.models.linear import LinearBarModel
 from tickbars.plans.jobs import train_job
 
@@ -99,3 +101,67 @@ def test_predictions_are_for_the_rows_of_the_fit(spark, tmp_path):
     as_messages(spark, bars(spark, 10)).write.mode("append").parquet(path)
     assert outcome.predictions.count() == 60
     assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
+# --- One regression per ticker -----------------------------------------------------------
+
+
+def test_grouped_fit_finds_every_plane(spark):
+    """Tickers of different planes, one of a single row, one with a constant feature."""
+    rng = random.Random(6)
+    rows = []
+    for k, ticker in enumerate("ABC"):
+        for _ in range(40):
+            o, h, low, v = (rng.uniform(1, 9) for _ in range(4))
+            rows.append((ticker, o, h, low, k * o - h + 3 * low + 0.5 * v + k, v))
+    rows += [("ONE", 1.0, 2.0, 3.0, 4.0, 5.0), (None, 1.0, 2.0, 3.0, 4.0, 5.0),
+             ("A", None, 1.0, 1.0, 1.0, 1.0), ("A", float("nan"), 1.0, 1.0, 1.0, 1.0),
+             ("A", 1.0, 1.0, 1.0, None, 1.0), ("NEW", 1.0, 1.0, 1.0, None, 1.0)]
+    rows += [("FLAT", 2.0, float(x), 2.0 * x, 3.0 * x + 1, 7.0) for x in range(9)]
+    frame = spark.createDataFrame(
+        rows, "ticker string, open_price double, high_price double, low_price double, "
+        "close_price double, volume double",
+    )
+    model = GroupedLinearModel()
+    assert not model.fitted
+    with pytest.raises(ValueError):
+        model.predict(frame)
+    model.fit(frame)
+    found = {r.ticker: r for r in model.coefficients.collect()}
+    assert set(found) == {"A", "B", "C", "ONE", "FLAT"}
+    for k, ticker in enumerate("ABC"):
+        weights = [found[ticker][f"weight_{n}"] for n in model.features]
+        assert weights == pytest.approx([k, -1, 3, 0.5], abs=1e-8)
+        assert found[ticker].intercept == pytest.approx(k, abs=1e-8)
+        assert found[ticker].rows == 40
+    predicted = model.predict(frame.withColumn("_model", F.lit("mine"))).collect()
+    assert len(predicted) == 120 + 1 + 1 + 9
+    assert {r._model for r in predicted} == {"mine"}
+    for row in predicted:
+        if row.close_price is not None:
+            assert row.prediction == pytest.approx(row.close_price, abs=1e-6)
+
+
+def test_grouped_fit_is_one_aggregate_without_python(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(
+        "tickbars.models.grouped.store", lambda df, purpose: plans.append(df) or df
+    )
+    GroupedLinearModel().fit(bars(spark))
+    plan = plans[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("HashAggregate") == 2 and plan.count("Exchange") == 1
+    assert "SortAggregate" not in plan and "Python" not in plan and "Join" not in plan
+
+
+def test_the_job_trains_all_tickers_at_once(spark, tmp_path):
+    (tmp_path / "T.json").write_text('{"ticker": "string", "open_price": "double", '
+                                     '"high_price": "double", "low_price": "double", '
+                                     '"close_price": "double", "volume": "long"}')
+    sent = as_messages(spark, bars(spark))
+    models = [GroupedLinearModel(topic="T"), GroupedLinearModel(["B"], topic="T")]
+    both, one = train_job(lambda topic: sent, models, schemas_dir=tmp_path)
+    assert both.trained and both.predictions.count() == 60
+    assert {r.ticker for r in one.predictions.collect()} == {"B"}
+    empty = GroupedLinearModel()
+    empty.fit(bars(spark).limit(0))
+    assert empty.predict(bars(spark)).count() == 0
