@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import threading
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,13 @@ from tickbars.operators.bars import Ohlc
 from tickbars.operators.metric import MARKET_TOPIC, Metric, StreamedMetric
 from tickbars.operators.rolling import RollingMean
 from tickbars.schemas import TICK
-from tickbars.session import ROCKSDB_PROVIDER, exists, make_folder, session_conf
+from tickbars.session import (
+    ROCKSDB_PROVIDER,
+    exists,
+    file_system,
+    make_folder,
+    session_conf,
+)
 from tickbars.streaming.hops import Hop, TableHop
 from tickbars.streaming.means import MeanTable, start_mean
 
@@ -29,7 +36,7 @@ _STATE_CONF = {
 }
 
 
-def _stream_conf(partitions: int | None) -> dict[str, str]:
+def stream_conf(partitions: int | None) -> dict[str, str]:
     """State settings. A stream keeps its partition count for life, and it is not
     coalesced at run time: give ``partitions`` where the session's count does not suit
     the cluster."""
@@ -76,7 +83,7 @@ def _start(
     trigger = (
         {"availableNow": True} if processing_time is None else {"processingTime": processing_time}
     )
-    with session_conf(rows.sparkSession, _stream_conf(partitions)):
+    with session_conf(rows.sparkSession, stream_conf(partitions)):
         return hop.start(rows, table, f"{root}/_checkpoints/{table}", **trigger)
 
 
@@ -98,26 +105,61 @@ def stream_job(
     finished on return; otherwise all of them keep running side by side. Checkpoints, and
     the tails and tables of means, are under ``root``.
     """
-    metrics = default_metrics() if metrics is None else metrics
     hop = TableHop(spark, root, max_files_per_trigger) if hop is None else hop
-    schemas = {m.target_table: m.schema for m in metrics}
+    starters = metric_starters(
+        spark, lambda: source, root, metrics, processing_time, partitions, hop
+    )
     queries = {}
-    for metric in metrics:
+    for table, (_, start) in starters.items():
+        queries[table] = start()
+        if processing_time is None:
+            queries[table].awaitTermination()
+    return queries
+
+
+def metric_starters(
+    spark: SparkSession,
+    source: Callable[[], DataFrame],
+    root: str,
+    metrics: Sequence[Metric] | None = None,
+    processing_time: str | None = None,
+    partitions: int | None = None,
+    hop: Hop | None = None,
+) -> dict[str, tuple[Metric, Callable[[], StreamingQuery]]]:
+    """Per target table the metric and what starts it, in the order given.
+
+    A start goes on from the metric's checkpoint, so it can be repeated after a failure.
+    """
+    metrics = default_metrics() if metrics is None else metrics
+    hop = TableHop(spark, root) if hop is None else hop
+    schemas = {m.target_table: m.schema for m in metrics}
+
+    def start(metric: Metric) -> StreamingQuery:
         if metric.source_table == MARKET_TOPIC:
-            rows = source
+            rows = source()
         else:
             rows = hop.stream(metric.source_table, schemas[metric.source_table])
         table = metric.target_table
         if isinstance(metric, StreamedMetric):
             stream = metric.stream(with_event_watermark(rows))
-            query = _start(hop, stream, root, table, processing_time, partitions)
-        else:
-            means = MeanTable(spark, metric, root, BAR_DELAY_SECONDS, hop.append(table))
-            query = start_mean(means, rows, root, processing_time)
-        if processing_time is None:
-            query.awaitTermination()
-        queries[table] = query
-    return queries
+            return _start(hop, stream, root, table, processing_time, partitions)
+        means = MeanTable(spark, metric, root, BAR_DELAY_SECONDS, hop.append(table))
+        return start_mean(means, rows, root, processing_time)
+
+    return {m.target_table: (m, functools.partial(start, m)) for m in metrics}
+
+
+def land(ticks: DataFrame, folder: str, name: str) -> None:
+    """Add ``ticks`` as ``folder/name``, whole at once: streams that read ``folder/*`` while
+    it is written see none of it or all. Where renaming a folder takes several steps, as on
+    object stores, land while the streams rest, as ``replay`` does."""
+    spark = ticks.sparkSession
+    beside = f"{folder.rstrip('/')}-landing/{name}"
+    ticks.select(TICK.names).write.mode("overwrite").parquet(beside)
+    make_folder(spark, folder)
+    fs, source = file_system(spark, beside)
+    if not fs.rename(source, file_system(spark, f"{folder}/{name}")[1]):
+        raise OSError(f"{folder}/{name} could not be landed")
 
 
 class LateRows(StreamingQueryListener):
