@@ -18,7 +18,7 @@ from tickbars.streaming.jobs import (
     with_event_watermark,
 )
 from tickbars.session import session_conf
-from tickbars.streaming.hops import FileTopicHop, TableHop, typed_rows
+from tickbars.streaming.hops import MessageHop, TableHop, typed_rows
 from tickbars.streaming.means import MeanTable, start_mean
 from tickbars.streaming.serving import ENTRY, ServingTable, serve_job
 
@@ -274,17 +274,17 @@ def test_job_over_topics(spark, tmp_path):
     start = 1730606400
     frame = ticks(spark, [(t, start + s, p) for t, s, p in random_ticks(6, 200, 0, 14000)])
     frame.select(TICK.names).write.parquet(f"{tmp_path}/ticks")
-    hop = FileTopicHop(spark, str(tmp_path))
+    hop = MessageHop(spark, str(tmp_path))
     metrics = [Ohlc(5), RollingMean(3, source_table="OHLC_5M")]
     with session_conf(spark, {"spark.sql.session.timeZone": "America/New_York"}):
         for _ in range(2):
             source = spark.readStream.schema(TICK).parquet(f"{tmp_path}/ticks")
             stream_job(spark, source, str(tmp_path), metrics, hop=hop)
-        bars = typed_rows(hop.topic("OHLC_5M").read(), BAR)
+        bars = typed_rows(hop.read("OHLC_5M"), BAR)
         closed = Ohlc(5).batch(frame).join(bars.select("ticker", "window_end"), ["ticker", "window_end"])
         assert rows_of(bars, *bars.columns) == rows_of(closed, *bars.columns)
         want = RollingMean(3).batch(closed).withColumn("ema_value", F.round("ema_value", 8))
-        sent = typed_rows(hop.topic(metrics[1].target_table).read(), INDICATOR)
+        sent = typed_rows(hop.read(metrics[1].target_table), INDICATOR)
         means = sent.unionByName(MeanTable(spark, metrics[1], str(tmp_path)).waiting())
         means = means.withColumn("ema_value", F.round("ema_value", 8))
         assert sent.count() > 50

@@ -6,11 +6,17 @@ from pyspark.sql import functions as F
 
 from tickbars.operators.bars import Ohlc
 from tickbars.operators.order import time_order, with_position
-from tickbars.operators.messages import event_messages, event_ticks
+from tickbars.operators.messages import event_ticks, placed_messages
 from tickbars.plans.jobs import publish_job
 from tickbars.session import session_conf
-from tickbars.sources.ticks import convert_ticks, read_converted_ticks, read_ticks, ticker_list
-from tickbars.sources.topics import FileTopic
+from tickbars.sources.ticks import (
+    convert_ticks,
+    read_checked_ticks,
+    read_converted_ticks,
+    read_ticks,
+    ticker_list,
+)
+from tickbars.sources.topics import MessageTable
 
 HEADER = "Date,Timestamp,EventType,Ticker,Price,Quantity,Exchange,Conditions"
 
@@ -124,6 +130,51 @@ def test_bad_numbers_raise(spark, root, tmp_path):
         read_ticks(spark, root, "X", "20240316", "20240316").collect()
 
 
+def test_bad_lines_are_set_aside(spark, root, tmp_path):
+    """Good rows and rejects are all lines, and both keep their place."""
+    put(tmp_path / "data", "20240317", "X", [
+        "2024-03-17,100,TRADE,X,1.5,1,XQ,",
+        "2024-03-17,200,TRADE,X,cheap,1,XQ,",
+        "2024-03-17,09:30,TRADE,X,1.0,1,XQ,",
+        "2024-03-17,300",
+        "2024-03-17,400,TRADE,X,1.5,1,XQ,,more,and more",
+        "2024-03-17,500,TRADE,X,,,XQ,",
+        "2024-03-17,600,TRADE,X,2.5,many,XQ,",
+        '2024-03-17,700,TRADE,X,3.5,9,XQ,"a, b"',
+    ])
+    put(tmp_path / "data", "20240317", "Y", ["2024-03-17,100,TRADE,Y,1.5,1,XQ,"])
+    good, bad = read_checked_ticks(spark, root, "X,Y", "20240317", "20240317")
+    assert [(r.Timestamp, r.Price, r.Quantity, r.Conditions)
+            for r in good.filter("Ticker = 'X'").orderBy("Arrival").collect()] == [
+        (100, 1.5, 1, ""), (500, None, None, ""), (700, 3.5, 9, "a, b")
+    ]
+    rows = bad.orderBy("Arrival").collect()
+    assert [r.reason for r in rows] == ["Price", "Timestamp", "fields", "fields", "Quantity"]
+    assert [r.line for r in rows][:3] == [
+        "2024-03-17,200,TRADE,X,cheap,1,XQ,", "2024-03-17,09:30,TRADE,X,1.0,1,XQ,", "2024-03-17,300"
+    ]
+    assert all(r.file.endswith("20240317/X.csv.gz") for r in rows)
+    places = [r.Arrival for r in good.filter("Ticker = 'X'").collect()] + [r.Arrival for r in rows]
+    assert max(places) - min(places) == 7 and len(set(places)) == 8
+    assert good.count() + bad.count() == 9
+    # Where nothing is wrong, both ways of reading agree.
+    ticks = read_ticks(spark, root, "ORCA, WREN", "20240311", "20240312")
+    checked, none = read_checked_ticks(spark, root, "ORCA, WREN", "20240311", "20240312")
+    assert none.count() == 0 and checked.columns == ticks.columns
+    assert checked.exceptAll(ticks).count() == 0 and checked.count() == 7
+    empty, none = read_checked_ticks(spark, root, "NONE", "20240311", "20240312")
+    assert empty.count() == none.count() == 0
+
+
+def test_no_file_names_on_the_driver(spark, root, monkeypatch):
+    """Files are numbered by Spark; the driver asks for one value only."""
+    def refused(self):
+        raise AssertionError("names were collected")
+
+    monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrame.inputFiles", refused)
+    assert read_ticks(spark, root, "ORCA, WREN", "20240311", "20240312").count() == 7
+
+
 def test_globs_are_no_tickers(spark, root):
     with pytest.raises(ValueError):
         read_ticks(spark, root, "{A,B}*", "20240311", "20240312")
@@ -159,27 +210,32 @@ def test_positions_count_from_one_without_gaps(spark):
 
 
 def test_publishing_keeps_each_tickers_order(spark, tmp_path):
-    """Many write tasks, rows in no order, and slices one after the other."""
+    """A hot ticker, rows in no order, many write tasks, slices one after the other."""
     ticks = spark.range(4000).select(
         F.lit("2024-03-11").alias("Date"),
         ((F.col("id") * 7919) % 4000 * 1000000000).alias("Timestamp"),
         F.lit("TRADE").alias("EventType"),
-        F.concat(F.lit("T"), F.col("id") % 13).alias("Ticker"),
+        F.when(F.col("id") % 3 < 2, "HOT")
+        .otherwise(F.concat(F.lit("T"), F.col("id") % 13))
+        .alias("Ticker"),
         F.col("id").cast("double").alias("Price"),
         F.lit(1).alias("Quantity"),
         F.lit("").alias("Exchange"),
         F.lit("").alias("Conditions"),
         F.col("id").alias("Arrival"),
     )
-    topic = FileTopic(spark, f"{tmp_path}/topic")
+    topic = MessageTable(spark, f"{tmp_path}/topic")
     assert topic.read().count() == 0
     half = F.col("Timestamp") < 2000 * 1000000000
     with session_conf(spark, {"spark.sql.adaptive.enabled": "false"}):
         publish_job(
             [ticks.filter(half), ticks.filter(~half)],
-            lambda rows: topic.append(event_messages(rows)),
+            lambda rows, k: topic.append(placed_messages(rows), k),
         )
-    assert topic.read().select("partition").distinct().count() > 3
+    # The hot ticker's rows of a slice were written by several tasks of like size.
+    files = topic.read().filter("key = 'HOT'").groupBy(F.input_file_name()).count().collect()
+    assert len(files) > 8 and max(r[1] for r in files) < 700
+    assert topic.read().select("offset").distinct().count() == 4000
     read = event_ticks(topic.read())
     rows = read.orderBy("Ticker", "Arrival").collect()
     keys = [(r.Ticker, r.Timestamp) for r in rows]

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickbars.operators.change import price_change
+from tickbars.operators.names import free
 
 RETENTION = 1000
 CANDLES = 60
@@ -30,18 +31,20 @@ def latest_n(
         return df
     # By task, not by row, so that the cut within a task stays at ``count`` rows.
     group = F.pmod(F.spark_partition_id(), F.lit(_SALTS))
-    salted = _newest(df.withColumn("_salt", group), [*keys, "_salt"], order, count)
-    return _newest(salted.drop("_salt"), keys, order, count)
+    [salt] = free(df, "_salt")
+    salted = _newest(df.withColumn(salt, group), [*keys, salt], order, count)
+    return _newest(salted.drop(salt), keys, order, count)
 
 
 def _newest(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], count: int
 ) -> DataFrame:
     newest_first = W.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
+    [rank] = free(df, "_rank")
     return (
-        df.withColumn("_rank", F.row_number().over(newest_first))
-        .filter(F.col("_rank") <= count)
-        .drop("_rank")
+        df.withColumn(rank, F.row_number().over(newest_first))
+        .filter(F.col(rank) <= count)
+        .drop(rank)
     )
 
 
@@ -71,8 +74,8 @@ def latest_row(
         [(name, column)] = columns.items()
         return df.groupBy(*keys).agg(F.max_by(column, by).alias(name))
     row = F.struct(*[c.alias(name) for name, c in columns.items()])
-    newest = F.max_by(row, by).alias("_newest")
-    return df.groupBy(*keys).agg(newest).select(*keys, "_newest.*")
+    [newest] = free(df, "_newest")
+    return df.groupBy(*keys).agg(F.max_by(row, by).alias(newest)).select(*keys, f"{newest}.*")
 
 
 def latest_bar(bars: DataFrame, indicators: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tickbars.operators.names import free
 from tickbars.operators.order import sorted_parts
 
 
@@ -39,18 +40,21 @@ def with_lookback(
     if split is None or not depth:
         return _add(df, [key], order, depth, columns)
 
+    chunk, place, carry = free(df, "_chunk", "_place", "_carried")
     if split == BY_RANGE:
-        parts = sorted_parts(df, [key, *order])
-        rows = parts.withColumnRenamed("_part", "_chunk").drop("_place")
+        rows = sorted_parts(df, [key, *order], names=(chunk, place)).drop(place)
     else:
-        chunk = F.call_function("div", F.unix_seconds(order[0]), F.lit(split))
-        rows = df.withColumn("_chunk", chunk)
-    carried = _rows_before_chunks(rows, key, order, depth)
-    both = rows.withColumn("_carried", F.lit(False)).unionByName(
-        carried.withColumn("_carried", F.lit(True))
+        stretch = F.call_function("div", F.unix_seconds(order[0]), F.lit(split))
+        rows = df.withColumn(chunk, stretch)
+    # Both what is summed and what is carried come from this one exchange, so the input
+    # is read once.
+    rows = rows.repartition(key, chunk)
+    carried = _rows_before_chunks(rows, key, order, depth, chunk).repartition(key, chunk)
+    both = rows.withColumn(carry, F.lit(False)).unionByName(
+        carried.withColumn(carry, F.lit(True))
     )
-    added = _add(both, [key, "_chunk"], order, depth, columns)
-    return added.filter(~F.col("_carried")).drop("_carried", "_chunk")
+    added = _add(both, [key, chunk], order, depth, columns)
+    return added.filter(~F.col(carry)).drop(carry, chunk)
 
 
 def _add(
@@ -65,24 +69,25 @@ def _add(
 
 
 def _rows_before_chunks(
-    rows: DataFrame, key: str, order: Sequence[str], depth: int
+    rows: DataFrame, key: str, order: Sequence[str], depth: int, chunk: str
 ) -> DataFrame:
     """The ``depth`` rows before each chunk, with that chunk as theirs.
 
-    They are among the last ``depth`` rows of some earlier chunk. Spark cuts chunks to
-    those before the shuffle, and only what is left is put together per key.
+    They are among the last ``depth`` rows of some earlier chunk. Chunks are cut to those
+    where they lie, and only what is left is put together per key.
     """
-    newest_first = W.partitionBy(key, "_chunk").orderBy(*[F.col(c).desc() for c in order])
+    back, near, following = free(rows, "_back", "_near", "_next")
+    newest_first = W.partitionBy(key, chunk).orderBy(*[F.col(c).desc() for c in order])
     tails = (
-        rows.withColumn("_back", F.row_number().over(newest_first))
-        .filter(F.col("_back") <= depth)
-        .drop("_back")
+        rows.withColumn(back, F.row_number().over(newest_first))
+        .filter(F.col(back) <= depth)
+        .drop(back)
     )
     # A tail row precedes the chunks that start within the next ``depth`` tail rows.
     ahead = W.partitionBy(key).orderBy(*order).rowsBetween(1, depth)
     return (
-        tails.withColumn("_near", F.collect_set("_chunk").over(ahead))
-        .withColumn("_next", F.explode(F.array_except("_near", F.array("_chunk"))))
-        .drop("_near", "_chunk")
-        .withColumnRenamed("_next", "_chunk")
+        tails.withColumn(near, F.collect_set(chunk).over(ahead))
+        .withColumn(following, F.explode(F.array_except(near, F.array(chunk))))
+        .drop(near, chunk)
+        .withColumnRenamed(following, chunk)
     )

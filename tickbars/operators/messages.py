@@ -60,11 +60,17 @@ def event_messages(ticks: DataFrame) -> DataFrame:
     return ticks.select(F.col("Ticker").alias("key"), value.alias("value"))
 
 
+def placed_messages(ticks: DataFrame) -> DataFrame:
+    """The same of published ticks, with their ``offset``."""
+    value = F.to_json(F.struct(*MARKET_EVENT.names))
+    return ticks.select(F.col("Ticker").alias("key"), value.alias("value"), "offset")
+
+
 def event_ticks(messages: DataFrame) -> DataFrame:
     """Messages of ticks back as ticks; the offset is the arrival position.
 
-    Offsets of different partitions are not in order of time: bars over them should go by
-    ``("Timestamp", "Arrival")``.
+    Where offsets are a broker's, those of different partitions are not in order of time:
+    bars over them should go by ``("Timestamp", "Arrival")``.
     """
     data = F.from_json("value", MARKET_EVENT)
     rows = messages.select(F.inline(F.array(data)), F.col("offset").alias("Arrival"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tickbars.operators.names import free, quoted
 from tickbars.session import new_run_dir
 
 PUBLISH_ORDER = ("Timestamp", "Ticker", "Arrival")
@@ -23,8 +24,10 @@ def sorted_parts(
     order: Sequence[str],
     path: str | None = None,
     partitions: int | None = None,
+    names: Sequence[str] = ("_part", "_place"),
 ) -> DataFrame:
-    """``df`` range partitioned and sorted by ``order``, with each row's part and place.
+    """``df`` range partitioned and sorted by ``order``, with each row's part and place
+    as columns of the given ``names``.
 
     Parts are of like size, whatever value of ``order`` is frequent, as long as whole
     ``order`` tuples are not. They are written, so that later reads see one and the same
@@ -39,8 +42,8 @@ def sorted_parts(
     (
         df.repartitionByRange(partitions, *order)
         .sortWithinPartitions(*order)
-        .withColumn("_part", F.spark_partition_id())
-        .withColumn("_place", place)
+        .withColumn(names[0], F.spark_partition_id())
+        .withColumn(names[1], place)
         .write.parquet(path)
     )
     return spark.read.parquet(path)
@@ -58,14 +61,15 @@ def with_position(
     A row's number is its place in its part of ``sorted_parts`` plus the rows of the
     parts before, which are as many numbers as there are parts.
     """
-    placed = sorted_parts(df, order, path, partitions)
+    part, place, offset = free(df, "_part", "_place", "_offset")
+    placed = sorted_parts(df, order, path, partitions, (part, place))
     # Bounded by the partition count, hence the one-task window and the broadcast.
-    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    before = W.orderBy(part).rowsBetween(W.unboundedPreceding, -1)
     offsets = (
-        placed.groupBy("_part")
-        .agg(F.count("*").alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+        placed.groupBy(part)
+        .agg(F.count("*").alias("rows"))
+        .select(part, F.coalesce(F.sum("rows").over(before), F.lit(0)).alias(offset))
     )
-    return placed.join(F.broadcast(offsets), "_part").select(
-        *df.columns, (F.col("_offset") + F.col("_place") + 1).alias(name)
+    return placed.join(F.broadcast(offsets), part).select(
+        *quoted(df), (F.col(offset) + F.col(place) + 1).alias(name)
     )

@@ -11,16 +11,23 @@ from pyspark.sql import types as T
 from tickbars.operators.latest import latest_n
 from tickbars.operators.lookback import with_lookback
 from tickbars.operators.metric import MARKET_TOPIC, Metric
+from tickbars.operators.wide import with_wide_mean
 from tickbars.schemas import INDICATOR
 
 
+#: From so many rows on, a frame is not summed for every row.
+WIDE = 200
+
+
 class RollingMean(Metric):
     """Mean of ``value`` over the current and up to ``periods - 1`` earlier rows of a key.
 
     Over bars a plain window will do: a key has one bar per time window, so its size is
     bounded by the time span. Over ticks or any table where a key can be hot, ``split``
     spreads its rows, as ``with_lookback`` describes. ``ties`` are bigint columns that
-    order rows of equal time and come with the result. As a stream it is written by
+    order rows of equal time and come with the result. Frames of ``WIDE`` rows and more
+    are made of block sums, as ``with_wide_mean`` describes; any ``split`` then spreads
+    them by blocks. As a stream it is written by
     ``streaming.means.MeanTable``, which gives the same rows.
     """
 
@@ -57,14 +64,15 @@ class RollingMean(Metric):
     def batch(self, source: DataFrame) -> DataFrame:
         # Nothing but these columns goes through the shuffle.
         rows = source.select(self.key, self.time, self.value, *self.ties)
-        means = with_lookback(
-            rows,
-            self.key,
-            [self.time, *self.ties],
-            self.periods - 1,
-            {"ema_value": F.avg(self.value)},
-            self.split,
-        )
+        order = [self.time, *self.ties]
+        if self.periods >= WIDE:
+            hot = self.split is not None
+            means = with_wide_mean(
+                rows, self.key, order, self.periods, self.value, "ema_value", hot=hot
+            )
+        else:
+            mean = {"ema_value": F.avg(self.value)}
+            means = with_lookback(rows, self.key, order, self.periods - 1, mean, self.split)
         return means.select(
             F.col(self.key).alias("ticker"),
             F.col(self.time).alias("snapshot_time"),

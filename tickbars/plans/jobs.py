@@ -7,9 +7,11 @@ from dataclasses import dataclass
 from pathlib import Path
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tickbars.models.base import Model
 from tickbars.operators.messages import decode, for_tickers
+from tickbars.operators.order import with_position
 from tickbars.schemas import topic_schema
 from tickbars.session import store
 
@@ -77,15 +79,22 @@ def _train(model: Model, rows: DataFrame | str) -> Outcome:
         return Outcome(model, reason=f"{model.name} failed: {error}")
 
 
-def publish_job(slices: Iterable[DataFrame], write: Callable[[DataFrame], None]) -> None:
-    """Publish ticks slice by slice, each ticker's in order of time.
+#: Offsets leave this many bits for the places within a slice.
+SLICE_BITS = 40
 
-    ``slices`` are ticks of successive stretches of time, such as one date each. Within a
-    slice all rows of a ticker are in one sorted task, so that a writer that keeps its
-    task's order, such as a keyed write to a topic, keeps the ticker's. Make slices short
-    enough that the rows of the hottest ticker in one fit a task. Different tickers, and
-    so different partitions of a topic, are written side by side: readers finish a slice
-    before the next, as ``replay`` does, or order by time.
+
+def publish_job(
+    slices: Iterable[DataFrame], write: Callable[[DataFrame, int], None]
+) -> None:
+    """Publish ticks slice by slice, in order of time.
+
+    ``slices`` are ticks of successive stretches of time, such as one date each; ``write``
+    gets each with its number and a column ``offset``, the place of every row in the whole
+    publication: later slices have greater ones, and within a slice they follow time,
+    ticker and arrival. A slice is range-partitioned by time, so a ticker that has most of
+    its rows fills as many tasks as any other part of it. Tasks write side by side, so the
+    order in which rows land is not theirs: readers order by the offset, or by time.
     """
-    for ticks in slices:
-        write(ticks.repartition("Ticker").sortWithinPartitions("Ticker", "Timestamp", "Arrival"))
+    for number, ticks in enumerate(slices):
+        placed = with_position(ticks, name="offset")
+        write(placed.withColumn("offset", F.lit(number << SLICE_BITS) + F.col("offset")), number)

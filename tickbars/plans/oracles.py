@@ -98,6 +98,19 @@ ORACLES["rolling_mean_9"] = f"WITH {_TICKS}, {_bars(5)} {_means(9)}"
 ORACLES["rolling_mean_12"] = f"WITH {_TICKS}, {_bars(5)} {_means(12)}"
 ORACLES["rolling_mean_9_60m"] = f"WITH {_TICKS}, {_bars(60)} {_means(9)}"
 
+ORACLES["tick_csv_checked"] = f"""
+WITH {_TICKS}
+SELECT strftime(ts, '%Y-%m-%d') AS "Date", ns AS "Timestamp", 'TRADE' AS "EventType",
+       ticker AS "Ticker", price AS "Price", quantity AS "Quantity",
+       '' AS "Exchange", '' AS "Conditions"
+FROM ticks WHERE ticker NOT IN ('error', 'signup')"""
+
+ORACLES["tick_csv_rejects"] = f"""
+WITH {_TICKS}
+SELECT CASE ticker WHEN 'error' THEN 'Price' ELSE 'Timestamp' END AS reason,
+       strftime(ts, '%Y-%m-%d') AS date, ticker, quantity
+FROM ticks WHERE ticker IN ('error', 'signup')"""
+
 ORACLES["tick_rolling_mean_9"] = """
 SELECT event_type AS ticker, date_trunc('second', ts) AS snapshot_time, event_id,
        round(avg(value) OVER (
@@ -119,6 +132,14 @@ _CHANGE_COLUMNS = """
        CASE WHEN place = 1 OR previous = 0 THEN 0.0
             ELSE (close_price - previous) / previous * 100 END AS percent_change"""
 
+for _name in ("tick_rolling_mean_1000", "tick_rolling_mean_1000_by_block"):
+    ORACLES[_name] = """
+SELECT event_type AS ticker, date_trunc('second', ts) AS snapshot_time, event_id,
+       avg(CAST(round(value * 100) AS BIGINT)) OVER (
+           PARTITION BY event_type ORDER BY date_trunc('second', ts), event_id
+           ROWS BETWEEN 999 PRECEDING AND CURRENT ROW) AS ema_value
+FROM events"""
+
 ORACLES["bar_price_change"] = f"""
 WITH {_TICKS}, {_bars(60)}, {_CHANGES}
 SELECT ticker, window_end, close_price, {_CHANGE_COLUMNS}
@@ -221,6 +242,7 @@ ORACLES["stream_rolling_mean_9"] = (
     f"WITH {_TICKS}, {_bars(60)}, {_CLOSED} {_means(9, 'closed')}"
 )
 ORACLES["stream_replay_60m"] = ORACLES["stream_rolling_mean_9"]
+ORACLES["stream_supervised_means"] = ORACLES["stream_rolling_mean_9"]
 ORACLES["stream_job_messages"] = ORACLES["stream_rolling_mean_9"]
 ORACLES["stream_job_means"] = f"""
 WITH {_TICKS}, {_bars(5)}, {_CLOSED}
@@ -258,6 +280,43 @@ SELECT topic, ticker, epoch_ms(time) AS entry_id, number
 FROM entries
 QUALIFY row_number() OVER (PARTITION BY topic, ticker ORDER BY time DESC) <= 1000"""
 
+ORACLES["stream_bars_on_bars"] = ORACLES["stream_ohlc_60m"]
+
+_COUNTED = """counts AS (
+    SELECT ticker, time_bucket(INTERVAL '60 minutes', ts) AS window_start, count(*) AS ticks
+    FROM ticks GROUP BY ALL
+)"""
+
+ORACLES["stream_idle_bars"] = f"""
+WITH {_TICKS}, {_bars(60)}, {_COUNTED}
+SELECT * FROM bars JOIN counts USING (ticker, window_start)"""
+
+ORACLES["stream_late_table"] = f"""
+WITH late AS (
+    SELECT *, time_bucket(INTERVAL '60 minutes', ts) AS window_start
+    FROM events WHERE event_type = 'error'
+), first_part AS (
+    SELECT date_trunc('second', max(ts)) - INTERVAL '2 seconds' AS watermark
+    FROM events WHERE event_type <> 'error'
+)
+SELECT event_type AS ticker, window_start,
+       window_start + INTERVAL '60 minutes' AS window_end,
+       epoch_us(ts) * 1000 AS "Timestamp", value AS "Price",
+       CAST(props ->> '$.k' AS BIGINT) AS "Quantity", event_id
+FROM late, first_part
+WHERE window_start + INTERVAL '60 minutes' <= watermark"""
+
+# --- Bars from bars --------------------------------------------------------------------
+
+ORACLES["merged_bars"] = " UNION ALL ".join(
+    f"SELECT *, {m} AS minutes FROM ({ORACLES[f'ohlc_{m}m']})" for m in (5, 60, 1440)
+)
+ORACLES["rewritten_bars"] = ORACLES["ohlc_1440m"]
+ORACLES["late_file_bars"] = f"""
+WITH {_TICKS}, {_bars(60)}
+SELECT * FROM bars
+WHERE ticker = 'error' OR CAST(window_start AS DATE) BETWEEN '2024-01-10' AND '2024-01-19'"""
+
 # --- Models: least squares by the normal equations, eliminated one feature at a time ----
 
 
@@ -320,6 +379,16 @@ SELECT * FROM (
 
 ORACLES["train_job_topics"] = f"{_trained('click')} UNION ALL {_trained('view')}"
 
+ORACLES["train_job_by_ticker"] = " UNION ALL ".join(
+    _trained(t) for t in ("click", "view", "purchase", "signup", "error")
+)
+
+# At the means of its features, a least-squares fit says the mean of its label.
+ORACLES["grouped_model_weights"] = f"""
+WITH {_TICKS}, {_bars(60)}
+SELECT ticker, count(*) AS rows, round(avg(close_price), 4) AS prediction
+FROM bars GROUP BY ticker"""
+
 ORACLES["prediction_head"] = f"""
 {ORACLES['train_job_predictions']}
 ORDER BY window_end DESC LIMIT 10"""

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickbars.functions import text, times, values
+from tickbars.models.grouped import GroupedLinearModel
 from tickbars.models.linear import LinearBarModel
 from tickbars.operators import facts, messages
 from tickbars.operators.bars import Ohlc
@@ -15,6 +16,7 @@ from tickbars.operators.change import price_change
 from tickbars.operators.latest import keep_last, latest_bar, latest_n
 from tickbars.operators.lookback import BY_RANGE
 from tickbars.operators.order import with_position
+from tickbars.operators.partials import BarLevels, ChainedOhlc
 from tickbars.operators.ranges import entry_range, in_time
 from tickbars.operators.rolling import RollingMean
 from tickbars.plans.jobs import publish_job, train_job
@@ -22,19 +24,27 @@ from tickbars.schemas import MARKET_EVENT, TICK, TOPIC_FOLDER, topic_schema
 from tickbars.session import new_run_dir, store, use_utc
 from tickbars.sources.facts import read_facts
 from tickbars.sources.market import as_ticks, market_tick_stream, market_ticks
-from tickbars.sources.ticks import convert_ticks, read_converted_ticks, read_ticks
-from tickbars.sources.topics import FileTopic
-from tickbars.streaming.hops import FileTopicHop, typed_rows
+from tickbars.sources.ticks import (
+    convert_ticks,
+    read_checked_ticks,
+    read_converted_ticks,
+    read_ticks,
+)
+from tickbars.sources.topics import MessageTable
+from tickbars.streaming.hops import MessageHop, TableHop, typed_rows
 from tickbars.streaming.jobs import (
     default_metrics,
+    land,
     open_bars,
     replay,
     start_table,
     stream_job,
     with_event_watermark,
 )
+from tickbars.streaming.live import LiveTable, live_bars, wait_for_silence
 from tickbars.streaming.means import MeanTable, start_mean
 from tickbars.streaming.serving import ServingTable, serve_job
+from tickbars.streaming.supervise import Supervisor
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -139,6 +149,55 @@ def tick_csv_scan(spark, sf_dir):
     return ticks.select(MARKET_EVENT.names)
 
 
+_FOLDERS = "year=*/day={date}/symbol={ticker}/*.csv.gz"
+
+
+def _checked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Ticks as gzip CSV in which one ticker has no prices and one no times."""
+    root = new_run_dir(spark, "tick-files")
+    ticker = F.col("Ticker")
+    ticks = _ticks(spark, sf_dir)
+    broken = {
+        "Price": F.when(ticker == "error", "n/a").otherwise(F.col("Price").cast("string")),
+        "Timestamp": F.when(ticker == "signup", "soon").otherwise(
+            F.col("Timestamp").cast("string")
+        ),
+    }
+    (
+        ticks.select(
+            *[broken.get(c, F.col(c)).alias(c) for c in MARKET_EVENT.names],
+            F.year("event_time").alias("year"),
+            F.date_format("event_time", "yyyyMMdd").alias("day"),
+            ticker.alias("symbol"),
+        )
+        .hint("rebalance", "day", "symbol")
+        .write.partitionBy("year", "day", "symbol")
+        .option("header", True)
+        .option("compression", "gzip")
+        .csv(root)
+    )
+    tickers = "click, view, purchase, signup, error"
+    return read_checked_ticks(spark, root, tickers, "20240101", "20241231", _FOLDERS)
+
+
+@query
+def tick_csv_checked(spark, sf_dir):
+    """The good rows of files that also have bad ones."""
+    return _checked(spark, sf_dir)[0].select(MARKET_EVENT.names)
+
+
+@query
+def tick_csv_rejects(spark, sf_dir):
+    """The bad rows of those files, and what is wrong with them."""
+    field = F.split("line", ",")
+    return _checked(spark, sf_dir)[1].select(
+        "reason",
+        field[0].alias("date"),
+        field[3].alias("ticker"),
+        field[5].cast("int").alias("quantity"),
+    )
+
+
 @query
 def tick_parquet_scan(spark, sf_dir):
     """The same selection over ticks converted to Parquet by day."""
@@ -268,6 +327,29 @@ def tick_rolling_mean_9_by_range(spark, sf_dir):
     return _tick_means(spark, sf_dir, BY_RANGE)
 
 
+def _cent_means(spark: SparkSession, sf_dir: str, split: str | None) -> DataFrame:
+    """Over whole cents, whose sums are exact in any order."""
+    ticks = _ticks(spark, sf_dir)
+    cents = F.round(F.col("Price") * 100).cast("bigint")
+    metric = RollingMean(
+        1000, key="Ticker", time="event_time", value="cents", ties=["Arrival"], split=split
+    )
+    means = metric.batch(ticks.withColumn("cents", cents))
+    return means.withColumnRenamed("Arrival", "event_id")
+
+
+@query
+def tick_rolling_mean_1000(spark, sf_dir):
+    """A frame of a thousand ticks from two block sums a row."""
+    return _cent_means(spark, sf_dir, None)
+
+
+@query
+def tick_rolling_mean_1000_by_block(spark, sf_dir):
+    """The same where a ticker may be hot: every block is a group of its own."""
+    return _cent_means(spark, sf_dir, BY_RANGE)
+
+
 @query
 def bar_price_change(spark, sf_dir):
     return price_change(_bars(spark, sf_dir, 60)).select(
@@ -324,6 +406,46 @@ def served_entry_range(spark, sf_dir):
     return messages.as_bars(found).select("ticker", "entry_id", "close")
 
 
+# --- Bars from bars --------------------------------------------------------------------
+
+
+def _landed_levels(spark: SparkSession, sf_dir: str) -> BarLevels:
+    """Three files: the first and the last days, then, late, the days between."""
+    levels = BarLevels(spark, new_run_dir(spark, "bar-levels"))
+    ticks = _ticks(spark, sf_dir)
+    date = F.col("Date")
+    between = date.between("2024-01-10", "2024-01-19")
+    # The late file also has ticks of one ticker of all days, in windows with bars.
+    late = between | (F.col("Ticker") == "error")
+    levels.add(ticks.filter(~late & (date < "2024-01-10")), "first")
+    levels.add(ticks.filter(~late & (date > "2024-01-19")), "last")
+    levels.add(ticks.filter(late), "late")
+    return levels
+
+
+@query
+def merged_bars(spark, sf_dir):
+    """Bars of 5, 60 and 1,440 minutes from partial bars; ticks are read once a file."""
+    levels = _landed_levels(spark, sf_dir)
+    five, hourly, daily = [
+        levels.bars(m).withColumn("minutes", F.lit(m)) for m in levels.minutes
+    ]
+    return five.unionByName(hourly).unionByName(daily)
+
+
+@query
+def late_file_bars(spark, sf_dir):
+    """The hourly bars that a late file changes or adds."""
+    return _landed_levels(spark, sf_dir).changed(60, "late")
+
+
+@query
+def rewritten_bars(spark, sf_dir):
+    """Daily bars after the files' parts were put together."""
+    levels = _landed_levels(spark, sf_dir).rewrite(new_run_dir(spark, "bar-levels"))
+    return levels.bars(1440)
+
+
 # --- Messages and serving --------------------------------------------------------------
 
 
@@ -423,6 +545,9 @@ def served_times(spark, sf_dir):
     )
 
 
+_DAYS = [("2024-01-01", "2024-01-10"), ("2024-01-11", "2024-01-20"), ("2024-01-21", "9999")]
+
+
 # --- Streams, each run to its end ------------------------------------------------------
 
 
@@ -474,16 +599,51 @@ def stream_job_means(spark, sf_dir):
 
 @query
 def stream_job_messages(spark, sf_dir):
-    """The streaming job with JSON topics between its hops; the means as they were sent."""
+    """The streaming job with JSON messages between its hops; the means as they were sent."""
     root = new_run_dir(spark, "stream-topics")
-    hop = FileTopicHop(spark, root)
+    hop = MessageHop(spark, root)
     mean = RollingMean(9, source_table="OHLC_60M")
     stream_job(spark, _tick_stream(spark, sf_dir), root, [Ohlc(60), mean], hop=hop)
-    sent = typed_rows(hop.topic(mean.target_table).read(), mean.schema)
+    sent = typed_rows(hop.read(mean.target_table), mean.schema)
     waiting = MeanTable(spark, mean, root).waiting()
     return _rounded(sent.unionByName(waiting), "ema_value")
 
 
+class _FailsOnce(TableHop):
+    """Tables whose means fail once, in their second micro-batch, before they are done."""
+
+    failed = False
+
+    def append(self, table):
+        def fail(rows: DataFrame, batch_id: int) -> None:
+            if batch_id == 1 and not self.failed:
+                self.failed = True
+                raise OSError("a failure on purpose")
+
+        return fail
+
+
+@query
+def stream_supervised_means(spark, sf_dir):
+    """The job kept alive over a failure; its means are those of a job without one."""
+    root = new_run_dir(spark, "supervised")
+    ticks = _ticks(spark, sf_dir)
+    mean = RollingMean(9, source_table="OHLC_60M")
+
+    def source() -> DataFrame:
+        return spark.readStream.schema(TICK).parquet(f"{root}/ticks/*")
+
+    # The glob needs something to match before a stream reads it.
+    land(ticks.filter(F.col("Date") < _DAYS[0][0]), f"{root}/ticks", "none")
+    hop = _FailsOnce(spark, root)
+    job = Supervisor(spark, source, root, [Ohlc(60), mean], hop=hop, processing_time="0 seconds")
+    with job:
+        for k, (first, last) in enumerate(_DAYS):
+            land(ticks.filter(F.col("Date").between(first, last)), f"{root}/ticks", str(k))
+            job.process_all()
+    return _with_waiting(spark, mean, root)
+
+
 @query
 def stream_tick_mean_9(spark, sf_dir):
     """Means over the ticks themselves, landed in five stretches cut within a second."""
@@ -542,6 +702,53 @@ def stream_open_bars(spark, sf_dir):
     return open_bars(_ticks(spark, sf_dir), Ohlc(60))
 
 
+@query
+def stream_bars_on_bars(spark, sf_dir):
+    """Five-minute bars made into hourly ones within one query, over several batches."""
+    root = new_run_dir(spark, "chained")
+    ticks = _ticks(spark, sf_dir).select(TICK.names)
+    bars = ChainedOhlc(60, 5)
+    for k, (first, last) in enumerate(_DAYS):
+        ticks.filter(F.col("Date").between(first, last)).write.parquet(f"{root}/ticks/{k}")
+        source = spark.readStream.schema(TICK).parquet(f"{root}/ticks/*")
+        stream = bars.stream(with_event_watermark(source))
+        start_table(stream, root, "OHLC_60M").awaitTermination()
+    return spark.read.schema(bars.schema).parquet(f"{root}/OHLC_60M")
+
+
+def _live(spark: SparkSession, parts: list[DataFrame]) -> LiveTable:
+    """Parts streamed one after the other, each until its tickers are silent."""
+    root = new_run_dir(spark, "live")
+    table = LiveTable(spark, root, "OHLC_60M")
+    for k, part in enumerate(parts):
+        part.select(TICK.names).write.parquet(f"{root}/ticks/{k}")
+        source = spark.readStream.schema(TICK).parquet(f"{root}/ticks/*")
+        running = table.start(live_bars(with_event_watermark(source), 60), partitions=4)
+        try:
+            wait_for_silence(running)
+        finally:
+            running.stop()
+    return table
+
+
+@query
+def stream_idle_bars(spark, sf_dir):
+    """All bars of a stream that falls silent twice: none is left open, none comes twice."""
+    ticks = _ticks(spark, sf_dir)
+    # Silence between two days, so that no window has rows on both sides.
+    early = F.col("Date") < "2024-01-16"
+    return _live(spark, [ticks.filter(early), ticks.filter(~early)]).bars()
+
+
+@query
+def stream_late_table(spark, sf_dir):
+    """One ticker comes after all others: its rows in closed windows, and those they missed."""
+    ticks = _ticks(spark, sf_dir)
+    late = F.col("Ticker") == "error"
+    rows = _live(spark, [ticks.filter(~late), ticks.filter(late)]).late()
+    return rows.withColumnRenamed("Arrival", "event_id")
+
+
 @query
 def stream_serving(spark, sf_dir):
     """Bar and mean messages through the serving stream; what the table then holds."""
@@ -581,16 +788,14 @@ def served_header(spark, sf_dir):
 
 @query
 def publish_stream_bars(spark, sf_dir):
-    """Ticks published to a topic in three slices by several tasks, then streamed to bars."""
+    """Ticks published as messages in three slices by several tasks, then streamed to bars."""
     root = new_run_dir(spark, "topic")
-    topic = FileTopic(spark, f"{root}/market")
+    topic = MessageTable(spark, f"{root}/market")
     ticks = _ticks(spark, sf_dir)
-    days = [("2024-01-01", "2024-01-10"), ("2024-01-11", "2024-01-20"), ("2024-01-21", "9999")]
-    slices = [ticks.filter(F.col("Date").between(*d)) for d in days]
-    publish_job(slices, lambda rows: topic.append(messages.event_messages(rows)))
+    slices = [ticks.filter(F.col("Date").between(*d)) for d in _DAYS]
+    publish_job(slices, lambda rows, k: topic.append(messages.placed_messages(rows), k))
     source = messages.event_ticks(topic.stream())
-    bars = Ohlc(60, order=("Timestamp", "Arrival"))
-    return _streamed(spark, bars.stream(with_event_watermark(source)), "OHLC_60M")
+    return _streamed(spark, Ohlc(60).stream(with_event_watermark(source)), "OHLC_60M")
 
 
 # --- Models ----------------------------------------------------------------------------
@@ -634,6 +839,29 @@ def train_job_topics(spark, sf_dir):
     )
 
 
+@query
+def train_job_by_ticker(spark, sf_dir):
+    """A regression for every ticker of a topic, all of them in one pass."""
+    sent = store(_bar_messages(_bars(spark, sf_dir, 60), "OHLC_60M"), "messages")
+    [outcome] = train_job(
+        lambda topic: sent, [GroupedLinearModel(topic="OHLC_60M")], schemas_dir=TOPIC_FOLDER
+    )
+    return _rounded(
+        outcome.predictions.select("ticker", "window_end", "prediction"), "prediction", 4
+    )
+
+
+@query
+def grouped_model_weights(spark, sf_dir):
+    """What each ticker's regression was fitted on, and what it says of a mean bar."""
+    bars = store(_bars(spark, sf_dir, 60), "bars")
+    model = GroupedLinearModel()
+    model.fit(bars)
+    means = bars.groupBy("ticker").agg(*[F.avg(c).alias(c) for c in model.features])
+    said = model.predict(means).join(model.coefficients.select("ticker", "rows"), "ticker")
+    return _rounded(said.select("ticker", "rows", "prediction"), "prediction", 4)
+
+
 @query
 def prediction_head(spark, sf_dir):
     """The ten predictions a training run shows, the newest of one ticker."""

@@ -1,66 +1,48 @@
-"""Topics as files: keyed messages in partitions with offsets, for jobs without a broker."""
+"""Topics as plain tables: keyed messages in Parquet, read and streamed by Spark itself."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickbars.session import file_system, make_folder
+from tickbars.session import exists, make_folder
 
 MESSAGE = T.StructType(
     [
         T.StructField("key", T.StringType()),
         T.StructField("value", T.StringType()),
-        T.StructField("partition", T.IntegerType()),
         T.StructField("offset", T.LongType()),
     ]
 )
-_SLICE_BITS = 40
 
 
-class FileTopic:
-    """A folder with one part per write; rows keep the order their task writes them in.
+class MessageTable:
+    """A folder of Parquet parts of key, value and offset.
 
-    An offset grows with every write and, within one, with the place in the task. As with
-    a broker's, offsets of different partitions say nothing about each other.
+    Offsets come with the messages and say in which order they were published. A part is
+    written by overwriting, so that one that is published again adds nothing twice.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
 
-    def append(self, messages: DataFrame, number: int | None = None) -> None:
-        """Write key and value rows behind what the topic holds.
-
-        With ``number``, such as a micro-batch's, they replace what was written under it,
-        so that a batch that runs again adds nothing twice.
-        """
-        number = self._writes() if number is None else number
-        place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-        offset = F.lit(number << _SLICE_BITS) + place
-        messages.select(
-            "key",
-            "value",
-            F.spark_partition_id().alias("partition"),
-            offset.alias("offset"),
-        ).write.mode("overwrite").parquet(f"{self.path}/write={number:09d}")
-
-    def create(self) -> None:
-        """Make an empty topic, so that it can be read before anything is written."""
-        make_folder(self.spark, self.path)
+    def append(self, messages: DataFrame, part: int) -> None:
+        rows = messages.select(MESSAGE.names)
+        rows.write.mode("overwrite").parquet(f"{self.path}/part-{part:09d}")
 
     def read(self) -> DataFrame:
-        if not self._writes():
+        if not exists(self.spark, self.path):
             return self.spark.createDataFrame([], MESSAGE)
-        return self.spark.read.schema(MESSAGE).parquet(f"{self.path}/*")
+        return self._reader(self.spark.read).parquet(self.path)
 
     def stream(self, max_files_per_trigger: int | None = None) -> DataFrame:
-        reader = self.spark.readStream.schema(MESSAGE)
+        make_folder(self.spark, self.path)
+        reader = self._reader(self.spark.readStream)
         if max_files_per_trigger is not None:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-        return reader.parquet(f"{self.path}/*")
+        return reader.parquet(self.path)
 
-    def _writes(self) -> int:
-        fs, folder = file_system(self.spark, self.path)
-        return len(fs.listStatus(folder)) if fs.exists(folder) else 0
+    @staticmethod
+    def _reader(reader):
+        return reader.schema(MESSAGE).option("recursiveFileLookup", True)

@@ -1,4 +1,4 @@
-"""Where a streamed metric goes and where the next one reads it: tables or topics."""
+"""Where a streamed metric goes and where the next one reads it: tables, messages or topics."""
 
 from __future__ import annotations
 
@@ -11,8 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickbars.operators.messages import message_value
 from tickbars.schemas import message_schema
+from tickbars.session import make_folder
 from tickbars.sources import kafka
-from tickbars.sources.topics import FileTopic
 
 
 class Hop:
@@ -56,28 +56,39 @@ class TableHop(Hop):
         return reader.parquet(path)
 
 
-class FileTopicHop(Hop):
-    """JSON messages in file topics under ``root``, keyed by ticker."""
+class MessageHop(Hop):
+    """JSON messages, keyed by ticker, in Parquet tables of key and value under ``root``."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
 
-    def topic(self, table: str) -> FileTopic:
-        return FileTopic(self.spark, f"{self.root}/topics/{table}")
+    def path(self, table: str) -> str:
+        return f"{self.root}/messages/{table}"
 
     def start(self, rows: DataFrame, table: str, checkpoint: str, **trigger) -> StreamingQuery:
-        writer = rows.writeStream.queryName(table).option("checkpointLocation", checkpoint)
-        return writer.foreachBatch(self.append(table)).trigger(**trigger).start()
+        sent = metric_messages(rows).writeStream.queryName(table).format("parquet")
+        options = {"path": self.path(table), "checkpointLocation": checkpoint}
+        return sent.outputMode("append").options(**options).trigger(**trigger).start()
 
     def stream(self, table: str, schema: T.StructType) -> DataFrame:
-        topic = self.topic(table)
-        topic.create()
-        return typed_rows(topic.stream(), schema)
+        make_folder(self.spark, self.path(table))
+        return typed_rows(self._reader(self.spark.readStream).parquet(self.path(table)), schema)
+
+    def read(self, table: str) -> DataFrame:
+        """The messages of ``table`` so far."""
+        return self._reader(self.spark.read).parquet(self.path(table))
 
     def append(self, table: str) -> Callable[[DataFrame, int], None]:
-        topic = self.topic(table)
-        return lambda rows, batch_id: topic.append(metric_messages(rows), batch_id)
+        def write(rows: DataFrame, batch_id: int) -> None:
+            part = f"{self.path(table)}/part-{batch_id:09d}"
+            metric_messages(rows).write.mode("overwrite").parquet(part)
+
+        return write
+
+    @staticmethod
+    def _reader(reader):
+        return reader.schema("key string, value string").option("recursiveFileLookup", True)
 
 
 class KafkaHop(Hop):

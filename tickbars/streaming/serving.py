@@ -36,6 +36,16 @@ ENTRY = T.StructType(
 )
 _NUMBERS = {"open", "high", "low", "close", "volume"}
 
+#: A read of one key opens only the row groups that may hold it, by dictionary or bloom
+#: filter, and of those only the pages that hold its ids, by the column index.
+_FILES = {
+    "parquet.bloom.filter.enabled#topic": "true",
+    "parquet.bloom.filter.enabled#ticker": "true",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+    "parquet.block.size": str(16 << 20),
+    "parquet.page.row.count.limit": "2000",
+}
+
 
 class ServingTable:
     """Parquet in two kinds of parts: one per micro-batch, and snapshots of all so far.
@@ -94,12 +104,25 @@ class ServingTable:
         count: int | None = None,
         topic: str = INDICATOR_TOPIC,
     ) -> DataFrame:
-        """Indicator values of a ticker with ids in a range, both ends included."""
-        entries = self._newest(topic, ticker, None)
+        """Indicator values of a ticker with ids in a range, both ends included.
+
+        Only ids from the range on are read: what lies before it is neither in it nor
+        among the newest that retention keeps.
+        """
+        entries = self._newest(topic, ticker, None, min_id)
         return in_time(as_indicators(entry_range(entries, None, min_id, max_id, count)))
 
-    def _newest(self, topic: str, ticker: str, count: int | None) -> DataFrame:
+    def point(self, ticker: str, entry_id: int, topic: str = BAR_TOPIC) -> DataFrame:
+        """The entry of one id, if retention still has it."""
+        entries = self._newest(topic, ticker, None, entry_id)
+        return entries.filter(F.col("entry_id") == entry_id)
+
+    def _newest(
+        self, topic: str, ticker: str, count: int | None, least: int | str = OLDEST
+    ) -> DataFrame:
         key = (F.col("topic") == topic) & (F.col("ticker") == ticker)
+        if least != OLDEST:
+            key = key & (F.col("entry_id") >= int(least))
         # Filtered first: nothing is pushed through the cut, which goes by task.
         stored = self._bounded(self._stored().filter(key))
         return latest_n(stored, ["topic", "ticker"], ["entry_id"], count)
@@ -136,7 +159,7 @@ class ServingTable:
     def _write(self, rows: DataFrame, part: str, batch_id: int) -> None:
         folder = self._folder(part, batch_id)
         sorted_rows = self._bounded(rows).sortWithinPartitions("topic", "ticker", "entry_id")
-        sorted_rows.write.mode("overwrite").parquet(folder)
+        sorted_rows.write.mode("overwrite").options(**_FILES).parquet(folder)
         # A marker of our own: whether a job writes _SUCCESS is a setting.
         make_folder(self.spark, f"{folder}/_whole")
 
