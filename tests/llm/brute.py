@@ -73,9 +73,9 @@ def groups(ids, links):
     return {i: find(i) for i in ids}
 
 
-def near(rows, percent=80):
+def near(rows, percent=80, size=2):
     """doc_id: (n_shingles, component_id); ids must differ."""
-    sets = {i: shingles(t) for i, t in rows}
+    sets = {i: shingles(t, size) for i, t in rows}
     ids = sorted(sets)
     links = []
     for k, a in enumerate(ids):

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickbars.llm.tables import store
+from tickbars.llm.tables import store, unused
 from tickbars.llm.textbytes import ALPHANUMERIC, U64, Words, mix, sliding_min, slices, words
 
 WINDOW = 13
@@ -160,12 +160,11 @@ def contamination(
 
 def keep_uncontaminated(documents: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``documents`` that hold too little of any item to go."""
+    key = unused(documents, "_row_key")
     gone = contamination(documents, items).where("contaminated").select(
-        F.col("row_key").alias("_row_key")
-    )
-    kept = documents.withColumn("_row_key", _row_key()).join(
-        gone.distinct(), "_row_key", "left_anti"
+        F.col("row_key").alias(key)
     )
+    kept = documents.withColumn(key, _row_key()).join(gone.distinct(), key, "left_anti")
     return kept.select(*[F.col(f"`{c}`") for c in documents.columns])
 
 

@@ -11,7 +11,7 @@ has many.
 Sizes are counts of words. Documents without words (null, empty, blank) have size 0 and
 are never taken. A null source is a source of its own, last in order. Repeated rows and
 ids are documents of their own. An empty table gives an empty table. Draws come from
-hashes of id and text, so reruns agree. Other columns are not read.
+hashes of id and text, or of the row, so reruns agree. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -20,10 +20,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickbars.llm.tables import store
+from tickbars.llm.tables import store, unused, whole_row
 from tickbars.llm.textbytes import NOT_SPACE, slices, word_bounds
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -33,8 +33,8 @@ MOST_COPIES = 2.0
 GROUP = 4096
 
 
-def sized(documents: DataFrame) -> DataFrame:
-    """doc_id, source, row_key, size of every row."""
+def sized(documents: DataFrame, key: Column | None = None) -> DataFrame:
+    """doc_id, source, row_key, size of every row; ``key`` is its id and text unless given."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -49,7 +49,7 @@ def sized(documents: DataFrame) -> DataFrame:
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     return documents.select(
-        "doc_id", "source", "text", _row_key().alias("row_key")
+        "doc_id", "source", "text", (_row_key() if key is None else key).alias("row_key")
     ).mapInArrow(run, f"doc_id {kind}, source string, row_key long, size long")
 
 
@@ -97,13 +97,19 @@ def targets(
     )
 
 
-def mixture(documents: DataFrame, *, split_last: bool = True, group: int = GROUP) -> DataFrame:
+def mixture(
+    documents: DataFrame,
+    *,
+    split_last: bool = True,
+    group: int = GROUP,
+    key: Column | None = None,
+) -> DataFrame:
     """Every row with doc_id, row_key, size, source_size, target, copies, taken.
 
     ``split_last``: of the one document that each source's tree leaves with a fraction,
     that part of its words is taken; else it is taken whole or not, by a draw.
     """
-    rows = store(sized(documents), "mix-sizes")
+    rows = store(sized(documents, key), "mix-sizes")
     aims = store(targets(rows), "mix-targets")
     rate = F.when(
         F.col("source_size") > 0, F.col("target") / F.col("source_size")
@@ -146,18 +152,24 @@ def mixture(documents: DataFrame, *, split_last: bool = True, group: int = GROUP
 
 
 def mixed(documents: DataFrame) -> DataFrame:
-    """``documents`` with each row as often as the mixture takes it."""
+    """``documents`` with each row as often as the mixture takes it.
+
+    Rows that differ in any column, such as one text in two sources, are rows of their
+    own; rows equal in all columns share their copies.
+    """
+    key, copies, copy = (unused(documents, c) for c in ("_row_key", "_copies", "_copy"))
+    whole = whole_row(documents)
     taken = (
-        mixture(documents, split_last=False)
-        .groupBy(F.col("row_key").alias("_row_key"))
-        .agg(F.sum("copies").cast("int").alias("_copies"))
-        .where("_copies > 0")
+        mixture(documents, split_last=False, key=whole)
+        .groupBy(F.col("row_key").alias(key))
+        .agg(F.sum("copies").cast("int").alias(copies))
+        .where(F.col(copies) > 0)
     )
-    # Equal rows share their copies; one of them stands for all.
-    keyed = documents.withColumn("_row_key", _row_key()).dropDuplicates(["_row_key"])
+    # One of equal rows stands for all.
+    keyed = documents.withColumn(key, whole).dropDuplicates([key])
     columns = [F.col(f"`{c}`") for c in documents.columns]
-    copies = F.explode(F.sequence(F.lit(1), "_copies")).alias("_copy")
-    return keyed.join(taken, "_row_key").select(*columns, copies).select(*columns)
+    each = F.explode(F.sequence(F.lit(1), copies)).alias(copy)
+    return keyed.join(taken, key).select(*columns, each).select(*columns)
 
 
 def _row_key():

@@ -33,7 +33,7 @@ from tickbars.llm.shingles import (
     shingle_sets,
     whole_sketch,
 )
-from tickbars.llm.tables import store
+from tickbars.llm.tables import store, unused, whole_row
 from tickbars.llm.textbytes import U64, slices
 
 #: About as many classes as one task compares; larger buckets of a band are dealt to blocks.
@@ -84,22 +84,27 @@ def keep_first(documents: DataFrame, settings: SketchSettings = SketchSettings()
     """The rows of ``documents`` with one left of each group of near copies.
 
     It is the row with the least id; of rows that repeat that id, the one with the least
-    text hash. Rows equal in id and text count as one. Rows without words stay.
+    text hash. Rows equal in id and text count as one, that with the least hash of all
+    columns. Rows without words stay.
     """
     chosen = near_components(documents, settings).where("kept")
     place = Window.partitionBy("group").orderBy("row_key")
+    key, order = unused(documents, "_row_key"), unused(documents, "_order")
     first = (
         chosen.where("n_shingles > 0")
         .withColumn("_place", F.row_number().over(place))
         .where("_place = 1")
-        .select(F.col("row_key").alias("_row_key"))
+        .select(F.col("row_key").alias(key))
         .unionAll(
-            chosen.where("n_shingles = 0").select(F.col("row_key").alias("_row_key")).distinct()
+            chosen.where("n_shingles = 0").select(F.col("row_key").alias(key)).distinct()
         )
     )
-    # Equal rows meet in their task first, then by key, where the join finds them.
-    keyed = documents.withColumn("_row_key", _row_key()).dropDuplicates(["_row_key"])
-    kept = keyed.join(first, "_row_key", "left_semi")
+    kept = documents.withColumns({key: _row_key(), order: whole_row(documents)}).join(
+        first, key, "left_semi"
+    )
+    # Spark cuts to the first of equal rows in their task, then by key.
+    number = F.row_number().over(Window.partitionBy(key).orderBy(order))
+    kept = kept.withColumn(order, number).where(F.col(order) == 1)
     return kept.select(*[F.col(f"`{c}`") for c in documents.columns])
 
 

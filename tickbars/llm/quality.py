@@ -101,19 +101,26 @@ def grades(labels: DataFrame) -> DataFrame:
 def fit_quality(
     documents: DataFrame, labels: DataFrame, settings: QualitySettings = QualitySettings()
 ) -> QualityModel:
-    """Fit on the ``settings.sample`` labelled documents whose hashed ids come first."""
-    order = F.xxhash64(F.lit(17), "doc_id")
-    chosen = grades(labels).orderBy(order, "doc_id").limit(settings.sample)
-    rated = (
-        documents.select("doc_id", "text")
-        .join(F.broadcast(chosen), "doc_id")
-        .orderBy(order, F.xxhash64("text"))
-        .limit(settings.sample)
-        .select("text", "grade")
-    )
+    """Fit on the ``settings.sample`` labelled documents whose hashed ids come first.
+
+    Texts stay where they are: features are hashed there, counted by grade with a grouped
+    sum, and only the numbers of those that tell grades apart go to the one task that
+    fits. Rows equal in id and text count once.
+    """
+    seen = store(_features(_rated(documents, labels, settings), settings), "quality-features")
+    names = np.sort(_telling(seen, settings).toPandas().feature.to_numpy(dtype=np.int64))
+    # As the sample bounds the features that may be in it, this does not grow with the
+    # documents.
+    shared = documents.sparkSession.sparkContext.broadcast(names)
     fitted = store(
-        rated.coalesce(1).mapInArrow(
-            lambda batches: _fit(batches, settings), "feature long, weight double"
+        seen.mapInArrow(
+            lambda batches: _told(batches, shared.value),
+            "key long, grade int, places array<int>",
+        )
+        .coalesce(1)
+        .mapInArrow(
+            lambda batches: _fit(batches, shared.value, settings),
+            "feature long, weight double",
         ),
         "quality-model",
     ).toPandas()
@@ -127,6 +134,59 @@ def fit_quality(
     )
 
 
+def _rated(documents: DataFrame, labels: DataFrame, settings: QualitySettings) -> DataFrame:
+    """(key, text, grade) of the sample: ``settings.sample`` different rows at most."""
+    order = F.xxhash64(F.lit(17), "doc_id")
+    chosen = grades(labels).orderBy(order, "doc_id").limit(settings.sample)
+    rated = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    key = F.xxhash64(F.lit(17), "doc_id", "text").alias("key")
+    rows = rated.select(key, "text", "grade")
+    # Ids only; no more rows than ids, unless ids repeat.
+    if rated.select("doc_id").count() > settings.sample:
+        least = rows.select("key").distinct().orderBy("key").limit(settings.sample)
+        rows = rows.where(F.col("key") <= least.agg(F.max("key")).first()[0])
+    return rows
+
+
+def _features(rated: DataFrame, settings: QualitySettings) -> DataFrame:
+    """(key, grade, features): the hashed features of every different row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high, data, offsets in slices(batch.column("text")):
+                rows, features = hashed_features(data, offsets, settings.bits)
+                bounds = np.searchsorted(rows, np.arange(high - low + 1))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(batch.column(c).slice(low, high - low) for c in ("key", "grade")),
+                        pa.ListArray.from_arrays(
+                            pa.array(bounds, pa.int32()), pa.array(features, pa.int32())
+                        ),
+                    ],
+                    names=["key", "grade", "features"],
+                )
+
+    return rated.mapInArrow(
+        run, "key long, grade int, features array<int>"
+    ).dropDuplicates(["key"])
+
+
+def _telling(seen: DataFrame, settings: QualitySettings) -> DataFrame:
+    """(feature): those whose counts by grade are far enough from independence."""
+    # Three counts.
+    totals = {r.grade: r["count"] for r in seen.groupBy("grade").count().collect()}
+    by_grade = [F.count_if(F.col("grade") == k).alias(f"seen_{k}") for k in range(GRADES)]
+    counted = seen.select("grade", F.explode("features").alias("feature"))
+    counted = counted.groupBy("feature").agg(F.count("*").alias("seen"), *by_grade)
+    distance = F.lit(0.0)
+    for grade, n in sorted(totals.items()):
+        share = n / sum(totals.values())
+        if share < 1:
+            expected = F.col("seen") * F.lit(share)
+            distance = distance + F.pow(F.col(f"seen_{grade}") - expected, 2) / expected
+    return counted.where(distance >= settings.least_chi_square).select("feature")
+
+
 def grade_documents(
     documents: DataFrame, model: QualityModel, *, least_good: float = 0.3
 ) -> DataFrame:
@@ -226,56 +286,60 @@ def _count(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return sums[offsets[1:]] - sums[offsets[:-1]]
 
 
+def _told(
+    batches: Iterator[pa.RecordBatch], names: np.ndarray
+) -> Iterator[pa.RecordBatch]:
+    """Rows with the places among ``names`` of those of their features that are there."""
+    for batch in batches:
+        features = batch.column("features")
+        values = features.flatten().to_numpy().astype(np.int64)
+        rows = np.repeat(np.arange(len(features)), np.diff(features.offsets.to_numpy()))
+        at = np.searchsorted(names, values)
+        at[at == len(names)] = 0
+        known = names[at] == values if len(names) else np.zeros(len(values), dtype=bool)
+        bounds = np.searchsorted(rows[known], np.arange(len(features) + 1))
+        places = pa.ListArray.from_arrays(
+            pa.array(bounds, pa.int32()), pa.array(at[known], pa.int32())
+        )
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("key"), batch.column("grade"), places],
+            names=["key", "grade", "places"],
+        )
+
+
 def _fit(
-    batches: Iterator[pa.RecordBatch], settings: QualitySettings
+    batches: Iterator[pa.RecordBatch], names: np.ndarray, settings: QualitySettings
 ) -> Iterator[pa.RecordBatch]:
     """Features with weights; the thresholds come as features -1 and -2."""
-    found, given, total = [], [], 0
+    keys, grades_, sizes, places = [], [], [], []
     for batch in batches:
-        grade = batch.column("grade").to_numpy(zero_copy_only=False)
-        for low, high, data, offsets in slices(batch.column("text")):
-            rows, features = hashed_features(data, offsets, settings.bits)
-            found.append(((rows + total + low).astype(np.int32), features))
-        given.append(grade)
-        total += len(grade)
-    empty = pd.DataFrame({"feature": [], "weight": []}).astype({"feature": "int64"})
-    if total:
-        rows = np.concatenate([x for x, _ in found])
-        names, column = np.unique(
-            np.concatenate([x.astype(np.int32) for _, x in found]), return_inverse=True
-        )
-        grade = np.concatenate(given).astype(np.int64)
-        enough = chi_square(rows, column, grade, len(names)) >= settings.least_chi_square
-        used = enough[column]
+        lists = batch.column("places")
+        keys.append(batch.column("key").to_numpy())
+        grades_.append(batch.column("grade").to_numpy().astype(np.int64))
+        sizes.append(np.diff(lists.offsets.to_numpy()))
+        places.append(lists.flatten().to_numpy())
+    fitted = {"feature": [], "weight": []}
+    if keys and sum(map(len, keys)):
+        # Sums go in the order of keys, whichever task's rows came first.
+        order = np.argsort(np.concatenate(keys), kind="stable")
+        rank = np.empty(len(order), dtype=np.int32)
+        rank[order] = np.arange(len(order))
+        rows = np.repeat(rank, np.concatenate(sizes))
+        columns = np.concatenate(places)
+        by_row = np.argsort(rows, kind="stable")
         weights, bounds = fit_ordinal(
-            rows[used],
-            (np.cumsum(enough) - 1)[column[used]],
-            grade,
-            int(enough.sum()),
+            rows[by_row],
+            columns[by_row],
+            np.concatenate(grades_)[order],
+            len(names),
             settings,
         )
-        empty = pd.DataFrame(
-            {
-                "feature": np.concatenate([names[enough], [-1, -2]]),
-                "weight": np.concatenate([weights, bounds]),
-            }
-        )
-    yield pa.RecordBatch.from_pandas(empty, preserve_index=False)
-
-
-def chi_square(
-    rows: np.ndarray, columns: np.ndarray, grade: np.ndarray, width: int
-) -> np.ndarray:
-    """How far each feature's counts by grade are from independence."""
-    seen = np.bincount(columns, minlength=width).astype(float)
-    total = np.zeros(width)
-    for k in range(GRADES):
-        share = np.mean(grade == k)
-        if 0 < share < 1:
-            expected = seen * share
-            counted = np.bincount(columns[grade[rows] == k], minlength=width)
-            total += (counted - expected) ** 2 / expected
-    return total
+        fitted = {
+            "feature": np.concatenate([names, [-1, -2]]),
+            "weight": np.concatenate([weights, bounds]),
+        }
+    table = pd.DataFrame(fitted).astype({"feature": "int64", "weight": "float64"})
+    yield pa.RecordBatch.from_pandas(table, preserve_index=False)
 
 
 def fit_ordinal(

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import gc
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickbars.session import new_run_dir
 
@@ -25,6 +27,24 @@ def store(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, made longer until ``df`` has no column of it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def whole_row(df: DataFrame) -> Column:
+    """A hash of all columns that can be hashed; a null differs from any value."""
+    hashed = []
+    for field in df.schema.fields:
+        if "map<" not in field.dataType.simpleString() and field.dataType != T.VariantType():
+            column = F.col(f"`{field.name}`")
+            hashed += [column, column.isNull()]
+    return F.xxhash64(*hashed)
+
+
 def tokenizer_file(name: str) -> str:
     """The place of a public tokenizer's file, the same on driver and executors."""
     import public_tokenizers
