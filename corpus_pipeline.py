@@ -10,6 +10,7 @@ from tickbars.llm.decontaminate import keep_uncontaminated
 from tickbars.llm.mixing import mixed
 from tickbars.llm.near_text import keep_first
 from tickbars.llm.quality import fit_quality, keep_good
+from tickbars.llm.shingles import SketchSettings
 from tickbars.llm.tables import read_table, store, tokenizer_file
 from tickbars.llm.tokens import read_tokens, write_tokens
 from tickbars.session import new_run_dir
@@ -23,8 +24,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return keep_first(docs)
+    """One document of each group of near copies, by sets of five words."""
+    return keep_first(docs, SketchSettings(shingle=5))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
