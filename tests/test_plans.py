@@ -8,6 +8,7 @@ from tickbars.operators.latest import keep_last, latest_n
 from tickbars.operators.messages import for_tickers
 from tickbars.operators.rolling import RollingMean
 from tickbars.plans.queries import QUERIES
+from tickbars.session import session_conf
 from tickbars.sources.market import market_ticks
 from tickbars.streaming.jobs import open_bars
 from tickbars.streaming.serving import ENTRY, ServingTable
@@ -96,5 +97,37 @@ def test_serving_reads_push_the_key_to_the_scan(spark, tmp_path):
     assert "EqualTo(ticker,A)" in plan and "EqualTo(topic,OHLC_5M)" in plan
 
 
+def rows_scanned(frame):
+    """Rows that the frame's scans hand on; those of skipped row groups and pages are not."""
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan()
+    leaves = plan.collectLeaves()
+    counts = [leaves.apply(i).metrics().get("numOutputRows") for i in range(leaves.size())]
+    return sum(c.get().value() for c in counts if c.isDefined())
+
+
+def test_serving_reads_skip_what_cannot_hold_the_key(spark, tmp_path):
+    """A key that is not there opens no row group, an id few pages, though many are stored."""
+    entries = spark.range(60_000).select(
+        F.lit("OHLC_5M").alias("topic"),
+        F.when(F.col("id") < 20_000, "HOT").otherwise(F.concat(F.lit("T"), F.col("id"))).alias("ticker"),
+        F.lit("k").alias("key"),
+        F.col("id").alias("entry_id"),
+        F.lit("OHLC").alias("kind"),
+        *[F.lit("1.5").alias(f.name) for f in ENTRY.fields[5:]],
+    )
+    with session_conf(spark, {"spark.sql.adaptive.enabled": "false"}):
+        table = ServingTable(spark, str(tmp_path / "table"), keep=50_000)
+        table.append(entries, 0)
+        assert table.read().count() == 60_000
+        assert rows_scanned(table._newest("OHLC_5M", "T30000x", None)) == 0
+        assert rows_scanned(table._newest("OHLC_9M", "HOT", None)) == 0
+        point = table.point("HOT", 19_990)
+        assert [r.entry_id for r in point.collect()] == [19_990]
+        assert 0 < rows_scanned(point) <= 8 * 2_000
+        assert rows_scanned(table._newest("OHLC_5M", "HOT", None)) >= 20_000
+        assert table.point("HOT", 70_000).count() == 0
+
+
 def test_each_streamed_metric_has_one_aggregation(spark, ticks):
     assert plan_of(RollingMean(9).batch(Ohlc(5).batch(ticks))).count("Exchange") == 2

@@ -29,8 +29,9 @@ class Fails(TableHop):
 
     def start(self, rows, table, checkpoint, **trigger):
         def write(batch, batch_id):
-            batch.write.mode("overwrite").parquet(f"{self.root}/{table}/part={batch_id}")
+            # Before it writes: a stream may already know the files that a batch replaces.
             self._fail(table, batch_id)
+            batch.write.mode("overwrite").parquet(f"{self.root}/{table}/part={batch_id}")
 
         writer = rows.writeStream.queryName(table).option("checkpointLocation", checkpoint)
         return writer.foreachBatch(write).trigger(**trigger).start()

@@ -231,6 +231,14 @@ SELECT event_id,
        CASE WHEN event_type <> 'error' THEN date_trunc('milliseconds', ts) END AS bar_time
 FROM events"""
 
+ORACLES["served_id_range"] = f"""
+WITH {_TICKS}, {_bars(5)}, newest AS (
+    SELECT ticker, epoch_ms(snapshot_time) AS entry_id, ema_value AS ema
+    FROM ({_means(9)}) WHERE ticker = 'click'
+    ORDER BY entry_id DESC LIMIT 1000
+)
+SELECT * FROM newest WHERE entry_id BETWEEN 1704412800000 AND 1705708800000"""
+
 ORACLES["served_header"] = f"""
 SELECT * FROM ({ORACLES['latest_bar_snapshot']}) WHERE ticker = 'click'"""
 

@@ -769,6 +769,19 @@ def stream_serving(spark, sf_dir):
     )
 
 
+@query
+def served_id_range(spark, sf_dir):
+    """One ticker's means between two ids, as the serving table still has them."""
+    root = new_run_dir(spark, "serving")
+    means = RollingMean(9).batch(_bars(spark, sf_dir, 5))
+    sent = messages.to_messages(means, "OHLC_5M_EMA_9", F.unix_millis("snapshot_time"))
+    table = ServingTable(spark, f"{root}/table")
+    table.append(messages.serving_entries(sent), 0)
+    # Ids are bar ends in milliseconds: from 2024-01-05 to 2024-01-20.
+    found = table.indicator_range("click", 1704412800000, 1705708800000)
+    return _rounded(found.select("ticker", "entry_id", "ema"), "ema")
+
+
 @query
 def served_header(spark, sf_dir):
     """The header of one ticker, from what the serving table holds."""

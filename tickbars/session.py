@@ -106,6 +106,29 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(location, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, there whole or not at all; it replaces what was there."""
+    fs, beside = file_system(spark, f"{path}.beside")
+    stream = fs.create(beside, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    location = file_system(spark, path)[1]
+    fs.delete(location, False)
+    if not fs.rename(beside, location):
+        raise OSError(f"{path} could not be written")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, location = file_system(spark, path)
+    stream = fs.open(location)
+    try:
+        return bytes(spark._jvm.org.apache.hadoop.io.IOUtils.readFullyToByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     fs, location = file_system(spark, path)
     fs.mkdirs(location)

@@ -1,6 +1,7 @@
 """Rolling means on a stream: a native window per micro-batch over stored tails.
 
-Rows wait until the watermark has passed their time, then get their mean in time order,
+A micro-batch is read once, into a part of its own that the rest goes by. Rows wait until
+the watermark has passed their time, then get their mean in time order,
 whatever micro-batch they came in. The last rows of each key, and the rows that wait, are
 a small written table per batch. A batch that runs again overwrites its own parts, so it
 adds nothing twice. Rows behind the watermark are counted and left out.
@@ -8,6 +9,7 @@ adds nothing twice. Rows behind the watermark are counted and left out.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,11 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tickbars.operators.latest import latest_n
 from tickbars.operators.lookback import with_lookback
 from tickbars.operators.rolling import RollingMean
-from tickbars.session import exists, file_system, remove
-
-_META = T.StructType(
-    [T.StructField("watermark", T.LongType()), T.StructField("late", T.LongType())]
-)
+from tickbars.session import exists, file_system, read_text, remove, write_text
 
 
 class MeanTable:
@@ -60,7 +58,9 @@ class MeanTable:
         """Emit what the watermark passes with this batch; the sink of a stream."""
         spark = batch.sparkSession
         before, late = self._meta(spark, batch_id - 1)
-        rows = self._shaped(batch)
+        folder = f"{self.state}/{batch_id}"
+        self._shaped(batch).write.mode("overwrite").parquet(f"{folder}/in")
+        rows = spark.read.schema(self._row).parquet(f"{folder}/in")
         micros = F.unix_micros("time")
         behind = F.lit(False) if before is None else micros <= before
         # Two values: the newest time and the number of late rows.
@@ -77,16 +77,14 @@ class MeanTable:
         stored = self._with_means(self._tails(carried), waiting.where(passed)).unionByName(
             waiting.where(~passed).withColumn("stage", F.lit("wait")), allowMissingColumns=True
         )
-        folder = f"{self.state}/{batch_id}"
         stored.select(self._stored.names).write.mode("overwrite").parquet(f"{folder}/rows")
         self._emitted(self._read(spark, batch_id)).write.mode("overwrite").parquet(
             f"{self.path}/part={batch_id:09d}"
         )
         if self.also is not None:
             self.also(self._emitted(self._read(spark, batch_id)), batch_id)
-        spark.createDataFrame([(watermark, late + dropped)], _META).coalesce(1).write.mode(
-            "overwrite"
-        ).parquet(f"{folder}/meta")
+        remove(spark, f"{folder}/in")
+        write_text(spark, f"{folder}/meta", json.dumps([watermark, late + dropped]))
         # The batch before may still have to run again; the one before it may not.
         remove(spark, f"{self.state}/{batch_id - 2}")
 
@@ -153,13 +151,13 @@ class MeanTable:
         path = f"{self.state}/{batch_id}/meta"
         if batch_id < 0 or not exists(spark, path):
             return None, 0
-        return tuple(spark.read.schema(_META).parquet(path).first())
+        return tuple(json.loads(read_text(spark, path)))
 
     def _last(self) -> int:
         """The newest batch that was stored to its end."""
         fs, folder = file_system(self.spark, self.state)
         names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
-        whole = [n for n in names if exists(self.spark, f"{self.state}/{n}/meta/_SUCCESS")]
+        whole = [n for n in names if exists(self.spark, f"{self.state}/{n}/meta")]
         return max(map(int, whole), default=-1)
 
 
