@@ -158,19 +158,43 @@ def _signatures(documents: DataFrame, settings: SketchSettings) -> DataFrame:
 def _classes(signed: DataFrame) -> DataFrame:
     """One row per distinct set, numbered as it is written.
 
-    The first aggregation moves fixed-width rows only; the sketches follow by row key.
+    Sets that surely occur once, as a bitmap of fixed size tells, are classes where they
+    lie. Of the others, an aggregation moves fixed-width rows only; the sketches follow by
+    row key.
     """
-    least = signed.groupBy("key_1", "key_2").agg(
-        F.min("doc_id").alias("doc_id"), F.min("row_key").alias("row_key")
+    copied = store(
+        signed.groupBy("key_1", "key_2")
+        .agg(
+            F.count("*").alias("n"),
+            F.min("doc_id").alias("doc_id"),
+            F.min("row_key").alias("row_key"),
+        )
+        .where("n > 1")
+        .drop("n"),
+        "near-copied",
     )
+    shared = signed.sparkSession.sparkContext.broadcast(bitmap(copied, F.col("key_1")))
     own = signed.select(
-        "key_1", "key_2", "row_key", "n_shingles", "bands", "sampled", "whole"
-    )
-    chosen = least.join(own, ["key_1", "key_2", "row_key"])
+        "key_1", "key_2", "doc_id", "row_key", "n_shingles", "bands", "sampled", "whole",
+        *places(F.col("key_1")),
+    )
+
+    def having(wanted: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(hits(shared.value, batch) == wanted))
+
+        return own.mapInArrow(run, own.schema).drop(*[f"place_{k}" for k in range(2)])
+
+    # What the bitmap takes for a copy and is none has no partner, and stays too.
+    likely = having(True)
+    lone = likely.join(copied, ["key_1", "key_2"], "left_anti")
+    chosen = likely.drop("doc_id").join(copied, ["key_1", "key_2", "row_key"])
     repeated = signed.groupBy("row_key").count().where("count > 1").select("row_key")
     once = chosen.join(repeated, "row_key", "left_anti")
     again = chosen.join(repeated, "row_key", "left_semi").dropDuplicates(["key_1", "key_2"])
-    return once.unionByName(again).withColumn("class", F.monotonically_increasing_id())
+    found = having(False).unionByName(lone).unionByName(once).unionByName(again)
+    return found.withColumn("class", F.monotonically_increasing_id())
 
 
 def _components(
@@ -298,13 +322,20 @@ def _buckets(classes: DataFrame, limit: int) -> tuple[DataFrame, DataFrame | Non
     Buckets beyond ``limit`` are dealt to blocks of about half of it, and each block meets
     the next; they are also given whole, with ``n`` members, if there are any.
     """
-    bands = classes.select("class", F.explode("bands").alias("bucket"))
+    # Nothing but the bands themselves is moved to find those that are shared.
+    often = F.count("*").alias("n")
+    repeated = store(
+        classes.select(F.explode("bands").alias("bucket"))
+        .groupBy("bucket")
+        .agg(often)
+        .where("n > 1")
+        .select("bucket"),
+        "near-repeated",
+    )
+    bands = _in_buckets(classes, repeated)
     sized = store(
         bands.groupBy("bucket")
-        .agg(
-            F.count("*").alias("n"),
-            F.sum(F.xxhash64("class").cast("decimal(38,0)")).alias("who"),
-        )
+        .agg(often, F.sum(F.xxhash64("class").cast("decimal(38,0)")).alias("who"))
         .where("n > 1")
         .groupBy("n", "who")
         .agg(F.min("bucket").alias("bucket"))
@@ -317,7 +348,7 @@ def _buckets(classes: DataFrame, limit: int) -> tuple[DataFrame, DataFrame | Non
     large = sized.where(f"n > {limit}")
     if large.isEmpty():
         return fit, None
-    hot = store(bands.join(F.broadcast(large), "bucket"), "near-hot")
+    hot = store(bands.join(_small(large), "bucket"), "near-hot")
     blocks = _blocks("n", limit)
     at = _block(blocks)
     both = F.explode(F.array(at, F.pmod(at + 1, blocks)))
@@ -327,6 +358,16 @@ def _buckets(classes: DataFrame, limit: int) -> tuple[DataFrame, DataFrame | Non
     return fit.unionByName(store(ring, "near-ring")), hot
 
 
+#: Rows of a few numbers each that are broadcast at most.
+MOST_BROADCAST = 100_000
+
+
+def _small(table: DataFrame) -> DataFrame:
+    """``table``, which is stored, to be broadcast if it has few rows. One row per bucket
+    beyond the limit grows with the documents; then the join is a shuffle."""
+    return F.broadcast(table) if table.count() <= MOST_BROADCAST else table
+
+
 def _blocks(count: str, limit: int):
     """Number of blocks of about half of ``limit`` for ``count`` members."""
     return F.ceil(F.col(count) * 2 / F.lit(limit))
@@ -363,7 +404,7 @@ def _rest(hot: DataFrame, found: DataFrame, limit: int) -> DataFrame:
         .where("left > 0"),
         "near-most",
     )
-    own = own.join(F.broadcast(most), "bucket")
+    own = own.join(_small(most), "bucket")
     # Blocks of all members down, blocks of the rest across.
     down, across = _blocks("n", limit), _blocks("left", limit)
     all_members = own.select(
