@@ -21,8 +21,8 @@ documents share is one row a task.
 Null and short texts keep all bytes. Documents are ordered by id, null last; rows that
 repeat an id by a hash of their text. Equal rows are copies, of which the first keeps
 what is first. An empty table gives an empty table. Texts may be of any length: they are
-read in pieces. Other columns are not read. Names are 64-bit hashes, two of them where
-stretches are compared, and one beside the anchor's for single strings.
+read in pieces. Other columns are not read. Names are hashes: 48 bits
+of an anchor, and for what is removed 112 of a stretch and 96 of a single string.
 """
 
 from __future__ import annotations
@@ -107,6 +107,22 @@ class _Keyed:
         return self.map(lambda batches: run(chosen(batches)), schema)
 
 
+#: An anchor's name has 48 bits: two different ones of the same name are only compared
+#: string by string, as two stretches of one anchor are.
+_ANCHOR = U64(0xFFFFFFFFFFFF)
+
+
+def packed(kind: np.ndarray | int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Kind, start and length in one number that sorts by start: what is moved is less."""
+    return start << 32 | (end - start) << 2 | kind
+
+
+def unpacked(spot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(kind, start, end) of ``packed``."""
+    start = spot >> 32
+    return spot & 3, start, start + ((spot & 0xFFFFFFFF) >> 2)
+
+
 def pieces(column: pa.Array, threshold: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
     """(first row, bytes, offsets, place of the bytes in their row) in bounded parts.
 
@@ -152,7 +168,7 @@ def anchored(
         "row": np.searchsorted(offsets, start, side="right") - 1,
         "start": start,
         "last": last,
-        "anchor": names[at],
+        "anchor": names[at] & _ANCHOR,
         "stretch": mix(stretch),
     }
 
@@ -160,7 +176,7 @@ def anchored(
 class _Sender:
     """Gathers stretches of a task and gives rows without those it has seen before."""
 
-    columns = ("kind", "anchor", "stretch", "doc_id", "tie", "start", "end")
+    columns = ("anchor", "stretch", "doc_id", "tie", "spot")
 
     def __init__(self, threshold: int) -> None:
         self.threshold = threshold
@@ -201,14 +217,16 @@ class _Sender:
     def _rows(self, kind: int, x: dict[str, np.ndarray]) -> pa.RecordBatch:
         n = len(x["start"])
         # Rows that only pass by are dealt evenly.
-        route = x["anchor"] if kind in (1, 3) else mix(x["start"].astype(U64) + x["anchor"])
+        route = x["anchor"]
+        if kind in (0, 2):
+            route = mix(x["start"].astype(U64) + x["anchor"]) & _ANCHOR
+        stretch = x["stretch"] if kind in (1, 3) else np.zeros(n, dtype=U64)
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(np.full(n, kind, dtype=np.int8)),
                 pa.array(route.view(np.int64)),
-                pa.array(x["stretch"].view(np.int64)),
+                pa.array(stretch.view(np.int64)),
                 *(pa.array(x[k]) for k in ("doc_id", "tie")),
-                *(pa.array(x[k].astype(np.int32)) for k in ("start", "end")),
+                pa.array(packed(kind, x["start"], x["end"])),
             ],
             names=list(self.columns),
         )
@@ -262,7 +280,7 @@ def _stretches(keyed: _Keyed, threshold: int) -> DataFrame:
         # another stretch with its anchor.
         anchor = stretch = place = waiting = None
         for batch in batches:
-            kind = batch.column("kind").to_numpy()
+            kind = unpacked(batch.column("spot").to_numpy())[0]
             passing = (kind == 0) | (kind == 2)
             yield _spans(batch, np.flatnonzero(passing), kind[passing])
             batch = batch.filter(pa.array(~passing))
@@ -270,7 +288,7 @@ def _stretches(keyed: _Keyed, threshold: int) -> DataFrame:
             if not n:
                 continue
             a, s = batch.column("anchor").to_numpy(), batch.column("stretch").to_numpy()
-            marker = batch.column("kind").to_numpy() == 3
+            marker = kind[~passing] == 3
             new_anchor, new = _changes(a), _changes(a) | _changes(s)
             new_anchor[0] = a[0] != anchor
             new[0] = new_anchor[0] or s[0] != stretch
@@ -283,7 +301,9 @@ def _stretches(keyed: _Keyed, threshold: int) -> DataFrame:
                 seen[0] += 1 if waiting is not None else 2
             many = ((seen > 1) | flagged)[group]
             lead = np.maximum.accumulate(np.where(new, np.arange(n), -1))
-            at = np.stack([batch.column(c).to_numpy() for c in ("doc_id", "tie", "start")])
+            # A marker stands at the place of one of the anchor's stretches.
+            at = np.stack([batch.column(c).to_numpy() for c in ("doc_id", "tie", "spot")])
+            at[2] >>= 2
             own = np.where(lead >= 0, (at == at[:, np.maximum(lead, 0)]).all(axis=0), False)
             if place is not None:
                 own |= (lead < 0) & (at == place[:, None]).all(axis=0)
@@ -307,22 +327,21 @@ def _stretches(keyed: _Keyed, threshold: int) -> DataFrame:
             anchor, stretch = a[-1], s[-1]
 
     return (
-        keyed.map(
-            send,
-            "kind byte, anchor long, stretch long, doc_id long, tie long, start int, end int",
-        )
+        keyed.map(send, "anchor long, stretch long, doc_id long, tie long, spot long")
         .repartition("anchor")
-        .sortWithinPartitions("anchor", "stretch", "doc_id", "tie", "start")
+        .sortWithinPartitions("anchor", "stretch", "doc_id", "tie", "spot")
         .mapInArrow(judge, "kind byte, doc_id long, tie long, start int, end int")
     )
 
 
 def _spans(batch: pa.RecordBatch, rows: np.ndarray, kind: np.ndarray) -> pa.RecordBatch:
     chosen = batch.take(pa.array(rows, pa.int64()))
+    _, start, end = unpacked(chosen.column("spot").to_numpy())
     return pa.RecordBatch.from_arrays(
         [
             pa.array(kind.astype(np.int8)),
-            *(chosen.column(c) for c in ("doc_id", "tie", "start", "end")),
+            *(chosen.column(c) for c in ("doc_id", "tie")),
+            *(pa.array(x.astype(np.int32)) for x in (start, end)),
         ],
         names=["kind", "doc_id", "tie", "start", "end"],
     )
@@ -374,7 +393,7 @@ def _strings(keyed: _Keyed, stretches: DataFrame, threshold: int) -> DataFrame:
                 parts.append(
                     {
                         # The doubled name: the first half's and, beside it, the whole's.
-                        "left": rolling.of(start, start + threshold // 2),
+                        "left": rolling.of(start, start + threshold // 2) >> U64(32),
                         "name": rolling.of(start, start + threshold),
                         "doc_id": ids[low + row],
                         "tie": ties[low + row],
@@ -394,9 +413,10 @@ def _strings(keyed: _Keyed, stretches: DataFrame, threshold: int) -> DataFrame:
             n = batch.num_rows
             if not n:
                 continue
-            removed = batch.column("removed").to_numpy(zero_copy_only=False)
+            kind, start, end = unpacked(batch.column("spot").to_numpy())
+            removed = kind == 0
             names = np.stack([batch.column(c).to_numpy() for c in ("name", "left")])
-            at = np.stack([batch.column(c).to_numpy() for c in ("doc_id", "tie", "start")])
+            at = np.stack([*(batch.column(c).to_numpy() for c in ("doc_id", "tie")), start])
             plain = np.flatnonzero(~removed)
             out = [np.flatnonzero(removed)]
             if len(plain):
@@ -410,11 +430,14 @@ def _strings(keyed: _Keyed, stretches: DataFrame, threshold: int) -> DataFrame:
                 later = (at != at[:, lead]).any(axis=0)
                 last = names[:, lead[-1] :][:, :1], at[:, lead[-1] :][:, :1]
                 out.append(plain[later[len(later) - len(plain) :]])
-            found = batch.take(pa.array(np.concatenate(out)))
-            x = {c: found.column(c).to_numpy() for c in ("doc_id", "tie", "start", "end")}
-            x = merged(x)
+            found = np.concatenate(out)
+            x = {c: batch.column(c).to_numpy()[found] for c in ("doc_id", "tie")}
+            x = merged(x | {"start": start[found], "end": end[found]})
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x[c]) for c in ("doc_id", "tie", "start", "end")],
+                [
+                    *(pa.array(x[c]) for c in ("doc_id", "tie")),
+                    *(pa.array(x[c].astype(np.int32)) for c in ("start", "end")),
+                ],
                 names=["doc_id", "tie", "start", "end"],
             )
 
@@ -422,12 +445,9 @@ def _strings(keyed: _Keyed, stretches: DataFrame, threshold: int) -> DataFrame:
     return (
         keyed.having(stretches.select("doc_id"), _texts, "doc_id long, tie long, text string")
         .join(gathered, ["doc_id", "tie"])
-        .mapInArrow(
-            send,
-            "name long, left long, doc_id long, tie long, start int, end int, removed boolean",
-        )
+        .mapInArrow(send, "name long, left int, doc_id long, tie long, spot long")
         .repartition("name", "left")
-        .sortWithinPartitions("name", "left", "doc_id", "tie", "start")
+        .sortWithinPartitions("name", "left", "doc_id", "tie", "spot")
         .mapInArrow(judge, "doc_id long, tie long, start int, end int")
     )
 
@@ -445,23 +465,21 @@ def _sent(parts: list[dict[str, np.ndarray]], threshold: int) -> Iterator[pa.Rec
         | (x["tie"] != x["tie"][lead])
         | (x["start"] != x["start"][lead])
     )
-    yield _named(merged({k: v[later] for k, v in x.items()}), removed=True)
-    yield _named({k: v[new] for k, v in x.items()}, removed=False)
+    yield _named(merged({k: v[later] for k, v in x.items()}), kind=0)
+    yield _named({k: v[new] for k, v in x.items()}, kind=1)
 
 
-def _named(x: dict[str, np.ndarray], *, removed: bool) -> pa.RecordBatch:
-    n = len(x["start"])
+def _named(x: dict[str, np.ndarray], *, kind: int) -> pa.RecordBatch:
+    """Rows of removed spans (0) or of strings to compare (1)."""
     return pa.RecordBatch.from_arrays(
         [
             pa.array(x["name"].view(np.int64)),
-            pa.array(x["left"].view(np.int64)),
+            pa.array(x["left"].astype(np.uint32).view(np.int32)),
             pa.array(x["doc_id"]),
             pa.array(x["tie"]),
-            pa.array(x["start"].astype(np.int32)),
-            pa.array(x["end"].astype(np.int32)),
-            pa.array(np.full(n, removed)),
+            pa.array(packed(kind, x["start"], x["end"])),
         ],
-        names=["name", "left", "doc_id", "tie", "start", "end", "removed"],
+        names=["name", "left", "doc_id", "tie", "spot"],
     )
 
 
