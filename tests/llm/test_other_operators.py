@@ -373,6 +373,57 @@ def test_a_label_reaches_repeats_at_any_distance():
         assert (pii.marginals(fields, weights, settings)[:61] == p).all()
 
 
+def test_cards_and_phones_are_found_in_other_spellings(spark):
+    """No sample document has a repeat; later ones spell a number in ways of their own."""
+    rng = random.Random(8)
+
+    def card():
+        while True:
+            digits = "".join(rng.choice("0123456789") for _ in range(16))
+            if pii._is_card(digits):
+                return digits
+
+    plain, spelled = [], []
+    for i in range(200):
+        number, phone = card(), f"1{rng.randint(200, 999)}555{rng.randint(1000, 9999)}"
+        four = [number[k : k + 4] for k in range(0, 16, 4)]
+        called = f"+{phone[0]} ({phone[1:4]}) {phone[4:7]}-{phone[7:]}"
+        text = f"paid {i} times with {' '.join(four)} then rang {called} in room {i + 7} of {i * 31}"
+        plain.append((i, text))
+        if i < 40:
+            long = "z9" * 50 + number
+            again = f"{text} and {'.'.join(four)} or {'/'.join(four)} , {phone} ; {'. '.join(four)} {long}"
+            spelled.append((1000 + i, again))
+    weights = pii.fit_field(spark.createDataFrame(plain, "doc_id long, text string"))
+    assert (np.diag(weights.skip)[[3, 4]] > 0.5).all()
+    df = spark.createDataFrame(plain + spelled, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.find_personal_data(df, weights).collect()}
+    for i, text in plain:
+        assert got[i] == ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in pattern_spans(text))
+    added = 0
+    for i, text in spelled:
+        base = {f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in pattern_spans(text)}
+        found = set(got[i].split(","))
+        assert base <= found
+        more = {text[int(x.split(":")[1]) : int(x.split(":")[2])] for x in found - base}
+        added += len(more)
+        assert all(pii._digits(x) for x in more)
+    # Dotted, slashed and spelled out, and the phone: at least three of them a text.
+    assert added >= 3 * len(spelled)
+
+
+def test_numbers_of_several_words_share_a_key():
+    fields = pii.Fields()
+    text = "4465 7583 8288 9437 x 7 4465 7583 8288 9437 1 y 4465-7583-8288-9437z"
+    fields.add(0, text, [(0, 2, 19)], 64)
+    assert [text[a:b] for a, b in zip(fields.start, fields.end)][:4] == text.split()[:4]
+    # The first four words, the four within the longer run, and the one word.
+    assert {(0, 5), (1, 6), (2, 7), (3, 8)} <= set(fields.skip)
+    assert {(5, 10), (6, 10), (7, 10), (8, 10)} <= set(fields.skip)
+    assert not any(4 in x or 9 in x for x in fields.skip)
+    assert pii._shapes("a" * 500 + "1")[0].endswith("9" + "1,") and len(pii._shapes("a1" * 300)[1]) == 600
+
+
 def test_messages_go_on_until_they_rest():
     settings = pii.FieldSettings()
     words = np.zeros((settings.buckets, pii.LABELS))

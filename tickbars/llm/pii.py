@@ -3,13 +3,17 @@
 Patterns find emails, ip addresses, card and phone numbers. They label the nodes of a
 field over each document's words that have a digit or an at sign. Neighbouring words
 share a chain potential; words with the same digits or the same address, however far
-apart, share a skip potential. Weights come from the patterns' own labels, by
-pseudo-likelihood on a bounded sample of documents. Loopy message passing then spreads
+apart, share a skip potential, and so do words that only together have the digits, such as
+the four of a card. Weights come from the patterns' own labels, by pseudo-likelihood on a
+bounded sample of documents, in which every labelled word also stands beside a twin of
+which only the label is seen: samples need hold no repeats for the skip potential to be
+fitted. Loopy message passing then spreads
 the patterns' labels, which stay fixed, over the document until its messages come to
 rest. A repeat is also joined to the labelled words of its key directly, so that neither
 its distance in the document nor the number of repeats between counts. A number that a
 pattern finds in one place and not, for its spelling, in another is added there where the
-fitted weights make it sure; a sample without repeats gives the skip potential no weight.
+fitted weights make it sure. Messages take as many rounds as a document needs to rest, at
+most its words and a thousand; one that never rests costs its edges as often.
 
 Every document is searched over its whole text; null is empty. Rows are searched one by
 one, so null or repeated ids and extra columns change nothing. An empty table, or one
@@ -46,6 +50,13 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _WORD = re.compile(r"\S+")
 _TELLING = re.compile(r"[0-9@]")
+#: A word of digits and marks.
+_NUMBER = re.compile(r"[\W\d_]+")
+#: Numbers of fewer digits repeat by chance; longer ones, or of more words, are no number
+#: that the patterns know.
+LEAST_DIGITS = 6
+MOST_DIGITS = 19
+MOST_WORDS = 10
 _EDGES = "\"'`.,;:!?%*&$#|<>[]{}=_~^/\\"
 
 
@@ -128,11 +139,25 @@ class Fields:
     #: messages take the skip potential along them; weights are fitted without them.
     told: list[tuple[int, int]] = field(default_factory=list)
 
-    def add(self, row: int, text: str, spans: list[tuple[int, int, int]], buckets: int) -> None:
+    def add(
+        self,
+        row: int,
+        text: str,
+        spans: list[tuple[int, int, int]],
+        buckets: int,
+        *,
+        twins: bool = False,
+    ) -> None:
+        """The field of one text. ``twins``: labelled words also get a repeat of which
+        nothing but its label is known, so that a fit sees what repeats are like."""
         before = None
         k = 0
         previous, place = "", -2
-        same: dict[str, list[int]] = {}
+        begin = len(self.row)
+        keyed: list[tuple[str, list[int]]] = []
+        #: Neighbouring words of digits and marks, each with its digits.
+        runs: list[list[tuple[int, str]]] = []
+        inside: dict[int, list[int]] = {}
         for number, m in enumerate(_WORD.finditer(text)):
             word = m.group()
             if not _TELLING.search(word):
@@ -145,11 +170,11 @@ class Fields:
             while k < len(spans) and spans[k][2] <= low:
                 k += 1
             label = 0
-            for span in spans[k : k + len(KINDS)]:
-                if span[0] < high and span[2] > low:
-                    label = span[1] + 1
-                    break
             node = len(self.row)
+            for at in range(k, min(k + len(KINDS), len(spans))):
+                if spans[at][0] < high and spans[at][2] > low:
+                    label = label or spans[at][1] + 1
+                    inside.setdefault(at, []).append(node)
             self.row.append(row)
             self.start.append(low)
             self.end.append(high)
@@ -162,24 +187,58 @@ class Fields:
             if next_to and before is not None:
                 self.chain.append((before, node))
                 self.features[before] += _hashed((f"n{rough}",), buckets)
+            if _NUMBER.fullmatch(core):
+                if not runs or not next_to or runs[-1][-1][0] != node - 1:
+                    runs.append([])
+                runs[-1].append((node, _digits(core)))
             before, place, previous = node, number, rough
             key = _skip_key(core)
             if key:
-                same.setdefault(key, []).append(node)
-        for nodes in same.values():
-            self._join(nodes)
-
-    def _join(self, nodes: list[int]) -> None:
-        """Skip edges between consecutive words of a key, and told ones to the others."""
-        self.skip += zip(nodes[:-1], nodes[1:], strict=True)
-        first: dict[int, int] = {}
-        for node in nodes:
+                keyed.append((key, [node]))
+        for at, nodes in inside.items():
+            if spans[at][1]:
+                keyed.append((_digits(text[spans[at][0] : spans[at][2]]), nodes))
+        keyed += _written_out(runs, {d for d, _ in keyed})
+        same: dict[str, list[list[int]]] = {}
+        for key, nodes in sorted(keyed, key=lambda x: x[1]):
+            groups = same.setdefault(key, [])
+            long = "@" in key or len(key) >= LEAST_DIGITS
+            if long and (not groups or groups[-1] != nodes):
+                groups.append(nodes)
+        for groups in same.values():
+            self._join(groups)
+        for node in range(begin, len(self.row)) if twins else ():
             if self.label[node]:
-                first.setdefault(self.label[node], node)
-        for at, node in enumerate(nodes if first else ()):
-            if not self.label[node]:
-                beside = {self.label[x] for x in nodes[max(at - 1, 0) : at + 2]}
-                self.told += [(x, node) for label, x in first.items() if label not in beside]
+                self.skip.append((node, len(self.row)))
+                for values, value in (
+                    (self.row, row), (self.start, 0), (self.end, 0), (self.label, self.label[node]),
+                    (self.features, _hashed(("1",), buckets)),
+                ):
+                    values.append(value)
+
+    def _join(self, groups: list[list[int]]) -> None:
+        """Skip edges between consecutive occurrences of a key, each of one or more words,
+        and told ones to those that are far from a labelled one."""
+        for a, b in zip(groups[:-1], groups[1:], strict=True):
+            pairs = [
+                (a[min(i, len(a) - 1)], b[min(i, len(b) - 1)]) for i in range(max(len(a), len(b)))
+            ]
+            self.skip += [x for x in pairs if x[0] != x[1]]
+        labels = [{self.label[x] for x in nodes} - {0} for nodes in groups]
+        first: dict[int, int] = {}
+        for nodes in groups:
+            for node in nodes:
+                if self.label[node]:
+                    first.setdefault(self.label[node], node)
+        for at, nodes in enumerate(groups if first else ()):
+            if not labels[at]:
+                beside = set().union(*labels[max(at - 1, 0) : at + 2])
+                self.told += [
+                    (x, node)
+                    for label, x in first.items()
+                    if label not in beside
+                    for node in nodes
+                ]
 
     def arrays(self):
         sizes = [len(x) for x in self.features]
@@ -194,7 +253,7 @@ def _shapes(core: str) -> tuple[str, str]:
     """The word with letters as a and digits counted, and without the counts."""
     runs = [
         ("9" if m.group()[0].isdigit() else "a" if m.group()[0].isalpha() else m.group(), len(m.group()))
-        for m in re.finditer(r"[0-9]+|[^\W\d_]+|.", core[:80], re.S)
+        for m in re.finditer(r"[0-9]+|[^\W\d_]+|.", core, re.S)
     ]
     exact = "".join(f"9{n}," if c == "9" else c for c, n in runs)
     return exact, "".join(c for c, _ in runs)
@@ -204,8 +263,31 @@ def _skip_key(core: str) -> str:
     """What words that stand for the same thing have in common."""
     if "@" in core:
         return core.lower()
-    digits = "".join(c for c in core if "0" <= c <= "9")
-    return digits if len(digits) >= 6 else ""
+    digits = _digits(core)
+    return digits if len(digits) >= LEAST_DIGITS else ""
+
+
+def _digits(text: str) -> str:
+    return "".join(c for c in text if "0" <= c <= "9")
+
+
+def _written_out(
+    runs: list[list[tuple[int, str]]], known: set[str]
+) -> list[tuple[str, list[int]]]:
+    """Numbers of several words: whole runs, and parts of runs that are ``known``."""
+    found = []
+    for run in runs:
+        if len(run) > 1:
+            found.append(("".join(d for _, d in run), [node for node, _ in run]))
+        for first in range(len(run) - 1):
+            digits = run[first][1]
+            for last in range(first + 1, min(first + MOST_WORDS, len(run))):
+                digits += run[last][1]
+                if len(digits) > MOST_DIGITS:
+                    break
+                if digits in known and last - first + 1 < len(run):
+                    found.append((digits, [node for node, _ in run[first : last + 1]]))
+    return found
 
 
 def _hashed(names: tuple[str, ...], buckets: int) -> list[int]:
@@ -228,7 +310,7 @@ def fit_field(documents: DataFrame, settings: FieldSettings = FieldSettings()) -
         fields = Fields()
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                fields.add(0, text, base_spans(text), settings.buckets)
+                fields.add(0, text, base_spans(text), settings.buckets, twins=True)
         weights = fit_weights(fields, settings)
         yield pa.RecordBatch.from_arrays(
             [pa.array([x.tobytes()]) for x in (weights.words, weights.chain, weights.skip)],
