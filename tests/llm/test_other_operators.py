@@ -18,7 +18,12 @@ from tickbars.llm import mixing, pii, queries, url_rules
 from tickbars.llm.hnsw import Graph
 from tickbars.llm.decontaminate import keep_uncontaminated
 from tickbars.llm.near_text import keep_first
-from tickbars.llm.near_vectors import VectorSettings, vector_components
+from tickbars.llm.near_vectors import (
+    VectorSettings,
+    _found,
+    audited_beam,
+    vector_components,
+)
 from tickbars.llm.quality import (
     QualitySettings,
     _features,
@@ -78,6 +83,30 @@ def test_vectors_equal_brute_force(spark):
     assert sorted(tuple(r) for r in got) == linked(rows)
 
 
+def test_audits_say_something_where_links_are_few():
+    """A thousand queries of which none that the task compares has a link."""
+    rng = np.random.default_rng(5)
+    rows = rng.normal(size=(4000, 24))
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    near = rows[:1000] + rng.normal(size=(1000, 24)) * 0.05
+    near[::10] = rng.normal(size=(100, 24))
+    near /= np.linalg.norm(near, axis=1, keepdims=True)
+    settings = VectorSettings(audit=96)
+    graph = Graph(rows, settings.graph)
+    assert audited_beam(graph, rows, settings) <= settings.widest
+    like = near @ rows.T
+    want = set(zip(*(x.tolist() for x in np.nonzero(like >= settings.cosine))))
+    have = set(zip(*(x.tolist() for x in _found(graph, rows, near, settings))))
+    assert have <= want and len(have) >= 0.99 * len(want) > 800
+    # A graph without neighbours finds nothing, which made-up links tell.
+    none = [np.full((len(rows), 2), -1, np.int32)]
+    broken = Graph.restored(rows, [len(rows)], none, settings.graph)
+    assert audited_beam(broken, rows, settings) > settings.widest
+    assert set(zip(*(x.tolist() for x in _found(broken, rows, near, settings)))) == want
+    one = np.ones((5, 1))
+    assert audited_beam(Graph(one, settings.graph), one, settings) == settings.beam
+
+
 def test_no_vectors(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert vector_components(empty).count() == 0

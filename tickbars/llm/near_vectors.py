@@ -2,9 +2,11 @@
 
 Vectors are dealt to shards of bounded size, each with its own graph. Every vector is a
 query to every shard, in blocks; a shard's graph goes to as many tasks as there are
-blocks. A query's beam widens while its last result is still a link. Each task compares
-some of its queries with its whole shard, and widens all beams until the audit finds the
-links that the comparison has. Queries for which the widest beam won't do, such as those
+blocks. A query's beam widens while its last result is still a link. Each task audits its
+beams twice and widens all of them until both audits pass: with queries made up to have
+one link just at the bound, to rows drawn from the shard, so that there is something to
+find also where links are few; and with some of its own queries, which are compared with
+the whole shard. Queries for which the widest beam won't do, such as those
 inside a large group of near copies, are compared with all rows of the shard instead.
 Links are confirmed by the cosine in double precision.
 
@@ -35,13 +37,15 @@ from tickbars.llm.tables import store
 @dataclass(frozen=True)
 class VectorSettings:
     """``shard``: rows of a graph at most, about. ``shards``: graphs at least.
-    ``block``: queries of a task, about. ``audit``: queries of a task that are compared
-    with the whole shard, of whose links ``recall`` must be found."""
+    ``block``: queries of a task, about. ``audit``: made-up links of a task, and queries
+    of it that are compared with the whole shard; ``recall`` of both kinds of links must
+    be found. A vector is sent to every shard and a graph to every block, so both are as
+    large as tasks allow."""
 
     cosine: float = 0.9
-    shard: int = 16_384
+    shard: int = 32_768
     shards: int = 6
-    block: int = 4_096
+    block: int = 16_384
     beam: int = 16
     widest: int = 256
     audit: int = 96
@@ -213,7 +217,7 @@ def _found(
     audited = np.arange(len(queries))[:: max(1, len(queries) // settings.audit)]
     true = _compared(index, vectors, queries, audited, settings)
     wanted = set(zip(*(x.tolist() for x in true), strict=True))
-    beam = settings.beam
+    beam = audited_beam(index, vectors, settings)
     while beam <= settings.widest:
         found = _widened(index, vectors, queries, beam, settings)
         have = set(zip(*(x.tolist() for x in found), strict=True)) & wanted
@@ -223,6 +227,32 @@ def _found(
     return _compared(index, vectors, queries, np.arange(len(queries)), settings)
 
 
+def audited_beam(index: Graph, vectors: np.ndarray, settings: VectorSettings) -> int:
+    """The least beam that finds made-up links; more than ``widest`` if none does.
+
+    A link's query is a drawn row, turned away from it by the angle of the bound in a
+    random direction. Where near copies of the row fill the beam, it counts as found: such
+    a beam is widened anyway.
+    """
+    rng = np.random.default_rng(len(vectors))
+    rows = rng.choice(len(vectors), min(settings.audit, len(vectors)), replace=False)
+    own = vectors[rows]
+    away = rng.normal(size=own.shape)
+    away -= (away * own).sum(axis=1, keepdims=True) * own
+    lengths = np.linalg.norm(away, axis=1, keepdims=True)
+    # In one dimension there is no way to turn.
+    away = np.divide(away, lengths, out=np.zeros_like(away), where=lengths > 1e-9)
+    queries = settings.cosine * own + np.sqrt(1 - settings.cosine**2) * away
+    beam = settings.beam
+    while beam <= settings.widest:
+        found, like = index.search(queries, beam)
+        hit = (found == rows[:, None]).any(axis=1) | (like[:, -1] >= settings.cosine - 1e-5)
+        if hit.mean() >= settings.recall:
+            return beam
+        beam *= 2
+    return beam
+
+
 def _widened(
     index: Graph, vectors: np.ndarray, queries: np.ndarray, beam: int, settings: VectorSettings
 ) -> tuple[np.ndarray, np.ndarray]:
