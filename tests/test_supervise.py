@@ -7,6 +7,7 @@ from test_streaming import random_ticks, rows_of, ticks
 from tickbars.operators.bars import Ohlc
 from tickbars.operators.rolling import RollingMean
 from tickbars.schemas import BAR, TICK
+from tickbars.session import make_folder
 from tickbars.streaming.hops import TableHop
 from tickbars.streaming.jobs import land
 from tickbars.streaming.means import MeanTable
@@ -31,11 +32,16 @@ class Fails(TableHop):
         def write(batch, batch_id):
             # Before it writes: a stream may already know the files that a batch replaces.
             self._fail(table, batch_id)
-            batch.write.mode("overwrite").parquet(f"{self.root}/{table}/part={batch_id}")
+            batch.write.mode("overwrite").parquet(f"{self.root}/{table}/batch-{batch_id}")
 
         writer = rows.writeStream.queryName(table).option("checkpointLocation", checkpoint)
         return writer.foreachBatch(write).trigger(**trigger).start()
 
+    def stream(self, table, schema):
+        make_folder(self.spark, f"{self.root}/{table}")
+        reader = self.spark.readStream.schema(schema).option("recursiveFileLookup", True)
+        return reader.parquet(f"{self.root}/{table}")
+
     def append(self, table):
         return lambda rows, batch_id: self._fail(table, batch_id)
 
@@ -69,7 +75,8 @@ def test_a_failed_metric_goes_on_where_it_stopped(spark, tmp_path, table, times)
     for minutes in (5, 60):
         batch = Ohlc(minutes).batch(frame)
         closed = batch.filter(F.unix_seconds("window_end") <= newest - 2)
-        stored = spark.read.schema(BAR).parquet(f"{root}/OHLC_{minutes}M")
+        stored = spark.read.schema(BAR).option("recursiveFileLookup", True)
+        stored = stored.parquet(f"{root}/OHLC_{minutes}M")
         assert rows_of(stored, *BAR.names) == rows_of(closed, *BAR.names)
         if minutes == 5:
             want = RollingMean(3).batch(closed).withColumn("ema_value", F.round("ema_value", 8))
