@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,7 @@ import brute
 from tickbars.llm import near_text, repeats
 from tickbars.llm.components import components
 from tickbars.llm.decontaminate import contamination, keep_uncontaminated
-from tickbars.llm.lattice_lm import Lattice, _packed, _unpacked, score_documents
+from tickbars.llm.lattice_lm import Lattice, _bag_sums, _packed, _unpacked, score_documents
 from tickbars.llm.near_text import keep_first, near_components
 from tickbars.llm.shingles import SketchSettings
 from tickbars.llm.tables import tokenizer_file
@@ -300,6 +301,26 @@ def test_packed_numbers_round_trip():
     assert list(zip(row.tolist(), got.tolist())) == want
 
 
+def test_a_slices_bags_take_little_memory():
+    """A worker holds the numbers of a slice, not several wide arrays beside them."""
+    rng = np.random.default_rng(3)
+    bounds = np.append(0, np.cumsum(rng.integers(0, 900, 4000)))
+    numbers = rng.integers(0, 200_000, bounds[-1]).astype(np.int32)
+    value = rng.random(200_000)
+    tracemalloc.start()
+    packed = _packed(numbers, bounds)
+    held = sum(map(len, packed))
+    assert tracemalloc.get_traced_memory()[1] < 8 * held
+    tracemalloc.reset_peak()
+    before = tracemalloc.get_traced_memory()[0]
+    total, known = _bag_sums(packed, (value, value > 0.5))
+    assert tracemalloc.get_traced_memory()[1] - before < 8 * held
+    tracemalloc.stop()
+    row = np.repeat(np.arange(4000), np.diff(bounds))
+    assert total == pytest.approx(np.bincount(row, value[numbers], minlength=4000))
+    assert known.tolist() == np.bincount(row, value[numbers] > 0.5, minlength=4000).tolist()
+
+
 def test_scores_of_documents(spark):
     rows = made_up(4, 60)
     path = tokenizer_file("piece_bpe_32k.model")

@@ -34,6 +34,8 @@ from tickbars.llm.textbytes import _LOWER, NOT_SPACE, slices, words
 
 #: Bytes of text whose words are numbered together.
 SLICE = 12 << 20
+#: About as many words of a slice are packed or added up at once.
+PART = 1 << 17
 SMOOTHING = 0.5
 _START = "▁"
 
@@ -81,23 +83,25 @@ def _sliced(documents: DataFrame) -> DataFrame:
                 part = batch.slice(low, high - low)
                 held_out = part.column("held_out").to_numpy(zero_copy_only=False)
                 found = words(data, offsets, NOT_SPACE)
-                _, first, local = np.unique(
-                    found.hash, return_index=True, return_inverse=True
-                )
+                start, end, bounds, hashes = found.start, found.end, found.bounds, found.hash
+                del found
+                _, first, local = np.unique(hashes, return_index=True, return_inverse=True)
+                start, end = start[first], end[first]
+                del hashes
                 # Frequent words get low numbers, which take fewer bytes.
                 order = np.argsort(-np.bincount(local, minlength=len(first)), kind="stable")
-                rank = np.empty_like(order)
+                rank = np.empty(len(order), dtype=np.int32)
                 rank[order] = np.arange(len(order))
-                local, first = rank[local], first[order]
-                train = ~held_out[found.row]
+                local, start, end = rank[local], start[order], end[order]
+                train = np.repeat(~held_out, np.diff(bounds))
                 counts = np.bincount(local[train], minlength=len(first))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(high - low, number)),
                         part.column("doc_id"),
                         part.column("held_out"),
-                        pa.array(np.diff(found.bounds)),
-                        pa.array(_packed(local, found.bounds), pa.binary()),
+                        pa.array(np.diff(bounds)),
+                        pa.array(_packed(local, bounds), pa.binary()),
                         pa.nulls(high - low, pa.list_(pa.string())),
                         pa.nulls(high - low, pa.list_(pa.int64())),
                     ],
@@ -110,7 +114,7 @@ def _sliced(documents: DataFrame) -> DataFrame:
                         pa.nulls(1, pa.bool_()),
                         pa.nulls(1, pa.int64()),
                         pa.nulls(1, pa.binary()),
-                        _as_list(_cut(_LOWER[data], found.start[first], found.end[first])),
+                        _as_list(_cut(data, start, end)),
                         _as_list(pa.array(counts)),
                     ],
                     names=names,
@@ -129,18 +133,40 @@ def _as_list(values: pa.Array) -> pa.ListArray:
 
 
 def _cut(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
-    """The strings ``data[start:end]``."""
+    """The strings ``data[start:end]`` in lower case."""
     sizes = end - start
     bounds = np.zeros(len(sizes) + 1, dtype=np.int32)
     np.cumsum(sizes, out=bounds[1:])
-    at = np.arange(bounds[-1]) + np.repeat(start - bounds[:-1], sizes)
-    return pa.StringArray.from_buffers(
-        len(sizes), pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data[at]))
-    )
+    found = np.empty(bounds[-1], dtype=np.uint8)
+    for low, high in _parts(bounds):
+        part = bounds[low : high + 1]
+        at = np.arange(part[0], part[-1]) + np.repeat(
+            start[low:high] - part[:-1], sizes[low:high]
+        )
+        found[part[0] : part[-1]] = _LOWER[data[at]]
+    return pa.StringArray.from_buffers(len(sizes), pa.py_buffer(bounds), pa.py_buffer(found))
+
+
+def _parts(bounds: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(first row, end row) of runs of rows that hold about ``PART`` items."""
+    low, n = 0, len(bounds) - 1
+    while low < n:
+        high = int(np.searchsorted(bounds, bounds[low] + PART, side="right")) - 1
+        high = min(max(high, low + 1), n)
+        yield low, high
+        low = high
 
 
 def _packed(numbers: np.ndarray, bounds: np.ndarray) -> list[bytes]:
     """Each row's numbers in ascending order, as steps of seven bits a byte."""
+    found: list[bytes] = []
+    for low, high in _parts(bounds):
+        part = bounds[low : high + 1]
+        found += _packed_part(numbers[part[0] : part[-1]].astype(np.int64), part - part[0])
+    return found
+
+
+def _packed_part(numbers: np.ndarray, bounds: np.ndarray) -> list[bytes]:
     row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     order = np.lexsort((numbers, row))
     numbers = numbers[order]
@@ -172,6 +198,18 @@ def _unpacked(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return row, total - before
 
 
+def _bag_sums(bags: list[bytes], values: tuple[np.ndarray, ...]) -> list[np.ndarray]:
+    """Each bag's sums of the ``values`` of its numbers; bags are read some at a time."""
+    sums = [np.zeros(len(bags)) for _ in values]
+    for low, high in _parts(np.cumsum([0, *map(len, bags)])):
+        part = bags[low:high]
+        data = np.frombuffer(b"".join(part), dtype=np.uint8)
+        row, number = _unpacked(data, np.repeat(np.arange(len(part)), [len(x) for x in part]))
+        for total, value in zip(sums, values, strict=True):
+            total[low:high] = np.bincount(row, value[number], minlength=len(part))
+    return sums
+
+
 class Lattice:
     """Forward sums over all segmentations of a word into scored pieces."""
 
@@ -306,23 +344,19 @@ def _summed(
         count[place] = values["c"].to_numpy()
         score[place] = values["word_score"].to_numpy()
         base = np.log10((count + 0.1) / whole)
-        bags = documents["bag"].to_pylist()
-        data = np.frombuffer(b"".join(bags), dtype=np.uint8)
-        row, number = _unpacked(data, np.repeat(np.arange(n), [len(x) for x in bags]))
+        known, base_sum, score_sum = _bag_sums(
+            documents["bag"].to_pylist(), (count > 0, base, score)
+        )
         n_words = documents["n_words"].to_numpy()
         return pa.table(
             [
                 documents["doc_id"],
                 documents["held_out"],
                 pa.array(n_words + 1),
-                pa.array(
-                    np.bincount(row[count[number] > 0], minlength=n) + int(ends > 0)
-                ),
+                pa.array(known.astype(np.int64) + int(ends > 0)),
                 pa.array(np.full(n, n_train)),
-                pa.array(np.bincount(row, base[number], minlength=n) + end_base),
-                pa.array(
-                    np.bincount(row, score[number], minlength=n) + end_score / math.log(10)
-                ),
+                pa.array(base_sum + end_base),
+                pa.array(score_sum + end_score / math.log(10)),
             ],
             names=names,
         )
