@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 import brute
 import corpus_pipeline
 from tickbars.llm import mixing, pii, queries, url_rules
-from tickbars.llm.hnsw import Graph
+from tickbars.llm.hnsw import Graph, GraphSettings
 from tickbars.llm.decontaminate import keep_uncontaminated
 from tickbars.llm.near_text import keep_first
 from tickbars.llm.near_vectors import (
@@ -111,6 +111,21 @@ def test_audits_say_something_where_links_are_few():
     assert audited_beam(Graph(one, settings.graph), one, settings) == settings.beam
 
 
+def test_a_larger_graph_asks_for_no_wider_beam():
+    """Beams that grow with a graph make a search cost more than its share of the rows."""
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(400, 64))
+    rows = centres[rng.integers(400, size=8000)] + rng.normal(size=(8000, 64)) * 1.5
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    settings = VectorSettings()
+    for n in (1600, 8000):
+        graph = Graph(rows[:n], settings.graph)
+        assert audited_beam(graph, rows[:n], settings) == settings.beam
+    deep = Graph(rows, GraphSettings(top=600))
+    assert len(deep.sizes) == 3
+    assert audited_beam(deep, rows, settings) <= 2 * settings.beam
+
+
 def test_no_vectors(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert vector_components(empty).count() == 0

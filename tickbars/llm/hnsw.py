@@ -1,9 +1,11 @@
 """Hierarchical navigable small-world graphs of unit vectors, built and searched in blocks.
 
 Layers hold nested subsets of the rows, each about a ``fan``-th of the one below. A graph
-of a layer joins each row with near rows of it. A search takes the best of the top layer,
-walks down, and at the bottom widens a beam over the neighbours of its best rows, for a
-block of queries at once.
+of a layer joins each row with near rows of it. A search compares the top layer, takes the
+best of it, walks down, and at the bottom widens a beam over the neighbours of its best
+rows, for a block of queries at once. A row whose neighbours are all unlike the query is
+reached only from near its place; so the top layer is large, and a search enters at many
+of its rows, which costs less than the wide beam that would find the row from afar.
 """
 
 from __future__ import annotations
@@ -16,14 +18,17 @@ import numpy as np
 @dataclass(frozen=True)
 class GraphSettings:
     """``degree``: near rows that a row is joined with, and at most so many that join it.
-    ``fan``: how many times smaller each layer is. ``build_beam``: beam of the searches
-    that place new rows. ``expand``: beam rows whose neighbours a step reads."""
+    ``fan``: how many times smaller each layer is. ``top``: rows of the top layer at most.
+    ``enter``: rows of a layer at which a search goes down. ``build_beam``: beam of the
+    searches that place new rows. ``expand``: beam rows whose neighbours a step reads."""
 
     degree: int = 16
-    fan: int = 16
+    fan: int = 4
+    top: int = 8192
+    enter: int = 32
     build_beam: int = 64
-    expand: int = 4
-    block: int = 512
+    expand: int = 16
+    block: int = 256
 
 
 class Graph:
@@ -33,7 +38,7 @@ class Graph:
         n = len(vectors)
         # Rows come in hashed order, so a prefix is a random sample.
         sizes = [n]
-        while sizes[-1] > 4 * settings.fan:
+        while sizes[-1] > (4 * settings.fan if len(sizes) == 1 else settings.top):
             sizes.append(sizes[-1] // settings.fan)
         self.sizes = sizes[::-1]
         self.layers: list[np.ndarray] = []
@@ -122,11 +127,11 @@ class Graph:
         """(rows, likeness), best first, of a walk from the top to ``bottom``."""
         top = self.sizes[0] if layer else min(len(bottom), self.sizes[0])
         like = queries @ self.vectors[:top].T
-        k = min(8, top)
-        entry = np.argpartition(-like, k - 1, axis=1)[:, :k].astype(np.int32)
+        k = min(self.settings.enter, top)
+        np.negative(like, out=like)
+        entry = np.argpartition(like, k - 1, axis=1)[:, :k].astype(np.int32)
         for level in range(1, layer):
-            entry, _ = self._walk(queries, self.layers[level], entry, 8)
-            entry = entry[:, :8]
+            entry, _ = self._walk(queries, self.layers[level], entry, k)
         return self._walk(queries, bottom, entry, beam)
 
     def _walk(
@@ -181,7 +186,8 @@ class Graph:
         return np.take_along_axis(ids, order, axis=1), np.take_along_axis(like, order, axis=1)
 
     def search(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """(rows, likeness) of up to ``beam`` near rows of each query, best first."""
+        """(rows, likeness) of near rows of each query, best first: ``beam`` of them, or
+        ``enter`` if that is more, as far as there are rows."""
         bottom = len(self.layers) - 1
         queries = np.ascontiguousarray(queries, dtype=np.float32)
         return self._search(queries, bottom, self.layers[-1], min(beam, self.sizes[-1]))

@@ -50,7 +50,7 @@ class VectorSettings:
     widest: int = 256
     audit: int = 96
     recall: float = 0.99
-    graph: GraphSettings = GraphSettings(degree=12, build_beam=48)
+    graph: GraphSettings = GraphSettings(build_beam=48)
 
 
 def vector_components(
