@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import tracemalloc
 
 import numpy as np
@@ -16,7 +17,7 @@ from tickbars.llm.decontaminate import contamination, keep_uncontaminated
 from tickbars.llm.lattice_lm import Lattice, _bag_sums, _packed, _unpacked, score_documents
 from tickbars.llm.near_text import keep_first, near_components
 from tickbars.llm.shingles import SketchSettings
-from tickbars.llm.tables import tokenizer_file
+from tickbars.llm.tables import store, tokenizer_file
 from tickbars.llm.textbytes import ALPHANUMERIC, NOT_SPACE, sliding_min, slices, words
 
 TEXT = "doc_id long, text string"
@@ -205,6 +206,27 @@ def test_groups_of_large_buckets_are_bounded(spark):
     assert near_text._rest(hot, one, 100).count() == 0
 
 
+def test_full_sets_are_moved_by_row_and_by_family_alone(spark, monkeypatch):
+    """Broadcast joins hide further moves on small tables; here there are none."""
+    plans = {}
+
+    def noted(df, purpose):
+        plans[purpose] = df._jdf.queryExecution().executedPlan().toString()
+        return store(df, purpose)
+
+    monkeypatch.setattr(near_text, "store", noted)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = made_up(6, 60)
+        rows += [(900, rows[0][1]), (900, rows[0][1])]
+        near_components(frame(spark, rows)).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for purpose, key in (("near-sets", "row_key"), ("near-components", "component")):
+        moved = re.findall(r"Exchange hashpartitioning\((\w+?)#", plans[purpose])
+        assert moved and set(moved) == {key}
+
+
 def test_near_copies_without_ids_and_with_equal_ids(spark):
     text = "a b c d e f g h i j"
     rows = [(None, text), (5, text), (5, text + " k"), (5, "x y z"), (None, None), (8, " ")]

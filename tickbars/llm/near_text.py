@@ -196,16 +196,16 @@ def _components(
         pairs = store(pairs.unionAll(more).distinct(), "near-pairs")
         families = store(components(pairs), "near-families")
         members = members.unionAll(rest)
-    sets = store(_sets_of(documents, classes, pairs, settings), "near-sets")
+    sets = store(_sets_of(documents, classes, families, settings), "near-sets")
     large = store(
         families.groupBy("component").count().where(f"count > {limit}").select("component"),
         "near-large",
     )
-    ordinary = families.join(large, "component", "left_anti")
-    found = _compared(sets.join(ordinary, F.col("class") == F.col("id")), settings)
+    found = _compared(sets.join(_small(large), "component", "left_anti"), settings)
     if large.isEmpty():
         return found
     own = families.join(large, "component").select(F.col("id").alias("class"))
+    sets = sets.drop("component")
     inside = members.join(own, "class", "left_semi")
     links = _links(sets, inside, classes, pairs.join(own.toDF("a"), "a", "left_semi"), settings)
     joined = components(links)
@@ -485,26 +485,25 @@ def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
 
 
 def _sets_of(
-    documents: DataFrame, classes: DataFrame, pairs: DataFrame, settings: SketchSettings
+    documents: DataFrame, classes: DataFrame, families: DataFrame, settings: SketchSettings
 ) -> DataFrame:
-    """(class, n_shingles, members) of every class in ``pairs``.
+    """(class, n_shingles, members, component) of every class in ``families``.
 
     One document of each class is read into a set; a bitmap of fixed size tells the scan
-    which.
+    which. Sets are moved once here, by row key: a class has one, so copies of its row are
+    where the join puts them, and the family comes with the class.
     """
     wanted = store(
-        classes.select("class", "row_key", "n_shingles").join(
-            pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(),
-            "class",
-            "left_semi",
-        ),
+        classes.select("class", "row_key", "n_shingles")
+        .join(families, F.col("class") == F.col("id"))
+        .select("class", "row_key", "n_shingles", "component"),
         "near-wanted",
     )
     found = _sets(documents, bitmap(wanted, F.col("row_key")), settings)
     return (
         found.join(wanted, "row_key")
-        .dropDuplicates(["class"])
-        .select("class", "n_shingles", "members")
+        .dropDuplicates(["row_key", "class"])
+        .select("class", "n_shingles", "members", "component")
     )
 
 
