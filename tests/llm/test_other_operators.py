@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import duckdb
@@ -149,6 +150,24 @@ def test_a_graph_finds_what_is_near():
 
 # --- Token files -----------------------------------------------------------------------
 
+def test_a_remembered_chunk_takes_few_bytes():
+    """So that a worker can remember most chunks of a large table."""
+    encoder = ChunkEncoder(tokenizer_file("byte_bpe_50k.json"))
+
+    def ids(seed):
+        text = " ".join(f"{x:x}" for x in np.random.default_rng(seed).integers(1 << 31, size=9000))
+        _, _, data, offsets = next(slices(pa.array([text])))
+        return encoder.ids(data, offsets)[0]
+
+    ids(0)
+    tracemalloc.start()
+    many = [ids(k) for k in range(1, 13)]
+    held = tracemalloc.get_traced_memory()[0] - sum(x.nbytes for x in many)
+    tracemalloc.stop()
+    assert held < 12 * 9000 * 72
+    assert all((ids(k) == many[k - 1]).all() for k in range(1, 13))
+
+
 
 def test_chunks_encode_as_the_whole_text():
     from tokenizers import Tokenizer

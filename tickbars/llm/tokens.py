@@ -28,11 +28,13 @@ from tickbars.llm.textbytes import RollingHash, slices
 
 END_ID = 2
 #: A worker remembers the ids of so many chunks used last, and of as many before them.
-REMEMBERED = 220_000
+REMEMBERED = 700_000
+#: New chunks that are sorted apart from the others.
+FRESH = 65_536
 #: Longer chunks, in bytes, are encoded each time.
 LONGEST_REMEMBERED = 64
 #: Chunks that the tokenizer gets as one text.
-JOINED = 2048
+JOINED = 512
 FILE_OPTIONS = {
     "compression": "zstd",
     "parquet.writer.version": "v2",
@@ -61,6 +63,40 @@ _MARK[[ord(c) for c in "'<|>"]] = False
 _BEFORE = (b"", b"\n", b"\na")
 
 
+def _runs(values: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``size`` values from each ``begin`` on, one run after the other."""
+    before = np.cumsum(size) - size
+    return values[np.arange(size.sum()) + np.repeat(begin - before, size)]
+
+
+class _Chunks:
+    """Ids of chunks by sorted hash, in arrays: some thirty bytes a chunk."""
+
+    def __init__(self) -> None:
+        self.keys = np.zeros(0, dtype=np.uint64)
+        self.begin = self.size = np.zeros(0, dtype=np.int64)
+        self.values = np.zeros(0, dtype="<u4")
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of ``keys`` are here, and the places of those."""
+        if not len(self.keys):
+            return np.zeros(len(keys), dtype=bool), self.begin
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        hit = self.keys[at] == keys
+        return hit, at[hit]
+
+    def add(
+        self, keys: np.ndarray, begin: np.ndarray, size: np.ndarray, values: np.ndarray
+    ) -> None:
+        """``keys``, of which none is here, with the runs of ``values`` they have."""
+        keys = np.concatenate([self.keys, keys])
+        order = np.argsort(keys, kind="stable")
+        self.keys = keys[order]
+        self.begin = np.concatenate([self.begin, begin + len(self.values)])[order]
+        self.size = np.concatenate([self.size, size])[order]
+        self.values = np.concatenate([self.values, values])
+
+
 class ChunkEncoder:
     """Encodes texts chunk by chunk and remembers frequent chunks' ids.
 
@@ -80,8 +116,7 @@ class ChunkEncoder:
         # Byte-level tokens are written with one character a byte.
         size = tokenizer.get_vocab_size(with_added_tokens=True)
         self._widths = np.array([len(tokenizer.id_to_token(i) or "") for i in range(size)])
-        self._known: dict[int, bytes] = {}
-        self._before: dict[int, bytes] = {}
+        self._fresh, self._known, self._before = _Chunks(), _Chunks(), _Chunks()
 
     def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All rows' ids one after the other, and each row's number of them."""
@@ -101,31 +136,31 @@ class ChunkEncoder:
         ends = np.append(starts[1:], len(data))
         names = RollingHash(data).of(starts, ends)
         keys, first, place = np.unique(names, return_index=True, return_inverse=True)
-        found = self._looked_up(data, keys.tolist(), starts[first], ends[first])
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        values = np.frombuffer(b"".join(found), dtype="<u4")
-        begin = np.cumsum(sizes) - sizes
-        count = sizes[place]
+        values, begin, size = self._looked_up(data, keys, starts[first], ends[first])
+        count = size[place]
         total = np.concatenate([[0], np.cumsum(count)])
-        at = np.arange(total[-1]) + np.repeat(begin[place] - total[:-1], count)
-        return values[at], np.diff(total[np.searchsorted(starts, offsets)])
+        found = _runs(values, begin[place], count)
+        return found, np.diff(total[np.searchsorted(starts, offsets)])
 
     def _looked_up(
-        self,
-        data: np.ndarray,
-        keys: list[int],
-        starts: np.ndarray,
-        ends: np.ndarray,
-    ) -> list[bytes]:
-        if len(self._known) > REMEMBERED:
-            self._known, self._before = {}, self._known
-        known, before = self._known, self._before
-        found = list(map(known.get, keys))
-        missing = [i for i, x in enumerate(found) if x is None]
-        for i in missing:
-            if (ids := before.get(keys[i])) is not None:
-                found[i] = known[keys[i]] = ids
-        new = np.array([i for i in missing if found[i] is None], dtype=np.int64)
+        self, data: np.ndarray, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where in them each chunk's begin and how many it has."""
+        if len(self._fresh.keys) > FRESH:
+            fresh, self._fresh = self._fresh, _Chunks()
+            if len(self._known.keys) > REMEMBERED:
+                self._known, self._before = _Chunks(), self._known
+            self._known.add(fresh.keys, fresh.begin, fresh.size, fresh.values)
+        size = np.zeros(len(keys), dtype=np.int64)
+        order, parts = [], []
+        new = np.arange(len(keys))
+        for table in (self._known, self._fresh, self._before):
+            hit, at = table.find(keys[new])
+            order.append(new[hit])
+            size[new[hit]] = table.size[at]
+            parts.append(_runs(table.values, table.begin[at], table.size[at]))
+            new = new[~hit]
+        again = order[-1]
         begins = data[starts[new]]
         spaced = (begins == 0x20) & (ends[new] - starts[new] > 1)
         spaced[spaced] = _SOLID[data[starts[new][spaced] + 1]]
@@ -134,23 +169,32 @@ class ChunkEncoder:
         for low in range(0, len(joined), JOINED):
             at = joined[low : low + JOINED]
             part = new[at]
-            made = self._joined(data, starts[part], ends[part], kinds[at])
-            for i, ids in zip(part.tolist(), made, strict=True):
-                found[i] = ids
-        for i in new[kinds == 3].tolist():
+            order.append(part)
+            ids, size[part] = self._joined(data, starts[part], ends[part], kinds[at])
+            parts.append(ids)
+        single = new[kinds == 3]
+        for i in single.tolist():
             (one,) = self._encode(
                 [data[starts[i] : ends[i]].tobytes().decode()], add_special_tokens=False
             )
-            found[i] = np.array(one.ids, dtype="<u4").tobytes()
-        short = new[(ends - starts)[new] <= LONGEST_REMEMBERED]
-        known.update((keys[i], found[i]) for i in short.tolist())
-        return found
+            size[i] = len(one.ids)
+            parts.append(np.array(one.ids, dtype="<u4"))
+        order = np.concatenate([*order, single])
+        values = np.concatenate(parts)
+        begin = np.empty(len(keys), dtype=np.int64)
+        begin[order] = np.cumsum(size[order]) - size[order]
+        # What was last used long ago is remembered anew, like what is new.
+        fresh = np.concatenate([again, new])
+        fresh = fresh[(ends - starts)[fresh] <= LONGEST_REMEMBERED]
+        ids = _runs(values, begin[fresh], size[fresh])
+        self._fresh.add(keys[fresh], np.cumsum(size[fresh]) - size[fresh], size[fresh], ids)
+        return values, begin, size
 
     def _joined(
         self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, kinds: np.ndarray
-    ) -> list[bytes]:
-        """Ids of chunks that are encoded as one text, in which each starts a token. They
-        are dealt out by the bytes they stand for."""
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks that are encoded as one text, in which each starts a token, and
+        each chunk's number of them. They are dealt out by the bytes they stand for."""
         gaps = np.array([len(x) for x in _BEFORE])[kinds]
         sizes = ends - starts
         last = np.cumsum(sizes + gaps)
@@ -162,10 +206,9 @@ class ChunkEncoder:
         (one,) = self._encode([text.tobytes().decode()], add_special_tokens=False)
         ids = np.array(one.ids, dtype="<u4")
         reached = np.cumsum(self._widths[ids])
-        low = np.searchsorted(reached, first, side="right") * 4
-        high = (np.searchsorted(reached, last, side="left") + 1) * 4
-        whole = ids.tobytes()
-        return [whole[a:b] for a, b in zip(low.tolist(), high.tolist(), strict=True)]
+        low = np.searchsorted(reached, first, side="right")
+        count = np.searchsorted(reached, last, side="left") + 1 - low
+        return _runs(ids, low, count), count
 
 
 @cache
